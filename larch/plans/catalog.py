@@ -33,6 +33,16 @@ QUERIES = {
     "classification_baseline": q.classification_baseline,
     "fare_score_auc": q.fare_score_auc,
     "threshold_report": q.threshold_report,
+    # linear models with closed forms
+    "ols_one_feature": q.ols_one_feature,
+    "ridge_one_feature": q.ridge_one_feature,
+    "lasso_one_feature": q.lasso_one_feature,
+    "elastic_net_one_feature": q.elastic_net_one_feature,
+    "lineitem_price_ols": q.lineitem_price_ols,
+    # folds and learning-curve subsets
+    "stratified_folds": q.stratified_folds,
+    "fold_class_shares": q.fold_class_shares,
+    "learning_curve_subsets": q.learning_curve_subsets,
 }
 
 ORACLE = {k: v for k, v in oracle.SQL.items() if k in QUERIES}

@@ -265,3 +265,61 @@ SQL["fare_score_auc"] = with_trips("""
 c AS (SELECT *, coalesce(sum(neg) OVER (PARTITION BY is_test ORDER BY s ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS negb FROM g)
 SELECT is_test, round(CASE WHEN sum(pos) > 0 AND sum(neg) > 0 THEN sum(pos * (negb + neg / 2.0::DOUBLE)) / (sum(pos)::DOUBLE * sum(neg)) END, 6) AS roc_auc
 FROM c GROUP BY is_test""")
+
+
+def _one_feature_sql(x: str, slope: str, where: str = "TRUE") -> str:
+    """Closed-form one-feature fit on regression train rows; ``slope`` may
+    use n, sxy, sxx (centered sums over train rows)."""
+    return with_trips(f""",
+d AS (SELECT * FROM reg WHERE {x} IS NOT NULL AND {where}),
+s AS (SELECT count(*) AS n, regr_sxy(duration, {x}) AS sxy, regr_sxx(duration, {x}) AS sxx,
+        avg(duration) AS my, avg({x}) AS mx FROM d WHERE NOT is_test),
+b AS (SELECT {slope} AS b1, my, mx FROM s),
+p AS (SELECT d.is_test, d.duration AS y, (b.my - b.b1 * b.mx) + b.b1 * d.{x} AS yhat FROM d, b)
+SELECT round((SELECT my - b1 * mx FROM b), 6) AS intercept, round((SELECT b1 FROM b), 6) AS coefficient,
+  round(sqrt(avg(CASE WHEN NOT is_test THEN (y - yhat) * (y - yhat) END)), 6) AS rmse_train,
+  round(sqrt(avg(CASE WHEN is_test THEN (y - yhat) * (y - yhat) END)), 6) AS rmse_test,
+  round(avg(CASE WHEN NOT is_test THEN abs(y - yhat) END), 6) AS mae_train,
+  round(avg(CASE WHEN is_test THEN abs(y - yhat) END), 6) AS mae_test
+FROM p""")
+
+
+def _soft(z: str, g: str) -> str:
+    return f"sign({z}) * greatest(abs({z}) - ({g}), 0)"
+
+
+SQL["ols_one_feature"] = _one_feature_sql("lpep_pickup_datetime_hour", "sxy / sxx")
+SQL["ridge_one_feature"] = _one_feature_sql("passenger_count", "sxy / (sxx + 1.0)")
+SQL["lasso_one_feature"] = _one_feature_sql("passenger_count", f"{_soft('sxy / n', '0.05')} / (sxx / n)")
+SQL["elastic_net_one_feature"] = _one_feature_sql(
+    "passenger_count", f"{_soft('sxy / n', '0.05 * 0.5')} / (sxx / n + 0.05 * 0.5)")
+
+SQL["lineitem_price_ols"] = """
+WITH s AS (SELECT regr_slope(l_extendedprice, l_quantity) AS b1, regr_intercept(l_extendedprice, l_quantity) AS b0,
+                  count(*) AS n FROM lineitem)
+SELECT round(b0, 6) AS intercept, round(b1, 6) AS coefficient,
+  round((SELECT sqrt(avg((l_extendedprice - b0 - b1 * l_quantity) * (l_extendedprice - b0 - b1 * l_quantity))) FROM lineitem), 6) AS rmse,
+  CAST(n AS BIGINT) AS n
+FROM s"""
+
+
+_FOLDS = """,
+tr AS (SELECT trip_id, tipped FROM cls WHERE NOT is_test),
+fo AS (SELECT trip_id, tipped,
+  CAST((row_number() OVER (PARTITION BY tipped ORDER BY (trip_id * 104729 + 123) % 2147483647, trip_id) - 1) % 10 AS INTEGER) AS fold
+  FROM tr)"""
+
+SQL["stratified_folds"] = with_trips(_FOLDS + "\nSELECT trip_id, tipped, fold FROM fo")
+SQL["fold_class_shares"] = with_trips(
+    _FOLDS + "\nSELECT fold, tipped, count(*) AS rows FROM fo GROUP BY fold, tipped")
+SQL["learning_curve_subsets"] = with_trips(_FOLDS + """,
+fs AS (SELECT range AS f FROM range(10)),
+ex AS (SELECT fs.f, fo.trip_id,
+  row_number() OVER (PARTITION BY fs.f ORDER BY (fo.trip_id * 104729 + 130) % 2147483647, fo.trip_id) - 1 AS r
+  FROM fo, fs WHERE fo.fold <> fs.f),
+n0 AS (SELECT count(*) AS n FROM fo WHERE fold <> 0),
+sz AS (SELECT DISTINCT greatest(1, CAST(floor((CAST(i AS DOUBLE) / 10.0) * n + 1e-9) AS BIGINT)) AS size
+       FROM range(1, 11) t(i), n0)
+SELECT CAST(ex.f AS BIGINT) AS fold, CAST(sz.size AS BIGINT) AS train_size, count(*) AS rows,
+  CAST(sum(ex.trip_id) AS BIGINT) AS key_sum
+FROM ex, sz WHERE ex.r < sz.size GROUP BY ex.f, sz.size""")

@@ -238,3 +238,93 @@ def threshold_report(spark, sf):
     scored = raw.join(rate, "PU_DO", "left").withColumn(
         "p1", F.coalesce(F.col("pair_rate"), F.lit(prior)))
     return _rounded(evaluate.classification_report(scored, "tipped", p1="p1", threshold=0.5))
+
+
+# ---- linear models with closed forms (M3-M6, SQL*) -----------------------
+
+def _one_feature_fit(spark, sf, kind, feature, alpha=0.0, l1_ratio=0.5):
+    from pyspark.ml.feature import VectorAssembler
+    raw = tr.raw_task_frame(spark, sf, "regression").filter(F.col(feature).isNotNull())
+    d = VectorAssembler(inputCols=[feature], outputCol="features").transform(raw)
+    train = d.filter(~F.col("is_test"))
+    stats = models.label_stats(train, "duration")
+    est = models.linear_regression(kind, stats, 1, "duration", alpha=alpha, l1_ratio=l1_ratio)
+    m = est.fit(train)
+    pred = m.transform(d)
+    rep = evaluate.regression_report(pred, "duration")
+    return _rounded(rep.select(F.lit(float(m.intercept)).alias("intercept"),
+                               F.lit(float(m.coefficients[0])).alias("coefficient"), "*"))
+
+
+def ols_one_feature(spark, sf):
+    """M3: duration ~ pickup hour, with intercept; metrics of both sides."""
+    return _one_feature_fit(spark, sf, "ols", "lpep_pickup_datetime_hour")
+
+
+def ridge_one_feature(spark, sf):
+    """M4 with alpha = 1 (penalty mapping of ``||r||^2 + alpha ||w||^2``)."""
+    return _one_feature_fit(spark, sf, "ridge", "passenger_count", 1.0)
+
+
+def lasso_one_feature(spark, sf):
+    """M5 with alpha = 0.05 on ``1/(2n)||r||^2 + alpha |w|``."""
+    return _one_feature_fit(spark, sf, "lasso", "passenger_count", 0.05)
+
+
+def elastic_net_one_feature(spark, sf):
+    """M6 with alpha = 0.05, l1_ratio = 0.5."""
+    return _one_feature_fit(spark, sf, "elastic_net", "passenger_count", 0.05, 0.5)
+
+
+def lineitem_price_ols(spark, sf):
+    """M3 at bench size: extended price ~ quantity over all lineitem rows
+    (normal equations: one pass, d x d solve)."""
+    from pyspark.ml.feature import VectorAssembler
+    li = ts.read_table(spark, sf, "lineitem").select("l_quantity", "l_extendedprice")
+    d = VectorAssembler(inputCols=["l_quantity"], outputCol="features").transform(li)
+    stats = models.label_stats(d, "l_extendedprice")
+    m = models.linear_regression("ols", stats, 1, "l_extendedprice").fit(d)
+    s = m.summary
+    return _rounded(d.limit(1).select(
+        F.lit(float(m.intercept)).alias("intercept"),
+        F.lit(float(m.coefficients[0])).alias("coefficient"),
+        F.lit(float(s.rootMeanSquaredError)).alias("rmse"),
+        F.lit(int(s.numInstances)).cast("long").alias("n")))
+
+
+# ---- folds and growing subsets (D3, D4) ----------------------------------
+
+LC_FOLDS = 10
+LC_FRACTIONS = [round(0.1 * i, 1) for i in range(1, 11)]
+
+
+def stratified_folds(spark, sf):
+    """D3: 10 stratified folds of the classification train rows."""
+    raw = tr.raw_task_frame(spark, sf, "classification").filter(~F.col("is_test"))
+    return split.with_stratified_folds(raw.select("trip_id", "tipped"), "tipped", LC_FOLDS)
+
+
+def fold_class_shares(spark, sf):
+    """D3 check: rows per fold and class."""
+    return stratified_folds(spark, sf).groupBy("fold", "tipped").agg(
+        F.count(F.lit(1)).alias("rows"))
+
+
+def learning_curve_subsets(spark, sf):
+    """For each fold and train share 0.1..1.0 the nested train subset
+    (first rows of the fold's train part in a second hash order):
+    row count and key sum per subset."""
+    folds = stratified_folds(spark, sf).persist(StorageLevel.MEMORY_AND_DISK)
+    n = folds.count()
+    ranked = split.with_fold_train_ranks(folds, LC_FOLDS, n_rows=n)
+    n0 = folds.filter(F.col("fold") != 0).count()
+    sizes = split.train_sizes(n0, LC_FRACTIONS)
+    # one row per (row, fold it trains) -- the expansion the 100 fits read
+    expanded = ranked.select("trip_id", "fold", F.posexplode("train_rank").alias("f", "r")) \
+        .filter(F.col("fold") != F.col("f"))
+    size_arr = F.array(*[F.lit(s) for s in sizes])
+    per = expanded.select("trip_id", "f", "r", F.posexplode(size_arr).alias("size_idx", "size")) \
+        .filter(F.col("r") < F.col("size"))
+    return per.groupBy(F.col("f").cast("long").alias("fold"),
+                       F.col("size").cast("long").alias("train_size")).agg(
+        F.count(F.lit(1)).alias("rows"), F.sum("trip_id").cast("long").alias("key_sum"))
