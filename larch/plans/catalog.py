@@ -43,6 +43,37 @@ QUERIES = {
     "stratified_folds": q.stratified_folds,
     "fold_class_shares": q.fold_class_shares,
     "learning_curve_subsets": q.learning_curve_subsets,
+    # searches and comparisons (rows-only checks)
+    "ridge_search": q.ridge_search,
+    "lasso_search": q.lasso_search,
+    "elastic_net_search": q.elastic_net_search,
+    "logistic_search": q.logistic_search,
+    "boosted_trees_categorical_search": q.boosted_trees_categorical_search,
+    "boosted_trees_onehot_search": q.boosted_trees_onehot_search,
+    "random_forest_search": q.random_forest_search,
+    "gradient_boosting_search": q.gradient_boosting_search,
+    "decision_tree_fit": q.decision_tree_fit,
+    "linear_svm_fit": q.linear_svm_fit,
+    "boosted_regression_search": q.boosted_regression_search,
+    "regression_leaderboard": q.regression_leaderboard,
+    "classification_leaderboard": q.classification_leaderboard,
+    "logistic_refit": q.logistic_refit,
+    "logistic_learning_curve": q.logistic_learning_curve,
+    "boosted_learning_curve": q.boosted_learning_curve,
+    # coefficient paths
+    "ridge_path": q.ridge_path,
+    "lasso_path": q.lasso_path,
+    "elastic_net_path": q.elastic_net_path,
+    "lasso_path_alphas": q.lasso_path_alphas,
+    "lasso_path_summary": q.lasso_path_summary,
+    # unsupervised and scoring
+    "kmeans_clusters": q.kmeans_clusters,
+    "kmeans_assign_label_centers": q.kmeans_assign_label_centers,
+    "pca_components": q.pca_components,
+    "pca_projection_summary": q.pca_projection_summary,
+    "embedding_covariance": q.embedding_covariance,
+    "saved_model_scoring": q.saved_model_scoring,
+    "streaming_scoring": q.streaming_scoring,
 }
 
 ORACLE = {k: v for k, v in oracle.SQL.items() if k in QUERIES}

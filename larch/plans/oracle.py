@@ -323,3 +323,32 @@ sz AS (SELECT DISTINCT greatest(1, CAST(floor((CAST(i AS DOUBLE) / 10.0) * n + 1
 SELECT CAST(ex.f AS BIGINT) AS fold, CAST(sz.size AS BIGINT) AS train_size, count(*) AS rows,
   CAST(sum(ex.trip_id) AS BIGINT) AS key_sum
 FROM ex, sz WHERE ex.r < sz.size GROUP BY ex.f, sz.size""")
+
+
+_XY_TERMS = " UNION ALL ".join(
+    [f"SELECT abs(sum({c} * duration)) AS v FROM t" for c in REG_NUM] +
+    [f"SELECT abs(sum(duration)) AS v FROM t GROUP BY {c}" for c in REG_CAT])
+
+SQL["lasso_path_alphas"] = with_trips(
+    "," + _fill_cte("reg", REG_NUM, REG_CAT) + f""",
+t AS (SELECT * FROM filled WHERE NOT is_test),
+xy AS ({_XY_TERMS}),
+am AS (SELECT max(v) / (SELECT count(*) FROM t) AS amax FROM xy)
+SELECT CAST(k AS BIGINT) AS alpha_idx,
+  round(pow(10, log10(amax) + k * (-3.0 / 29)), 6) AS alpha,
+  round(-(log10(amax) + k * (-3.0 / 29)), 6) AS neg_log10_alpha
+FROM am, range(30) r(k)""")
+
+SQL["kmeans_assign_label_centers"] = """
+WITH e AS (SELECT vec_id, label, unnest(embedding) AS x, generate_subscripts(embedding, 1) AS i FROM embeddings),
+c AS (SELECT label AS center, i, avg(CAST(x AS DOUBLE)) AS cx FROM e GROUP BY label, i),
+d AS (SELECT e.vec_id, e.label, c.center, sum((CAST(e.x AS DOUBLE) - c.cx) * (CAST(e.x AS DOUBLE) - c.cx)) AS dist
+      FROM e JOIN c ON e.i = c.i GROUP BY e.vec_id, e.label, c.center)
+SELECT vec_id, CAST(label AS BIGINT) AS label, CAST(arg_min(center, dist) AS BIGINT) AS center
+FROM d GROUP BY vec_id, label"""
+
+SQL["embedding_covariance"] = """
+WITH e AS (SELECT vec_id, unnest(embedding) AS x, generate_subscripts(embedding, 1) - 1 AS i FROM embeddings)
+SELECT CAST(a.i AS BIGINT) AS i, CAST(b.i AS BIGINT) AS j,
+  round(covar_samp(CAST(a.x AS DOUBLE), CAST(b.x AS DOUBLE)), 6) AS cov
+FROM e a JOIN e b ON a.vec_id = b.vec_id GROUP BY a.i, b.i"""

@@ -328,3 +328,171 @@ def learning_curve_subsets(spark, sf):
     return per.groupBy(F.col("f").cast("long").alias("fold"),
                        F.col("size").cast("long").alias("train_size")).agg(
         F.count(F.lit(1)).alias("rows"), F.sum("trip_id").cast("long").alias("key_sum"))
+
+
+# ---- searches, comparisons, leaderboards (H1-H4, H9-H11, M7-M14) ---------
+
+def _exp():
+    from larch.plans import experiments
+    return experiments
+
+
+def ridge_search(spark, sf):
+    """M4 + H2: 5 ridge fits, alpha ~ lognormal(0, 1)."""
+    return _exp().linear_search(spark, sf, "ridge")
+
+
+def lasso_search(spark, sf):
+    """M5 + H2: 5 lasso fits."""
+    return _exp().linear_search(spark, sf, "lasso")
+
+
+def elastic_net_search(spark, sf):
+    """M6 + H2: 10 elastic-net fits, l1_ratio ~ uniform(0, 1)."""
+    return _exp().linear_search(spark, sf, "elastic_net")
+
+
+def logistic_search(spark, sf):
+    """M7 + H2: 5 logistic fits, C ~ lognormal(-1, 0.5), 250 iterations."""
+    return _exp().logistic_search(spark, sf)
+
+
+def boosted_trees_categorical_search(spark, sf):
+    """M8 + H2: 3 boosted-tree fits (100 trees) over category codes."""
+    return _exp().boosted_search(spark, sf, True)
+
+
+def boosted_trees_onehot_search(spark, sf):
+    """M9 + H2: 3 boosted-tree fits (100 trees) over one-hot features."""
+    return _exp().boosted_search(spark, sf, False)
+
+
+def random_forest_search(spark, sf):
+    """M12 + H2."""
+    return _exp().forest_search(spark, sf)
+
+
+def gradient_boosting_search(spark, sf):
+    """M13 + H2 with a validation share for early stopping."""
+    return _exp().gradient_boosting_search(spark, sf)
+
+
+def decision_tree_fit(spark, sf):
+    """M11."""
+    return _exp().decision_tree_fit(spark, sf)
+
+
+def linear_svm_fit(spark, sf):
+    """M14."""
+    return _exp().svm_fit(spark, sf)
+
+
+def boosted_regression_search(spark, sf):
+    """M10 + H2."""
+    return _exp().boosted_regression_search(spark, sf)
+
+
+def _board(runs: DataFrame, metric: str, maximize: bool) -> DataFrame:
+    from larch.sources import runs as runlog
+    b = runlog.leaderboard(runs, metric, maximize)
+    return b.select("experiment", "model_type", F.col("rank").cast("long").alias("rank"),
+                    F.col(metric), F.to_json("params").alias("params"))
+
+
+def regression_leaderboard(spark, sf):
+    """H9 + S4 + H11: baseline, OLS, ridge, lasso, elastic net runs in one
+    run table, ranked by test rmse."""
+    runs, _ = _exp().regression_comparison(spark, sf)
+    return _board(runs, "rmse_test", False)
+
+
+def classification_leaderboard(spark, sf):
+    """H10 + S4 + H11: five classifier families and the baseline, ranked by
+    test AUC."""
+    runs, _ = _exp().classification_comparison(spark, sf)
+    return _board(runs, "roc_auc_test", True)
+
+
+def logistic_refit(spark, sf):
+    """H3 + H4: best C of the search, refit, metrics."""
+    from larch.plans import curves
+    return curves.logistic_refit(spark, sf)
+
+
+def logistic_learning_curve(spark, sf):
+    """H8 + A9: 10 folds x 10 train shares of the best logistic model."""
+    from larch.plans import curves
+    return curves.logistic_learning_curve(spark, sf)
+
+
+def boosted_learning_curve(spark, sf):
+    """H8 + A9 for boosted trees over one-hot features."""
+    from larch.plans import curves
+    return curves.boosted_learning_curve(spark, sf)
+
+
+# ---- paths (H5-H7, F8) ---------------------------------------------------
+
+def ridge_path(spark, sf):
+    from larch.plans import paths
+    return paths.ridge_path(spark, sf)
+
+
+def lasso_path(spark, sf):
+    from larch.plans import paths
+    return paths.lasso_path(spark, sf)
+
+
+def elastic_net_path(spark, sf):
+    from larch.plans import paths
+    return paths.elastic_net_path(spark, sf)
+
+
+def lasso_path_alphas(spark, sf):
+    from larch.plans import paths
+    return _rounded(paths.lasso_path_alphas(spark, sf))
+
+
+def lasso_path_summary(spark, sf):
+    """H6 per step: non-zero count and L1 norm (zero at the first step)."""
+    from larch.plans import paths
+    return paths.path_summary(paths.lasso_path(spark, sf))
+
+
+# ---- unsupervised, scoring (M15, M16, S5-S7) -----------------------------
+
+def kmeans_clusters(spark, sf):
+    from larch.plans import unsupervised as U
+    return U.kmeans_clusters(spark, sf)
+
+
+def kmeans_assign_label_centers(spark, sf):
+    from larch.plans import unsupervised as U
+    return U.kmeans_assign_label_centers(spark, sf)
+
+
+def pca_components(spark, sf):
+    from larch.plans import unsupervised as U
+    return U.pca_components(spark, sf)
+
+
+def pca_projection_summary(spark, sf):
+    from larch.plans import unsupervised as U
+    return U.pca_projection_summary(spark, sf)
+
+
+def embedding_covariance(spark, sf):
+    from larch.plans import unsupervised as U
+    return _rounded(U.embedding_covariance(spark, sf))
+
+
+def saved_model_scoring(spark, sf):
+    """S5 + S6 + S7: fit, save the pipeline, reload, score label-free trips."""
+    from larch.plans import scoring
+    return scoring.score_month(spark, sf)
+
+
+def streaming_scoring(spark, sf):
+    """S7 on a stream: the saved pipeline scores the events files."""
+    from larch.streaming import scoring as ss
+    return ss.stream_score_month(spark, sf)

@@ -64,10 +64,8 @@ def read_trips(spark: SparkSession, paths: str | Iterable[str],
     """Read one or many monthly trip files in one scan.
 
     Location ids become strings (P1). ``trip_id`` is taken from ``key`` when
-    the files carry one; otherwise a per-file stable id is derived from the
-    file name and row position inside the file is not used (it would change
-    with the split plan) -- the pickup time, both locations and the fare
-    are hashed instead.
+    the files carry one; otherwise it is a hash of pickup, dropoff, both
+    locations and the fare, so it does not depend on file layout.
     """
     if isinstance(paths, str):
         paths = [paths]
@@ -89,12 +87,16 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def trips_from_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Project ``events`` onto the trip schema (the fixture trips view).
+    """The fixture trips view over the driver's ``events`` table."""
+    return project_events(read_table(spark, sf_dir, "events"))
+
+
+def project_events(ev: DataFrame) -> DataFrame:
+    """Project ``events`` rows onto the trip schema (batch or streaming).
 
     Nulls are injected by rule so that imputation, the payment filter and
     the tip label all see missing values; see FIXTURES.md B.
     """
-    ev = read_table(spark, sf_dir, "events")
     eid, uid, val, ts = F.col("event_id"), F.col("user_id"), F.col("value"), F.col("ts")
     null_d = F.lit(None).cast("double")
     hour = F.hour(ts)
