@@ -33,10 +33,12 @@ class Gram:
     y_sum: float
     yty: float
     n: int
+    categories: list[list[str]] | None = None
 
 
 def design_gram(df: DataFrame, numeric: list[str], categorical: list[str],
-                categories: list[list[str]], label: str) -> Gram:
+                categories: list[list[str]] | None, label: str,
+                drop_first: bool = False) -> Gram:
     """Sufficient statistics of ``[numeric, one-hot(categorical)]`` and the
     label in ONE aggregate. ``categories[i]`` lists the one-hot slots of
     column i in order; other values (unseen, NULL) are all-zero rows, as in
@@ -48,14 +50,6 @@ def design_gram(df: DataFrame, numeric: list[str], categorical: list[str],
     category counts (partial aggregation keeps hot cells cheap)."""
     y = F.col(label).cast("double")
     nn, nc = len(numeric), len(categorical)
-    names = list(numeric)
-    offsets = []
-    off = nn
-    for c, cats in zip(categorical, categories):
-        offsets.append(off)
-        names += [f"{c}_{v}" for v in cats]
-        off += len(cats)
-    d = off
     aggs = [F.count(F.lit(1)).alias("cnt"), F.sum(y).alias("ys"), F.sum(y * y).alias("yy")]
     pairs = [(i, j) for i in range(nn) for j in range(i, nn)]
     aggs += [F.sum(F.col(a)).alias(f"s{i}") for i, a in enumerate(numeric)]
@@ -64,6 +58,19 @@ def design_gram(df: DataFrame, numeric: list[str], categorical: list[str],
     keys = [F.col(c).cast("string").alias(f"k{i}") for i, c in enumerate(categorical)]
     cells = (df.groupBy(*keys) if keys else df).agg(*aggs).toPandas()
     cells = cells.fillna({c: 0.0 for c in cells.columns if not c.startswith("k")})
+    if categories is None:
+        # sorted distinct values seen in the data (the encoder's slot order)
+        categories = [sorted(cells[f"k{i}"].dropna().unique().tolist()) for i in range(nc)]
+    if drop_first:
+        categories = [list(c)[1:] for c in categories]
+    names = list(numeric)
+    offsets = []
+    off = nn
+    for c, cats in zip(categorical, categories):
+        offsets.append(off)
+        names += [f"{c}={v}" for v in cats]
+        off += len(cats)
+    d = off
 
     xtx = np.zeros((d, d))
     xty = np.zeros(d)
@@ -96,7 +103,7 @@ def design_gram(df: DataFrame, numeric: list[str], categorical: list[str],
             b = cross.index.get_level_values(1).to_numpy()
             xtx[a, b] = xtx[b, a] = cross.to_numpy()
     return Gram(names, xtx, xty, col_sum, float(cells["ys"].sum()), float(cells["yy"].sum()),
-                int(cells["cnt"].sum()))
+                int(cells["cnt"].sum()), [list(c) for c in categories])
 
 
 def ridge_coefficients(g: Gram, alpha: float) -> tuple[float, np.ndarray]:

@@ -102,6 +102,8 @@ def prepare(spark: SparkSession, sf_dir: str, task: str, enable_categorical: boo
                             impute=(impute_from == "train"))
     fitted = pipe.fit(raw.filter(~F.col("is_test")))
     keep = ["trip_id", "is_test", label, "features"] + list(extra_cols or [])
+    if task == "regression":
+        keep += num + cat      # imputed raw columns for the Gram-based ridge
     frame = fitted.transform(raw).select(*keep).persist(StorageLevel.MEMORY_AND_DISK)
     n_features = int(frame.schema["features"].metadata["ml_attr"]["num_attrs"])
     stats = models.label_stats(frame.filter(~F.col("is_test")), label,
