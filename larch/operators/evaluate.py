@@ -53,7 +53,7 @@ def roc_auc(df: DataFrame, label: str, score: str, group_cols: list[str] | None
     out = d.groupBy(*group_cols).agg(
         F.sum(term).alias("_u"), F.sum("_pos").alias("_p"), F.sum("_neg").alias("_n"))
     return out.select(*group_cols, F.when((F.col("_p") > 0) & (F.col("_n") > 0),
-                                          F.col("_u") / (F.col("_p") * F.col("_n")))
+                                          F.col("_u") / (F.col("_p").cast("double") * F.col("_n").cast("double")))
                       .alias("roc_auc"))
 
 

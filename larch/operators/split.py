@@ -29,10 +29,14 @@ def _is_integral(df: DataFrame, key: str) -> bool:
 
 def unit_bucket(df: DataFrame, key: str, seed: int = DEFAULT_SEED,
                 modulus: int = SPLIT_MODULUS, multiplier: int = SPLIT_MULTIPLIER) -> Column:
-    """Key hash in [0, modulus)."""
+    """Key hash in [0, modulus): ``(key * multiplier + seed) mod modulus``.
+
+    The key is reduced mod ``modulus`` first (same residue, no 64-bit
+    overflow for large or hashed keys)."""
     k = F.col(key)
     if _is_integral(df, key):
-        return F.pmod(k.cast("long") * F.lit(multiplier) + F.lit(seed), F.lit(modulus))
+        return F.pmod(F.pmod(k.cast("long"), F.lit(modulus)) * F.lit(multiplier) + F.lit(seed),
+                      F.lit(modulus))
     return F.pmod(F.xxhash64(k, F.lit(seed)), F.lit(modulus))
 
 
