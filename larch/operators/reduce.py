@@ -57,6 +57,16 @@ def semi_join_checked(big: DataFrame, small: DataFrame, keys: list[str],
     return big.join(right, keys, "left_semi")
 
 
+def lookup_join_checked(big: DataFrame, small: DataFrame, keys: list[str],
+                        how: str = "left",
+                        max_broadcast_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
+    """Join a per-key lookup table (one row per key) onto a large frame,
+    broadcasting it only when its counted size is within the bound."""
+    n = small.count()
+    right = F.broadcast(small) if n <= max_broadcast_rows else small
+    return big.join(right, keys, how)
+
+
 def reduce_trips(df: DataFrame, min_count: int = MIN_PAIR_COUNT,
                  fraction: float = SAMPLE_FRACTION, key: str = "trip_id",
                  counts: DataFrame | None = None,

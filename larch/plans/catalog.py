@@ -74,6 +74,10 @@ QUERIES = {
     "embedding_covariance": q.embedding_covariance,
     "saved_model_scoring": q.saved_model_scoring,
     "streaming_scoring": q.streaming_scoring,
+    # second binary task on labels + documents
+    "document_quality_baseline": q.document_quality_baseline,
+    "document_length_auc": q.document_length_auc,
+    "document_quality_logistic": q.document_quality_logistic,
 }
 
 ORACLE = {k: v for k, v in oracle.SQL.items() if k in QUERIES}

@@ -226,9 +226,11 @@ SELECT round(sqrt(avg(CASE WHEN NOT is_test THEN (duration - mu) * (duration - m
 FROM reg, m""")
 
 
-def _cls_report_sql(scored_cte: str, pred_expr: str, score_expr: str) -> str:
-    """Confusion metrics + AUC (ties half) per side, pivoted to one row."""
-    return with_trips(f""",
+def _cls_report_sql(scored_cte: str, pred_expr: str, score_expr: str,
+                    prelude=None) -> str:
+    """Confusion metrics + AUC (ties half) per side, pivoted to one row.
+    ``prelude`` opens the WITH list (default: the trip views)."""
+    return (prelude or with_trips)(f""",
 {scored_cte},
 pr AS (SELECT is_test, tipped AS y, {pred_expr} AS yhat, {score_expr} AS s FROM scored),
 conf AS (
@@ -352,3 +354,26 @@ WITH e AS (SELECT vec_id, unnest(embedding) AS x, generate_subscripts(embedding,
 SELECT CAST(a.i AS BIGINT) AS i, CAST(b.i AS BIGINT) AS j,
   round(covar_samp(CAST(a.x AS DOUBLE), CAST(b.x AS DOUBLE)), 6) AS cov
 FROM e a JOIN e b ON a.vec_id = b.vec_id GROUP BY a.i, b.i"""
+
+
+_DOCS = """WITH ld AS (
+  SELECT d.doc_id, d.n_chars, l.quality AS tipped, ((d.doc_id * 7919 + 123) % 1000) < 300 AS is_test
+  FROM documents d JOIN labels l ON l.doc_id = d.doc_id)"""
+
+
+def _docs_report(scored: str, pred_expr: str, score_expr: str) -> str:
+    """The classification report over labeled documents ("tipped" = quality)."""
+    return _cls_report_sql(scored, pred_expr, score_expr, prelude=lambda body: _DOCS + body)
+
+
+SQL["document_quality_baseline"] = _docs_report(
+    "md AS (SELECT " + mode_sql("ld", "tipped", "NOT is_test") + " AS mo),\n"
+    "scored AS (SELECT ld.*, md.mo AS pred, CASE WHEN md.mo = 1 THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END AS p1 FROM ld, md)",
+    "pred", "p1")
+
+SQL["document_length_auc"] = _DOCS + """,
+g AS (SELECT is_test, CAST(n_chars AS DOUBLE) AS s, sum(CASE WHEN tipped = 1 THEN 1 ELSE 0 END) AS pos,
+        sum(CASE WHEN tipped = 0 THEN 1 ELSE 0 END) AS neg FROM ld GROUP BY is_test, n_chars),
+c AS (SELECT *, coalesce(sum(neg) OVER (PARTITION BY is_test ORDER BY s ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS negb FROM g)
+SELECT is_test, round(CASE WHEN sum(pos) > 0 AND sum(neg) > 0 THEN sum(pos * (negb + neg / 2.0::DOUBLE)) / (sum(pos)::DOUBLE * sum(neg)) END, 6) AS roc_auc
+FROM c GROUP BY is_test"""

@@ -233,9 +233,9 @@ def threshold_report(spark, sf):
     (a frequency score), so the report exercises thresholding and AUC."""
     raw = tr.raw_task_frame(spark, sf, "classification")
     train = raw.filter(~F.col("is_test"))
-    rate = train.groupBy("PU_DO").agg(F.avg("tipped").alias("pair_rate"))
+    rate = train.groupBy("PU_DO").agg(F.avg("tipped").alias("pair_rate")).persist()
     prior = train.agg(F.avg("tipped")).first()[0]
-    scored = raw.join(rate, "PU_DO", "left").withColumn(
+    scored = rd.lookup_join_checked(raw, rate, ["PU_DO"]).withColumn(
         "p1", F.coalesce(F.col("pair_rate"), F.lit(prior)))
     return _rounded(evaluate.classification_report(scored, "tipped", p1="p1", threshold=0.5))
 
@@ -319,15 +319,24 @@ def learning_curve_subsets(spark, sf):
     ranked = split.with_fold_train_ranks(folds, LC_FOLDS, n_rows=n)
     n0 = folds.filter(F.col("fold") != 0).count()
     sizes = split.train_sizes(n0, LC_FRACTIONS)
-    # one row per (row, fold it trains) -- the expansion the 100 fits read
+    # each (row, fold it trains) lands in the first subset whose size exceeds
+    # its rank; subset totals are running sums over the small (fold, size) table
     expanded = ranked.select("trip_id", "fold", F.posexplode("train_rank").alias("f", "r")) \
         .filter(F.col("fold") != F.col("f"))
     size_arr = F.array(*[F.lit(s) for s in sizes])
-    per = expanded.select("trip_id", "f", "r", F.posexplode(size_arr).alias("size_idx", "size")) \
-        .filter(F.col("r") < F.col("size"))
-    return per.groupBy(F.col("f").cast("long").alias("fold"),
-                       F.col("size").cast("long").alias("train_size")).agg(
-        F.count(F.lit(1)).alias("rows"), F.sum("trip_id").cast("long").alias("key_sum"))
+    first = F.size(F.filter(size_arr, lambda s: s <= F.col("r")))
+    cells = expanded.filter(F.col("r") < F.lit(sizes[-1])).groupBy(
+        F.col("f").cast("long").alias("fold"), first.alias("j")).agg(
+        F.count(F.lit(1)).alias("n"), F.sum("trip_id").alias("ks"))
+    grid = ranked.sparkSession.createDataFrame(
+        [(f, j, s) for f in range(LC_FOLDS) for j, s in enumerate(sizes)],
+        "fold long, j int, train_size long")
+    from pyspark.sql import Window
+    w = Window.partitionBy("fold").orderBy("j").rowsBetween(Window.unboundedPreceding, 0)
+    per = grid.join(cells, ["fold", "j"], "left").withColumn(
+        "rows", F.coalesce(F.sum("n").over(w), F.lit(0)).cast("long")).withColumn(
+        "key_sum", F.coalesce(F.sum("ks").over(w), F.lit(0)).cast("long"))
+    return per.select("fold", "train_size", "rows", "key_sum")
 
 
 # ---- searches, comparisons, leaderboards (H1-H4, H9-H11, M7-M14) ---------
@@ -496,3 +505,20 @@ def streaming_scoring(spark, sf):
     """S7 on a stream: the saved pipeline scores the events files."""
     from larch.streaming import scoring as ss
     return ss.stream_score_month(spark, sf)
+
+
+# ---- second binary task: documents (M2, M7, V7) --------------------------
+
+def document_quality_baseline(spark, sf):
+    from larch.plans import documents
+    return _rounded(documents.quality_baseline(spark, sf))
+
+
+def document_length_auc(spark, sf):
+    from larch.plans import documents
+    return _rounded(documents.length_auc(spark, sf))
+
+
+def document_quality_logistic(spark, sf):
+    from larch.plans import documents
+    return documents.quality_logistic(spark, sf)
