@@ -18,6 +18,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from larch.operators import evaluate, features as fe, models, reduce as rd, split, targets
+from larch.session import target_partitions
 from larch.sources import trips as trip_source
 
 
@@ -105,6 +106,7 @@ def prepare(spark: SparkSession, sf_dir: str, task: str, enable_categorical: boo
     if task == "regression":
         keep += num + cat      # imputed raw columns for the Gram-based ridge
     frame = fitted.transform(raw).select(*keep).persist(StorageLevel.MEMORY_AND_DISK)
+    frame = rebalance(spark, frame)
     n_features = int(frame.schema["features"].metadata["ml_attr"]["num_attrs"])
     stats = models.label_stats(frame.filter(~F.col("is_test")), label,
                                with_mode=(task == "classification"))
@@ -113,6 +115,19 @@ def prepare(spark: SparkSession, sf_dir: str, task: str, enable_categorical: boo
                          scale=scale, impute_from=impute_from))
 
 
+def rebalance(spark: SparkSession, frame: DataFrame, concurrent_jobs: int = 1) -> DataFrame:
+    """Re-spread a persisted frame over :func:`target_partitions` parts
+    (one extra pass; every later fit then uses its share of the cores)."""
+    n = frame.count()
+    p = target_partitions(spark, n, concurrent_jobs)
+    if p == frame.rdd.getNumPartitions():
+        return frame
+    out = frame.repartition(p).persist(StorageLevel.MEMORY_AND_DISK)
+    out.count()
+    frame.unpersist()
+    return out
+
+
 def scores(td: TaskData, model) -> DataFrame:
     """Predictions of both sides in one frame."""
     pred = model.transform(td.frame)

@@ -58,6 +58,21 @@ def unique_path(spark: SparkSession, *parts: str) -> str:
     return workspace_path(spark, *parts, uuid.uuid4().hex[:12])
 
 
+MIN_ROWS_PER_PARTITION = 5_000
+MAX_ROWS_PER_PARTITION = 1_000_000
+
+
+def target_partitions(spark: SparkSession, n_rows: int, concurrent_jobs: int = 1) -> int:
+    """Partitions for a persisted frame of ``n_rows`` rows reused by many
+    jobs: enough to use this job's share of the cores once there is real
+    data (``concurrent_jobs`` fits run side by side), about a million rows
+    each at scale, never slivers of a few rows."""
+    by_floor = max(1, -(-n_rows // MIN_ROWS_PER_PARTITION))
+    by_ceiling = max(1, -(-n_rows // MAX_ROWS_PER_PARTITION))
+    share = max(1, -(-spark.sparkContext.defaultParallelism // max(1, concurrent_jobs)))
+    return min(by_floor, max(share, by_ceiling))
+
+
 def local_path(p: str) -> str:
     """Strip a ``file:`` scheme so that local tools can open the path."""
     return p[5:] if p.startswith("file:") else p
