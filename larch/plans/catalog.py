@@ -78,6 +78,10 @@ QUERIES = {
     "document_quality_baseline": q.document_quality_baseline,
     "document_length_auc": q.document_length_auc,
     "document_quality_logistic": q.document_quality_logistic,
+    # closed-form checks of a tree, scoring and the row guard
+    "decision_stump": q.decision_stump,
+    "saved_ols_scoring": q.saved_ols_scoring,
+    "feature_row_guard": q.feature_row_guard,
 }
 
 ORACLE = {k: v for k, v in oracle.SQL.items() if k in QUERIES}

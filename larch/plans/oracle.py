@@ -377,3 +377,39 @@ g AS (SELECT is_test, CAST(n_chars AS DOUBLE) AS s, sum(CASE WHEN tipped = 1 THE
 c AS (SELECT *, coalesce(sum(neg) OVER (PARTITION BY is_test ORDER BY s ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS negb FROM g)
 SELECT is_test, round(CASE WHEN sum(pos) > 0 AND sum(neg) > 0 THEN sum(pos * (negb + neg / 2.0::DOUBLE)) / (sum(pos)::DOUBLE * sum(neg)) END, 6) AS roc_auc
 FROM c GROUP BY is_test"""
+
+
+SQL["decision_stump"] = with_trips(""",
+t AS (SELECT CAST(floor(fare_amount / 10) AS DOUBLE) AS x, tipped AS y FROM cls WHERE NOT is_test),
+v AS (SELECT DISTINCT x FROM t),
+th AS (SELECT (x + lead(x) OVER (ORDER BY x)) / 2.0::DOUBLE AS thr FROM v),
+tot AS (SELECT count(*) AS n, sum(y) AS p FROM t),
+s AS (
+  SELECT th.thr,
+    sum(CASE WHEN t.x <= th.thr THEN 1 ELSE 0 END) AS nl,
+    sum(CASE WHEN t.x <= th.thr THEN t.y ELSE 0 END) AS pl
+  FROM th, t WHERE th.thr IS NOT NULL GROUP BY th.thr),
+g AS (
+  SELECT s.thr, s.nl, s.pl, tot.n - s.nl AS nr, tot.p - s.pl AS pr, tot.n, tot.p,
+    (1 - power(tot.p::DOUBLE / tot.n, 2) - power((tot.n - tot.p)::DOUBLE / tot.n, 2))
+    - (s.nl::DOUBLE / tot.n) * (1 - power(s.pl::DOUBLE / s.nl, 2) - power((s.nl - s.pl)::DOUBLE / s.nl, 2))
+    - ((tot.n - s.nl)::DOUBLE / tot.n) * (1 - power((tot.p - s.pl)::DOUBLE / (tot.n - s.nl), 2)
+        - power(((tot.n - s.nl) - (tot.p - s.pl))::DOUBLE / (tot.n - s.nl), 2)) AS gain
+  FROM s, tot WHERE s.nl > 0 AND s.nl < tot.n),
+best AS (SELECT * FROM g ORDER BY gain DESC, thr ASC LIMIT 1)
+SELECT * FROM (
+  SELECT round(thr, 6) AS threshold, round(gain, 6) AS gain,
+    CAST(CASE WHEN pl > nl - pl THEN 1 ELSE 0 END AS BIGINT) AS left_class,
+    CAST(CASE WHEN pr > nr - pr THEN 1 ELSE 0 END AS BIGINT) AS right_class
+  FROM best WHERE gain > 0) WHERE left_class <> right_class""")
+
+SQL["saved_ols_scoring"] = with_trips(""",
+b AS (SELECT regr_slope(duration, lpep_pickup_datetime_hour) AS b1,
+             regr_intercept(duration, lpep_pickup_datetime_hour) AS b0 FROM reg WHERE NOT is_test)
+SELECT trip_id, round(b0 + b1 * CAST(hour(lpep_pickup_datetime) AS DOUBLE), 6) AS predicted_duration
+FROM trips, b""")
+
+SQL["feature_row_guard"] = with_trips("""
+SELECT is_test, count(*) AS rows_before, count(*) AS rows_after, 'regression' AS task FROM reg GROUP BY is_test
+UNION ALL
+SELECT is_test, count(*) AS rows_before, count(*) AS rows_after, 'classification' AS task FROM cls GROUP BY is_test""")

@@ -522,3 +522,57 @@ def document_length_auc(spark, sf):
 def document_quality_logistic(spark, sf):
     from larch.plans import documents
     return documents.quality_logistic(spark, sf)
+
+
+# ---- closed-form checks of a tree, scoring and the row guard -------------
+
+def decision_stump(spark, sf):
+    """M11 at depth 1 on the fare band floor(fare / 10) (few values, so
+    every midpoint is a candidate split): chosen threshold, Gini gain, leaf
+    predictions. MLlib prunes a split whose leaves predict the same class."""
+    from pyspark.ml.feature import VectorAssembler
+    raw = tr.raw_task_frame(spark, sf, "classification").filter(~F.col("is_test")) \
+        .withColumn("fare_band", F.floor(F.col("fare_amount") / 10).cast("double"))
+    d = VectorAssembler(inputCols=["fare_band"], outputCol="features").transform(raw)
+    m = models.decision_tree("tipped", max_depth=1, max_bins=32).fit(d)
+    node = m._call_java("rootNode")
+    if node.getClass().getSimpleName() != "InternalNode":
+        return spark.createDataFrame([], "threshold double, gain double, left_class long, right_class long")
+    thr = float(node.split().threshold())
+    gain = float(node.gain())
+    left = int(node.leftChild().prediction())
+    right = int(node.rightChild().prediction())
+    return _rounded(d.limit(1).select(F.lit(thr).alias("threshold"), F.lit(gain).alias("gain"),
+                                      F.lit(left).cast("long").alias("left_class"),
+                                      F.lit(right).cast("long").alias("right_class")))
+
+
+def saved_ols_scoring(spark, sf):
+    """S5-S7 with a closed form: OLS duration ~ hour fitted on the train
+    side, saved as a pipeline, reloaded, and applied to every trip of the
+    month without its label."""
+    from pyspark.ml import Pipeline, PipelineModel
+    from pyspark.ml.feature import VectorAssembler
+    from larch.plans import scoring
+    from larch.sources import runs as runlog
+    raw = tr.raw_task_frame(spark, sf, "regression").filter(~F.col("is_test"))
+    stats = models.label_stats(raw, "duration")
+    pipe = Pipeline(stages=[VectorAssembler(inputCols=["lpep_pickup_datetime_hour"],
+                                            outputCol="features"),
+                            models.linear_regression("ols", stats, 1, "duration")])
+    path = runlog.save_model(pipe.fit(raw), unique_path(spark, "models", "ols_hour"))
+    rows = scoring.label_free_rows(ts.trips(spark, sf))
+    return _rounded(scoring.score(PipelineModel.load(path), rows))
+
+
+def feature_row_guard(spark, sf):
+    """Rows before and after the feature pipeline, per task and side."""
+    out = None
+    for task in ("regression", "classification"):
+        raw = tr.raw_task_frame(spark, sf, task)
+        td = tr.prepare(spark, sf, task)
+        before = raw.groupBy("is_test").agg(F.count(F.lit(1)).alias("rows_before"))
+        after = td.frame.groupBy("is_test").agg(F.count(F.lit(1)).alias("rows_after"))
+        part = before.join(after, "is_test").withColumn("task", F.lit(task))
+        out = part if out is None else out.unionByName(part)
+    return out
