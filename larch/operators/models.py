@@ -56,8 +56,9 @@ def label_stats(train: DataFrame, label: str, with_mode: bool = False) -> LabelS
 
 # ---- baselines (M1, M2) -------------------------------------------------
 
-def predict_constant(df: DataFrame, value: float, out: str = "prediction") -> DataFrame:
-    return df.withColumn(out, F.lit(float(value)))
+def predict_constant(df: DataFrame, value: float | None, out: str = "prediction") -> DataFrame:
+    """Constant prediction (NULL when the training side was empty)."""
+    return df.withColumn(out, F.lit(None if value is None else float(value)).cast("double"))
 
 
 def regression_baseline(train: DataFrame, label: str) -> float:

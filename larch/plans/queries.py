@@ -285,11 +285,9 @@ def lineitem_price_ols(spark, sf):
     stats = models.label_stats(d, "l_extendedprice")
     m = models.linear_regression("ols", stats, 1, "l_extendedprice").fit(d)
     s = m.summary
-    return _rounded(d.limit(1).select(
-        F.lit(float(m.intercept)).alias("intercept"),
-        F.lit(float(m.coefficients[0])).alias("coefficient"),
-        F.lit(float(s.rootMeanSquaredError)).alias("rmse"),
-        F.lit(int(s.numInstances)).cast("long").alias("n")))
+    return _rounded(spark.createDataFrame(
+        [(float(m.intercept), float(m.coefficients[0]), float(s.rootMeanSquaredError),
+          int(s.numInstances))], "intercept double, coefficient double, rmse double, n long"))
 
 
 # ---- folds and growing subsets (D3, D4) ----------------------------------
@@ -542,9 +540,9 @@ def decision_stump(spark, sf):
     gain = float(node.gain())
     left = int(node.leftChild().prediction())
     right = int(node.rightChild().prediction())
-    return _rounded(d.limit(1).select(F.lit(thr).alias("threshold"), F.lit(gain).alias("gain"),
-                                      F.lit(left).cast("long").alias("left_class"),
-                                      F.lit(right).cast("long").alias("right_class")))
+    return _rounded(spark.createDataFrame(
+        [(thr, gain, left, right)],
+        "threshold double, gain double, left_class long, right_class long"))
 
 
 def saved_ols_scoring(spark, sf):
