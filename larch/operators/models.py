@@ -102,12 +102,13 @@ def penalty_params(kind: str, stats: LabelStats, solver: str, alpha: float = 0.0
 def linear_regression(kind: str, stats: LabelStats, n_features: int, label: str,
                       alpha: float = 0.0, l1_ratio: float = 0.5,
                       features: str = "features", max_iter: int = 1000,
-                      tol: float = 1e-10) -> LinearRegression:
-    solver = solver_for(n_features)
+                      tol: float = 1e-10, fit_intercept: bool = True,
+                      solver: str | None = None) -> LinearRegression:
+    solver = solver or solver_for(n_features)
     reg, mix = penalty_params(kind, stats, solver, alpha, l1_ratio)
     return LinearRegression(featuresCol=features, labelCol=label, regParam=reg,
                             elasticNetParam=mix, standardization=False, solver=solver,
-                            fitIntercept=True, maxIter=max_iter, tol=tol)
+                            fitIntercept=fit_intercept, maxIter=max_iter, tol=tol)
 
 
 # ---- classifiers (M7-M14) -----------------------------------------------

@@ -36,18 +36,52 @@ class Gram:
     categories: list[list[str]] | None = None
 
 
+# A d x d Gram matrix lives on the driver: 4096^2 doubles are 128 MiB. Wider
+# designs are fitted by distributed MLlib solvers instead (see the plans).
+GRAM_MAX_FEATURES = 4096
+
+
+class GramTooLarge(ValueError):
+    """The design is wider than :data:`GRAM_MAX_FEATURES`."""
+
+    def __init__(self, width: int, limit: int):
+        super().__init__(f"design width {width} exceeds the Gram bound {limit}")
+        self.width = width
+        self.limit = limit
+
+
+def design_width(df: DataFrame, numeric: list[str], categorical: list[str],
+                 categories: list[list[str]] | None, drop_first: bool = False) -> int:
+    """Number of design columns; one small aggregate when the categories
+    are not given (distinct non-null values per column)."""
+    if categories is not None:
+        counts = [len(c) for c in categories]
+    elif categorical:
+        r = df.agg(*[F.count_distinct(F.col(c)).alias(f"n{i}")
+                     for i, c in enumerate(categorical)]).first()
+        counts = [int(r[f"n{i}"]) for i in range(len(categorical))]
+    else:
+        counts = []
+    return len(numeric) + sum(max(0, n - 1) if drop_first else n for n in counts)
+
+
 def design_gram(df: DataFrame, numeric: list[str], categorical: list[str],
                 categories: list[list[str]] | None, label: str,
-                drop_first: bool = False) -> Gram:
+                drop_first: bool = False, max_features: int | None = None) -> Gram:
     """Sufficient statistics of ``[numeric, one-hot(categorical)]`` and the
     label in ONE aggregate. ``categories[i]`` lists the one-hot slots of
     column i in order; other values (unseen, NULL) are all-zero rows, as in
     the encoder.
 
-    The aggregate groups by the categorical columns together; each cell
-    holds its count, label sums and numeric sums/products, and every Gram
-    block is a sum over cells. Cells are bounded by the product of the
-    category counts (partial aggregation keeps hot cells cheap)."""
+    The aggregate uses grouping sets: the empty set (numeric blocks), each
+    categorical column (category x numeric, diagonal, X'y) and each pair of
+    categorical columns (category x category counts). What reaches the
+    driver is bounded by the Gram size, never by rows, and the width is
+    checked against ``max_features`` before anything is collected."""
+    limit = GRAM_MAX_FEATURES if max_features is None else max_features
+    width = design_width(df, numeric, categorical, categories, drop_first)
+    if width > limit:
+        raise GramTooLarge(width, limit)
     y = F.col(label).cast("double")
     nn, nc = len(numeric), len(categorical)
     aggs = [F.count(F.lit(1)).alias("cnt"), F.sum(y).alias("ys"), F.sum(y * y).alias("yy")]
@@ -55,12 +89,25 @@ def design_gram(df: DataFrame, numeric: list[str], categorical: list[str],
     aggs += [F.sum(F.col(a)).alias(f"s{i}") for i, a in enumerate(numeric)]
     aggs += [F.sum(F.col(a) * y).alias(f"xy{i}") for i, a in enumerate(numeric)]
     aggs += [F.sum(F.col(numeric[i]) * F.col(numeric[j])).alias(f"g{i}_{j}") for i, j in pairs]
-    keys = [F.col(c).cast("string").alias(f"k{i}") for i, c in enumerate(categorical)]
-    cells = (df.groupBy(*keys) if keys else df).agg(*aggs).toPandas()
+    keys = [f"k{i}" for i in range(nc)]
+    if keys:
+        keyed = df.select(*[F.col(c).cast("string").alias(k) for c, k in zip(categorical, keys)],
+                          *numeric, F.col(label))
+        sets = [[]] + [[k] for k in keys] + [[keys[i], keys[j]]
+                                             for i in range(nc) for j in range(i + 1, nc)]
+        cells = keyed.groupingSets(sets, *keys).agg(
+            *aggs, *[F.grouping(k).alias(f"gr{i}") for i, k in enumerate(keys)]).toPandas()
+        grouped = [cells[f"gr{i}"] == 0 for i in range(nc)]
+    else:
+        cells = df.agg(*aggs).toPandas()
+        grouped = []
     cells = cells.fillna({c: 0.0 for c in cells.columns if not c.startswith("k")})
+    n_grouped = sum(g.astype(int) for g in grouped) if grouped else None
+    total = cells[n_grouped == 0] if grouped else cells
     if categories is None:
         # sorted distinct values seen in the data (the encoder's slot order)
-        categories = [sorted(cells[f"k{i}"].dropna().unique().tolist()) for i in range(nc)]
+        categories = [sorted(cells.loc[grouped[i] & (n_grouped == 1), f"k{i}"].dropna()
+                             .unique().tolist()) for i in range(nc)]
     if drop_first:
         categories = [list(c)[1:] for c in categories]
     names = list(numeric)
@@ -76,19 +123,19 @@ def design_gram(df: DataFrame, numeric: list[str], categorical: list[str],
     xty = np.zeros(d)
     col_sum = np.zeros(d)
     for i in range(nn):
-        col_sum[i] = cells[f"s{i}"].sum()
-        xty[i] = cells[f"xy{i}"].sum()
+        col_sum[i] = total[f"s{i}"].sum()
+        xty[i] = total[f"xy{i}"].sum()
     for i, j in pairs:
-        xtx[i, j] = xtx[j, i] = cells[f"g{i}_{j}"].sum()
+        xtx[i, j] = xtx[j, i] = total[f"g{i}_{j}"].sum()
     slot_cols = []
     for ci, cats in enumerate(categories):
         index = {str(v): offsets[ci] + j for j, v in enumerate(cats)}
         slot_cols.append(cells[f"k{ci}"].map(index))
     for ci in range(nc):
         sl = slot_cols[ci]
-        known = sl.notna()
-        grp = cells[known].groupby(sl[known].astype(int))
-        per = grp[["cnt", "ys"] + [f"s{i}" for i in range(nn)]].sum()
+        single = grouped[ci] & (n_grouped == 1) & sl.notna()
+        per = cells[single].groupby(sl[single].astype(int))[
+            ["cnt", "ys"] + [f"s{i}" for i in range(nn)]].sum()
         k = per.index.to_numpy()
         xtx[k, k] = per["cnt"].to_numpy()
         col_sum[k] = per["cnt"].to_numpy()
@@ -97,13 +144,13 @@ def design_gram(df: DataFrame, numeric: list[str], categorical: list[str],
             xtx[i, k] = xtx[k, i] = per[f"s{i}"].to_numpy()
         for cj in range(ci + 1, nc):
             sl2 = slot_cols[cj]
-            both = known & sl2.notna()
+            both = grouped[ci] & grouped[cj] & (n_grouped == 2) & sl.notna() & sl2.notna()
             cross = cells[both].groupby([sl[both].astype(int), sl2[both].astype(int)])["cnt"].sum()
             a = cross.index.get_level_values(0).to_numpy()
             b = cross.index.get_level_values(1).to_numpy()
             xtx[a, b] = xtx[b, a] = cross.to_numpy()
-    return Gram(names, xtx, xty, col_sum, float(cells["ys"].sum()), float(cells["yy"].sum()),
-                int(cells["cnt"].sum()), [list(c) for c in categories])
+    return Gram(names, xtx, xty, col_sum, float(total["ys"].sum()), float(total["yy"].sum()),
+                int(total["cnt"].sum()), [list(c) for c in categories])
 
 
 def ridge_coefficients(g: Gram, alpha: float) -> tuple[float, np.ndarray]:

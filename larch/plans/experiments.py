@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
-from larch.operators import models, search, targets
+from larch.operators import models, paths, search, targets
 from larch.operators.ridge import GramRidge
 from larch.operators.search import choice, lognormal, quniform, uniform
 from larch.plans import training as tr
@@ -97,10 +97,25 @@ def ridge_estimator(td: tr.TaskData) -> GramRidge:
 
 
 def ridge_candidates(td: tr.TaskData, cands: list[dict]) -> list[dict]:
-    """All ridge candidates from one Gram aggregate, exact solves."""
-    fitted = ridge_estimator(td).fit_many(td.train, [p["alpha"] for p in cands])
-    evals = search.run(lambda i: tr.evaluate_model(td, fitted[i]), list(range(len(cands))))
-    return [{"params": p, "metrics": r["metrics"]} for p, r in zip(cands, evals)]
+    """All ridge candidates from one Gram aggregate, exact solves. A design
+    wider than the Gram bound is fitted per candidate by MLlib's
+    distributed solver (same objective through the penalty mapping)."""
+    if td.n_features <= paths.GRAM_MAX_FEATURES:
+        try:
+            fitted = ridge_estimator(td).fit_many(td.train, [p["alpha"] for p in cands])
+        except paths.GramTooLarge:
+            fitted = None
+        if fitted is not None:
+            evals = search.run(lambda i: tr.evaluate_model(td, fitted[i]),
+                               list(range(len(cands))))
+            return [{"params": p, "metrics": r["metrics"]} for p, r in zip(cands, evals)]
+
+    def objective(p):
+        est = models.linear_regression("ridge", td.stats, td.n_features, td.label,
+                                       alpha=p["alpha"])
+        return tr.fit_and_evaluate(td, est)[1]
+
+    return search.run(objective, cands)
 
 
 def regression_comparison(spark: SparkSession, sf: str) -> tuple[DataFrame, str]:
