@@ -36,6 +36,20 @@ def regression_report(pred: DataFrame, label: str, prediction: str = "prediction
     return pred.agg(*aggs)
 
 
+def regression_reports(pred: DataFrame, label: str, predictions: list[str]) -> list[dict]:
+    """V8 for many prediction columns of the same rows in ONE aggregate
+    (a whole search is scored in a single pass)."""
+    y = F.col(label).cast("double")
+    aggs = []
+    for j, p in enumerate(predictions):
+        err = y - F.col(p)
+        for name, side in SIDES:
+            aggs.append(F.sqrt(F.avg(_side(err * err, side))).alias(f"rmse_{name}__{j}"))
+            aggs.append(F.avg(_side(F.abs(err), side)).alias(f"mae_{name}__{j}"))
+    r = pred.agg(*aggs).first().asDict()
+    return [{m: r[f"{m}__{j}"] for m in METRIC_ORDER_REGRESSION} for j in range(len(predictions))]
+
+
 def roc_auc(df: DataFrame, label: str, score: str, group_cols: list[str] | None = None,
             rows_per_bucket: int = ranking.ROWS_PER_BUCKET) -> DataFrame:
     """V7: exact ROC AUC per group; ties between a positive and a negative

@@ -163,6 +163,23 @@ def ridge_coefficients(g: Gram, alpha: float) -> tuple[float, np.ndarray]:
     return float(my - m @ w), w
 
 
+def centered(g: Gram) -> Gram:
+    """The Gram of the column-centered design and label: penalized fits
+    with an unpenalized intercept solve on it without an intercept."""
+    m = g.col_sum / g.n
+    my = g.y_sum / g.n
+    return Gram(g.names, g.xtx - g.n * np.outer(m, m), g.xty - g.n * m * my,
+                np.zeros_like(m), 0.0, g.yty - g.n * my * my, g.n, g.categories)
+
+
+def enet_coefficients(g: Gram, alpha: float, l1_ratio: float,
+                      tol: float = 1e-9) -> tuple[float, np.ndarray]:
+    """Elastic net / lasso with intercept:
+    ``1/(2n)||y - b - Xw||^2 + alpha r |w|_1 + alpha (1-r)/2 ||w||^2``."""
+    w = enet_path(centered(g), np.array([alpha]), l1_ratio, tol=tol)[0]
+    return float(g.y_sum / g.n - (g.col_sum / g.n) @ w), w
+
+
 def alpha_grid(g: Gram, l1_ratio: float = 1.0, n_alphas: int = 30,
                eps: float = 1e-3) -> np.ndarray:
     """Geometric grid from the smallest penalty that zeroes every

@@ -125,3 +125,36 @@ class LinearPredictorModel(Model, _RidgeParams, DefaultParamsReadable, DefaultPa
         drops = [f"_k{i}" for i in range(len(self.getOrDefault("categoricalCols")))] + \
                 [f"_w{i}" for i in range(len(self.getOrDefault("categoricalCols")))]
         return out.withColumn(self.getOrDefault("predictionCol"), expr).drop(*drops)
+
+
+def candidate_predictions(df: DataFrame, numeric: list[str], categorical: list[str],
+                          categories: list[list[str]], fits: list[tuple[float, np.ndarray]],
+                          prefix: str = "pred_") -> DataFrame:
+    """Predictions of many linear fits over the same design as columns
+    ``pred_0 .. pred_{k-1}`` in one projection: numeric weights are
+    literals, category weights come from one (value, weights array) table
+    per categorical column, broadcast when within the bound."""
+    spark = df.sparkSession
+    k = len(fits)
+    W = np.array([w for _, w in fits]).reshape(k, -1)
+    nn = len(numeric)
+    out = df
+    off = nn
+    cat_terms = []
+    for i, (c, cats) in enumerate(zip(categorical, categories)):
+        rows = [(str(v), [float(x) for x in W[:, off + j]]) for j, v in enumerate(cats)]
+        off += len(cats)
+        table = spark.createDataFrame(rows, f"_k{i} string, _w{i} array<double>")
+        right = F.broadcast(table) if len(rows) <= MAX_BROADCAST_ROWS else table
+        out = out.join(right, F.col(c).cast("string") == F.col(f"_k{i}"), "left")
+        cat_terms.append(f"_w{i}")
+    preds = {}
+    for j, (b, _) in enumerate(fits):
+        e = F.lit(float(b))
+        for i, c in enumerate(numeric):
+            e = e + F.lit(float(W[j, i])) * F.col(c)
+        for t in cat_terms:
+            e = e + F.coalesce(F.col(t)[j], F.lit(0.0))
+        preds[f"{prefix}{j}"] = e
+    drops = [f"_k{i}" for i in range(len(cat_terms))] + cat_terms
+    return out.withColumns(preds).drop(*drops)

@@ -11,8 +11,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
-from larch.operators import models, paths, search, targets
-from larch.operators.ridge import GramRidge
+from larch.operators import evaluate, models, paths, search, targets
+from larch.operators.ridge import GramRidge, candidate_predictions
 from larch.operators.search import choice, lognormal, quniform, uniform
 from larch.plans import training as tr
 from larch.sources import runs as runlog
@@ -73,9 +73,8 @@ def linear_search(spark: SparkSession, sf: str, kind: str, drop_first: bool = Fa
     space = {"ridge": RIDGE_SPACE, "lasso": LASSO_SPACE, "elastic_net": ELASTIC_NET_SPACE}[kind]
     n = EVALS[kind] if experiment is None else EVALS["comparison"]
     cands = search.sample(space, n, SEED)
-    if kind == "ridge":
-        results = ridge_candidates(td, cands)
-    else:
+    results = gram_candidates(td, kind, cands)
+    if results is None:
         def objective(p):
             est = models.linear_regression(kind, td.stats, td.n_features, td.label,
                                            alpha=p["alpha"], l1_ratio=p.get("l1_ratio", 0.5))
@@ -96,19 +95,40 @@ def ridge_estimator(td: tr.TaskData) -> GramRidge:
                      dropFirst=bool(td.options.get("drop_first")))
 
 
+def gram_candidates(td: tr.TaskData, kind: str, cands: list[dict]) -> list[dict] | None:
+    """Every candidate of a linear search in two data passes: one Gram
+    aggregate of the train side, a d x d solve per candidate on the driver
+    (closed form for ridge, coordinate descent on the centered Gram for
+    L1 penalties, same objectives as the MLlib mapping), and one aggregate
+    that scores all candidates on both sides. ``None`` when the design is
+    wider than the Gram bound."""
+    if td.n_features > paths.GRAM_MAX_FEATURES:
+        return None
+    try:
+        g = ridge_estimator(td).gram(td.train)
+    except paths.GramTooLarge:
+        return None
+    fits = []
+    for p in cands:
+        if kind == "ridge":
+            fits.append(paths.ridge_coefficients(g, p["alpha"]))
+        else:
+            r = 1.0 if kind == "lasso" else float(p.get("l1_ratio", 0.5))
+            fits.append(paths.enet_coefficients(g, p["alpha"], r))
+    num, cat = targets.feature_lists("regression")
+    cols = [f"pred_{j}" for j in range(len(fits))]
+    scored = candidate_predictions(td.frame, num, cat, g.categories, fits)
+    metrics = evaluate.regression_reports(scored, td.label, cols)
+    return [{"params": p, "metrics": m} for p, m in zip(cands, metrics)]
+
+
 def ridge_candidates(td: tr.TaskData, cands: list[dict]) -> list[dict]:
-    """All ridge candidates from one Gram aggregate, exact solves. A design
+    """All ridge candidates from one Gram aggregate (exact solves). A design
     wider than the Gram bound is fitted per candidate by MLlib's
     distributed solver (same objective through the penalty mapping)."""
-    if td.n_features <= paths.GRAM_MAX_FEATURES:
-        try:
-            fitted = ridge_estimator(td).fit_many(td.train, [p["alpha"] for p in cands])
-        except paths.GramTooLarge:
-            fitted = None
-        if fitted is not None:
-            evals = search.run(lambda i: tr.evaluate_model(td, fitted[i]),
-                               list(range(len(cands))))
-            return [{"params": p, "metrics": r["metrics"]} for p, r in zip(cands, evals)]
+    results = gram_candidates(td, "ridge", cands)
+    if results is not None:
+        return results
 
     def objective(p):
         est = models.linear_regression("ridge", td.stats, td.n_features, td.label,
