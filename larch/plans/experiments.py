@@ -95,6 +95,16 @@ def ridge_estimator(td: tr.TaskData) -> GramRidge:
                      dropFirst=bool(td.options.get("drop_first")))
 
 
+def encoder_labels(td: tr.TaskData) -> list[list[str]]:
+    """Category slots of every categorical column, in the fitted one-hot
+    encoder's order (before any first-slot drop)."""
+    for st in td.feature_model.stages:
+        for s in (st.stages if hasattr(st, "stages") else [st]):
+            if getattr(s, "labelsArray", None) is not None:
+                return [list(x) for x in s.labelsArray]
+    raise ValueError("no fitted category encoder in the feature pipeline")
+
+
 def gram_candidates(td: tr.TaskData, kind: str, cands: list[dict]) -> list[dict] | None:
     """Every candidate of a linear search in two data passes: one Gram
     aggregate of the train side, a d x d solve per candidate on the driver
@@ -104,8 +114,11 @@ def gram_candidates(td: tr.TaskData, kind: str, cands: list[dict]) -> list[dict]
     wider than the Gram bound."""
     if td.n_features > paths.GRAM_MAX_FEATURES:
         return None
+    num, cat = targets.feature_lists("regression")
     try:
-        g = ridge_estimator(td).gram(td.train)
+        # categories from the fitted encoder: no extra pass to size the design
+        g = paths.design_gram(td.train, num, cat, encoder_labels(td), td.label,
+                              drop_first=bool(td.options.get("drop_first")))
     except paths.GramTooLarge:
         return None
     fits = []
@@ -115,7 +128,6 @@ def gram_candidates(td: tr.TaskData, kind: str, cands: list[dict]) -> list[dict]
         else:
             r = 1.0 if kind == "lasso" else float(p.get("l1_ratio", 0.5))
             fits.append(paths.enet_coefficients(g, p["alpha"], r))
-    num, cat = targets.feature_lists("regression")
     cols = [f"pred_{j}" for j in range(len(fits))]
     scored = candidate_predictions(td.frame, num, cat, g.categories, fits)
     metrics = evaluate.regression_reports(scored, td.label, cols)
