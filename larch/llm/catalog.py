@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from larch.llm import exact_dedup
+from larch.llm import exact_dedup, html_extract
 
 QUERIES = {
+    "op1_html_extraction": html_extract.op1_html_extraction,
     "op9_exact_dedup": exact_dedup.op9_exact_dedup,
 }
 
