@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from larch.llm import exact_dedup, html_extract
+from larch.llm import exact_dedup, html_extract, quality_rules
 
 QUERIES = {
+    "op3_quality_rules": quality_rules.op3_quality_rules,
     "op1_html_extraction": html_extract.op1_html_extraction,
     "op9_exact_dedup": exact_dedup.op9_exact_dedup,
 }
