@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from larch.llm import exact_dedup, html_extract, quality_rules
+from larch.llm import arrow_tokens, exact_dedup, html_extract, packing, quality_rules
 
 QUERIES = {
+    "op6_arrow_tokens": arrow_tokens.op6_arrow_tokens,
+    "op8_pattern_packing": packing.op8_pattern_packing,
     "op3_quality_rules": quality_rules.op3_quality_rules,
     "op1_html_extraction": html_extract.op1_html_extraction,
     "op9_exact_dedup": exact_dedup.op9_exact_dedup,
