@@ -2,16 +2,18 @@
 
 from __future__ import annotations
 
-from larch.llm import arrow_tokens, exact_dedup, html_extract, packing, quality_rules
+from larch.llm import arrow_tokens, exact_dedup, html_extract, packing, preferences, quality_rules
 
 QUERIES = {
     "op6_arrow_tokens": arrow_tokens.op6_arrow_tokens,
     "op8_pattern_packing": packing.op8_pattern_packing,
     "op3_quality_rules": quality_rules.op3_quality_rules,
     "op1_html_extraction": html_extract.op1_html_extraction,
+    "op7_preference_formatting": preferences.op7_preference_formatting,
     "op9_exact_dedup": exact_dedup.op9_exact_dedup,
 }
 
 ORACLE = {
+    "op7_preference_formatting": preferences.SQL,
     "op9_exact_dedup": exact_dedup.SQL,
 }
