@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from larch.llm import arrow_tokens, exact_dedup, html_extract, packing, preferences, quality_rules
+from larch.llm import arrow_tokens, exact_dedup, html_extract, language_id, packing, preferences, quality_rules
 
 QUERIES = {
     "op6_arrow_tokens": arrow_tokens.op6_arrow_tokens,
@@ -11,6 +11,7 @@ QUERIES = {
     "op1_html_extraction": html_extract.op1_html_extraction,
     "op7_preference_formatting": preferences.op7_preference_formatting,
     "op9_exact_dedup": exact_dedup.op9_exact_dedup,
+    "op10_language_id": language_id.op10_language_id,
 }
 
 ORACLE = {
