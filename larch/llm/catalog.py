@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from larch.llm import arrow_tokens, exact_dedup, html_extract, language_id, packing, preferences, quality_rules
+from larch.llm import arrow_tokens, exact_dedup, html_extract, language_id, mixing, packing, preferences, quality_rules
 
 QUERIES = {
+    "op5_source_mixing": mixing.op5_source_mixing,
     "op6_arrow_tokens": arrow_tokens.op6_arrow_tokens,
     "op8_pattern_packing": packing.op8_pattern_packing,
     "op3_quality_rules": quality_rules.op3_quality_rules,
