@@ -29,3 +29,33 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
 
 def text_or_empty(name: str = "text") -> Column:
     return F.coalesce(F.col(f"`{name}`").cast("string"), F.lit(""))
+
+
+def whole_row(docs: DataFrame) -> Column:
+    """All columns as one struct, out of the way of names added by an operator."""
+    return F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row")
+
+
+#: A bitmap of keys has 2 ** BITMAP_BITS bits (512 KiB) whatever the input.
+BITMAP_BITS = 22
+
+
+def _slot(key: str) -> Column:
+    return F.pmod(F.xxhash64(key), F.lit(1 << BITMAP_BITS))
+
+
+def key_bitmap(keys: DataFrame, key: str) -> DataFrame:
+    """The slots of the keys, 64 to a row: a table of bounded size to broadcast."""
+    return (
+        keys.select(_slot(key).alias("slot")).select(
+            F.floor(F.col("slot") / 64).alias("word"), F.expr("shiftleft(1L, cast(slot % 64 as int))").alias("bit"))
+        .groupBy("word").agg(F.bit_or("bit").alias("mask")))
+
+
+def flag_keys(df: DataFrame, key: str, bitmap: DataFrame) -> DataFrame:
+    """Adds ``maybe``: false where the key is surely none of the bitmap's. A
+    slot shared by chance makes it true, so true needs a second look."""
+    bit = F.getbit("mask", (_slot(key) % 64).cast("int")) == 1
+    return (
+        df.withColumn("word", F.floor(_slot(key) / 64)).join(F.broadcast(bitmap), "word", "left")
+        .withColumn("maybe", F.coalesce(bit, F.lit(False))).drop("word", "mask"))

@@ -14,8 +14,7 @@ normalised text itself, so that full content is compared every time:
 3. the salt winners (at most ``salts`` rows per group) meet by (digest, text).
 
 Texts whose digest occurs once can have no equal and need not travel. They are
-left out by a bitmap of the repeated digests: ``2**bitmap_bits`` bits, whatever
-the input (512 KiB at the default). A bit shared by chance lets a few unique
+left out by a bitmap of the repeated digests: 512 KiB whatever the input. A bit shared by chance lets a few unique
 texts through, which changes nothing but the bytes moved; a corpus with many
 more repeated digests than bits moves every text once per step.
 
@@ -30,37 +29,25 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from larch.llm.common import ASCII_SPACE, materialize, read_table, text_or_empty
+from larch.llm.common import ASCII_SPACE, flag_keys, key_bitmap, materialize, read_table, text_or_empty, whole_row
 
 SALTS = 16
-BITMAP_BITS = 22
 
 
 def _normalised(text: Column) -> Column:
     return F.regexp_replace(text, ASCII_SPACE + "+", "")
 
 
-def _slot(digest: Column, bits: int) -> Column:
-    return F.pmod(F.xxhash64(digest), F.lit(1 << bits))
+def _repeated_bitmap(rows: DataFrame) -> DataFrame:
+    repeated = rows.groupBy("digest").agg(F.sum("copies").alias("n")).where("n > 1")
+    return materialize(key_bitmap(repeated, "digest"), "repeated_bitmap")
 
 
-def _repeated_bitmap(rows: DataFrame, bits: int) -> DataFrame:
-    """(word, mask): 64 slots of the bitmap of repeated digests per row."""
-    slot = F.col("slot")
-    return (
-        rows.groupBy("digest").agg(F.sum("copies").alias("n")).where("n > 1")
-        .select(_slot(F.col("digest"), bits).alias("slot"))
-        .select(F.floor(slot / 64).alias("word"),
-                F.expr("shiftleft(1L, cast(slot % 64 as int))").alias("bit"))
-        .groupBy("word").agg(F.bit_or("bit").alias("mask"))
-    )
-
-
-def _keyed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+def _keyed(docs: DataFrame, id_col: str, text_col: str, *keep: Column) -> DataFrame:
     return docs.select(
-        F.col(f"`{id_col}`").alias("doc_id"), text_or_empty(text_col).alias("text"),
-    ).select(
-        "doc_id", F.length("text").cast("long").alias("n_chars"), _normalised(F.col("text")).alias("norm"),
+        *keep, F.col(f"`{id_col}`").alias("doc_id"), text_or_empty(text_col).alias("text"),
+    ).withColumns(
+        {"n_chars": F.length("text").cast("long"), "norm": _normalised(F.col("text"))},
     ).withColumn("digest", F.sha2("norm", 256)).withColumn("check", F.xxhash64("norm"))
 
 
@@ -69,21 +56,22 @@ def _best() -> Column:
     return F.struct((-F.col("n_chars")).alias("neg_chars"), F.col("doc_id").isNull().alias("no_id"), F.col("doc_id"))
 
 
-def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-                 salts: int = SALTS, bitmap_bits: int = BITMAP_BITS) -> DataFrame:
-    """One row per document: doc_id, keep_id, group_size, kept, text_sha256."""
-    rows = materialize(
+def _rows(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    return materialize(
         _keyed(docs, id_col, text_col).groupBy("doc_id", "n_chars", "digest", "check")
         .agg(F.count("*").alias("copies")), "exact_rows")
-    repeated = F.broadcast(_repeated_bitmap(rows, bitmap_bits))
-    slot = _slot(F.col("digest"), bitmap_bits)
-    maybe_repeated = (
-        _keyed(docs, id_col, text_col).withColumn("word", F.floor(slot / 64))
-        .join(repeated, "word").where(F.getbit("mask", (slot % 64).cast("int")) == 1)
-    )
+
+
+def _salt(salts: int) -> Column:
+    return F.pmod(F.xxhash64("doc_id", "n_chars"), F.lit(salts)).alias("salt")
+
+
+def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", salts: int = SALTS) -> DataFrame:
+    """One row per document: doc_id, keep_id, group_size, kept, text_sha256."""
+    rows = _rows(docs, id_col, text_col)
+    maybe_repeated = flag_keys(_keyed(docs, id_col, text_col), "digest", _repeated_bitmap(rows)).where("maybe")
     salted = (
-        maybe_repeated.withColumn("salt", F.pmod(F.xxhash64("doc_id", "n_chars"), F.lit(salts)))
-        .groupBy("digest", "check", "salt", "norm").agg(F.min(_best()).alias("best"), F.count("*").alias("n"))
+        maybe_repeated.groupBy("digest", "check", _salt(salts), "norm").agg(F.min(_best()).alias("best"), F.count("*").alias("n"))
     )
     winners = (
         salted.groupBy("digest", "check", "norm").agg(F.min("best").alias("best"), F.sum("n").alias("n"))
@@ -104,6 +92,18 @@ def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     )
 
 
+def keep_one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", salts: int = SALTS) -> DataFrame:
+    """The documents that stay, with all their columns. Texts that occur once
+    pass without a shuffle; the others carry their row through the combining."""
+    flagged = flag_keys(_keyed(docs, id_col, text_col, whole_row(docs)), "digest", _repeated_bitmap(_rows(docs, id_col, text_col)))
+    order = F.struct(_best().alias("best"), F.col("text"))
+    salted = (
+        flagged.where("maybe").groupBy("digest", "check", _salt(salts), "norm")
+        .agg(F.min_by("row", order).alias("row"), F.min(order).alias("order")))
+    winners = salted.groupBy("digest", "check", "norm").agg(F.min_by("row", "order").alias("row"))
+    return flagged.where("NOT maybe").select("row.*").unionByName(winners.select("row.*"))
+
+
 def op9_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_groups(read_table(spark, sf_dir, "documents"))
 

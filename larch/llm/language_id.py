@@ -35,7 +35,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from larch.llm.common import read_table
+from larch.llm.common import read_table, whole_row
 
 VOCABULARY = "piece_bpe_32k.model"
 TRAIN_DOCS = 500
@@ -48,6 +48,8 @@ CACHE_WORDS = 700_000
 LATTICE_WORDS = 20_000
 GROUP_CHARS = 1_000_000
 UNKNOWN = "und"
+#: The pipeline rejects documents whose best language is less probable.
+MIN_SCORE = 0.5
 HELD_OUT = 2
 _LETTERS = re.compile(r"[^\W\d_]+")
 _MARK = "▁"
@@ -283,6 +285,13 @@ def identify_languages(docs: DataFrame, model: UnigramLanguages, id_col: str = "
     ).select("doc_id", "held_out", "p.lang_pred", "p.score")
 
 
+def keep_identified(docs: DataFrame, min_score: float = MIN_SCORE) -> DataFrame:
+    """The documents, with all their columns, whose language is found with at
+    least ``min_score``; the model is fitted on these documents' own labels."""
+    p = predict_column(fit_languages(docs), F.col("text").cast("string"))
+    return docs.select(whole_row(docs), p.alias("p")).where((F.col("p.lang_pred") != UNKNOWN) & (F.col("p.score") >= min_score)).select("row.*")
+
+
 def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents")
     return identify_languages(docs, fit_languages(docs))

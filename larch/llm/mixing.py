@@ -38,7 +38,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from larch.llm.common import materialize, read_table
+from larch.llm.common import materialize, read_table, whole_row
 
 TOPICS = 8
 MAX_SOURCES = 1000
@@ -75,11 +75,6 @@ def _category(name: str) -> Column:
     return F.coalesce(F.col(f"`{name}`").cast("string"), F.lit(NULL))
 
 
-def whole_row(docs: DataFrame) -> Column:
-    """All columns as one struct, out of the way of names added here."""
-    return F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row")
-
-
 def document_counts(docs: DataFrame, *keep: Column, id_col: str = "doc_id", text_col: str = "text",
                     source_col: str = "source", lang_col: str = "lang") -> DataFrame:
     """doc_id, source, lang, word counts per topic and the sampling draw in [0, 1)."""

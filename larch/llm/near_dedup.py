@@ -25,8 +25,8 @@ A pair of similarity 0.8 shares a bucket with probability 1 - (1 - 0.8^6)^32 =
 chain puts the two together in any of them and no third document connects them.
 
 Sizes: only hashes travel for all documents. Texts travel for nodes of linked
-pairs alone, picked out by a bitmap of 2**BITMAP_BITS bits of their digests (a
-bit shared by chance moves a text for nothing). Hot buckets and copies are
+pairs alone, picked out by a 512 KiB bitmap of their digests (a bit shared by
+chance moves a text for nothing). Hot buckets and copies are
 aggregated map-side; joins are left to AQE, which splits skewed partitions.
 
 Defined cases: null text counts as empty; texts without words are equal to each
@@ -42,10 +42,10 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from larch.llm.common import materialize, read_table, text_or_empty
+from larch.llm.common import flag_keys, key_bitmap, materialize, read_table, text_or_empty, whole_row
 from larch.llm.shingles import mix, multiset_overlap, shingles
 
 BANDS, BAND_ROWS = 32, 6
@@ -53,7 +53,6 @@ COMPONENTS = BANDS * BAND_ROWS
 #: Similarity at least NUMERATOR / DENOMINATOR.
 NUMERATOR, DENOMINATOR = 4, 5
 BATCH_SHINGLES = 400_000
-BITMAP_BITS = 22
 _GOLDEN = 0x9E3779B97F4A7C15  # the SplitMix64 increment
 _STEP = np.uint64(_GOLDEN)
 _UNIT = 2.0 ** -53
@@ -133,20 +132,10 @@ def _signed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
         "text_key", F.md5("text")).mapInPandas(run, f"doc_id {kind}, text_key string, node binary, bands array<long>")
 
 
-def _slot(key: str) -> Column:
-    return F.pmod(F.xxhash64(key), F.lit(1 << BITMAP_BITS))
-
-
 def _texts_of(docs: DataFrame, keys: DataFrame, text_col: str) -> DataFrame:
     """(node, text) for (node, text_key); a bitmap of bounded size keeps other texts at home."""
-    slot = _slot("text_key")
-    bitmap = F.broadcast(
-        keys.select(F.floor(slot / 64).alias("word"), F.expr(f"shiftleft(1L, cast(pmod(xxhash64(text_key), {1 << BITMAP_BITS}L) % 64 as int))").alias("bit"))
-        .groupBy("word").agg(F.bit_or("bit").alias("mask")))
-    texts = (
-        docs.select(text_or_empty(text_col).alias("text")).withColumn("text_key", F.md5("text"))
-        .withColumn("word", F.floor(slot / 64)).join(bitmap, "word").where(F.getbit("mask", (slot % 64).cast("int")) == 1)
-        .groupBy("text_key").agg(F.first("text").alias("text")))
+    keyed = docs.select(text_or_empty(text_col).alias("text")).withColumn("text_key", F.md5("text"))
+    texts = flag_keys(keyed, "text_key", key_bitmap(keys, "text_key")).where("maybe").groupBy("text_key").agg(F.first("text").alias("text"))
     return texts.join(keys, "text_key").select("node", "text")
 
 
@@ -235,5 +224,19 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     ).select("doc_id", "class_id", "class_size", (F.col("is_best") & (F.col("k") == 1)).alias("kept"))
 
 
+def keep_one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """One document of each class, with all its columns. Documents that are
+    alone in their class pass without a shuffle."""
+    decided = materialize(_decided(docs, id_col, text_col).where("class_size > 1"), "near_classes")
+    keyed = docs.select(
+        whole_row(docs), F.col(f"`{id_col}`").alias("doc_id"), F.md5(text_or_empty(text_col)).alias("text_key"))
+    flagged = flag_keys(keyed, "text_key", materialize(key_bitmap(decided, "text_key"), "class_bitmap"))
+    d = decided.select(F.col("doc_id").alias("d_id"), F.col("text_key").alias("d_key"), "is_best")
+    looked_up = flagged.where("maybe").join(d, F.col("doc_id").eqNullSafe(F.col("d_id")) & (F.col("text_key") == F.col("d_key")), "left")
+    alone = looked_up.where("is_best IS NULL").select("row.*")
+    best = looked_up.where("is_best").groupBy("doc_id", "text_key").agg(F.first("row").alias("row")).select("row.*")
+    return flagged.where("NOT maybe").select("row.*").unionByName(alone).unionByName(best)
+
+
 def op4_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(read_table(spark, sf_dir, "documents"))
