@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from larch.llm import arrow_tokens, exact_dedup, html_extract, language_id, mixing, near_dedup, packing, preferences, quality_rules
+from larch.llm import arrow_tokens, exact_dedup, html_extract, language_id, mixing, near_dedup, packing, preferences, quality_rules, substring_dedup
 
 QUERIES = {
+    "op2_substring_dedup": substring_dedup.op2_substring_dedup,
     "op4_near_dedup": near_dedup.op4_near_dedup,
     "op5_source_mixing": mixing.op5_source_mixing,
     "op6_arrow_tokens": arrow_tokens.op6_arrow_tokens,

@@ -40,22 +40,22 @@ def whole_row(docs: DataFrame) -> Column:
 BITMAP_BITS = 22
 
 
-def _slot(key: str) -> Column:
-    return F.pmod(F.xxhash64(key), F.lit(1 << BITMAP_BITS))
+def _slot(key: str, bits: int) -> Column:
+    return F.pmod(F.xxhash64(key), F.lit(1 << bits))
 
 
-def key_bitmap(keys: DataFrame, key: str) -> DataFrame:
+def key_bitmap(keys: DataFrame, key: str, bits: int = BITMAP_BITS) -> DataFrame:
     """The slots of the keys, 64 to a row: a table of bounded size to broadcast."""
     return (
-        keys.select(_slot(key).alias("slot")).select(
+        keys.select(_slot(key, bits).alias("slot")).select(
             F.floor(F.col("slot") / 64).alias("word"), F.expr("shiftleft(1L, cast(slot % 64 as int))").alias("bit"))
         .groupBy("word").agg(F.bit_or("bit").alias("mask")))
 
 
-def flag_keys(df: DataFrame, key: str, bitmap: DataFrame) -> DataFrame:
+def flag_keys(df: DataFrame, key: str, bitmap: DataFrame, bits: int = BITMAP_BITS) -> DataFrame:
     """Adds ``maybe``: false where the key is surely none of the bitmap's. A
     slot shared by chance makes it true, so true needs a second look."""
-    bit = F.getbit("mask", (_slot(key) % 64).cast("int")) == 1
+    bit = F.getbit("mask", (_slot(key, bits) % 64).cast("int")) == 1
     return (
-        df.withColumn("word", F.floor(_slot(key) / 64)).join(F.broadcast(bitmap), "word", "left")
+        df.withColumn("word", F.floor(_slot(key, bits) / 64)).join(F.broadcast(bitmap), "word", "left")
         .withColumn("maybe", F.coalesce(bit, F.lit(False))).drop("word", "mask"))
