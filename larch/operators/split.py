@@ -15,11 +15,14 @@ from pyspark.sql import types as T
 
 from larch.operators import ranking
 
-# Hash constants of the split and of the order hash.
-SPLIT_MULTIPLIER = 7919
-SPLIT_MODULUS = 1000
-ORDER_MULTIPLIER = 104729
-ORDER_MODULUS = 2147483647
+# Hash constants. Every assignment has a modulus of its own, and
+# the moduli share no factor, so for spread-out keys the assignments are
+# independent of each other (a sample keeps the split's share, and so on).
+SPLIT_MULTIPLIER, SPLIT_MODULUS = 7919, 1000
+SAMPLE_MULTIPLIER, SAMPLE_MODULUS = 15485863, 1009
+VALIDATION_MULTIPLIER, VALIDATION_MODULUS = 32452843, 1013
+ORDER_MULTIPLIER, ORDER_MODULUS = 104729, 2147483647
+SUBSET_MULTIPLIER, SUBSET_MODULUS = 1299709, 2147483629
 DEFAULT_SEED = 123
 
 
@@ -52,8 +55,16 @@ def hash_sample(df: DataFrame, fraction: float, key: str = "trip_id",
     """Keep about ``fraction`` of the keys (fraction 1 keeps all)."""
     if fraction >= 1.0:
         return df
-    cut = int(round(fraction * SPLIT_MODULUS))
-    return df.filter(unit_bucket(df, key, seed + 1) < F.lit(cut))
+    cut = int(round(fraction * SAMPLE_MODULUS))
+    return df.filter(unit_bucket(df, key, seed + 1, SAMPLE_MODULUS, SAMPLE_MULTIPLIER) < F.lit(cut))
+
+
+def with_validation(df: DataFrame, fraction: float = 0.1, key: str = "trip_id",
+                    seed: int = DEFAULT_SEED, out: str = "is_valid") -> DataFrame:
+    """Flag about ``fraction`` of the keys for early stopping, on either side
+    of the split alike."""
+    cut = int(round(fraction * VALIDATION_MODULUS))
+    return df.withColumn(out, unit_bucket(df, key, seed + 2, VALIDATION_MODULUS, VALIDATION_MULTIPLIER) < F.lit(cut))
 
 
 def order_hash(df: DataFrame, key: str, seed: int = DEFAULT_SEED) -> Column:
@@ -61,6 +72,11 @@ def order_hash(df: DataFrame, key: str, seed: int = DEFAULT_SEED) -> Column:
     return unit_bucket(df, key, seed, ORDER_MODULUS, ORDER_MULTIPLIER)
 
 
+def subset_hash(df: DataFrame, key: str, seed: int = DEFAULT_SEED) -> Column:
+    """A second shuffled order, unrelated to :func:`order_hash`."""
+    return unit_bucket(df, key, seed, SUBSET_MODULUS, SUBSET_MULTIPLIER)
+
+
 def with_stratified_folds(df: DataFrame, label: str, k: int = 10, key: str = "trip_id",
                           seed: int = DEFAULT_SEED, out: str = "fold",
                           n_rows: int | None = None) -> DataFrame:
@@ -92,9 +108,9 @@ def with_fold_train_ranks(df: DataFrame, k: int = 10, fold: str = "fold",
     A subset of ``s`` rows of fold f's train part is then
     ``fold != f AND train_rank[f] < s``; subsets are nested by size.
     """
-    d = df.withColumn("_u", order_hash(df, key, seed))
+    d = df.withColumn("_u", subset_hash(df, key, seed))
     n = n_rows if n_rows is not None else d.count()
-    b = ranking.uniform_bucket(F.col("_u"), 0, ORDER_MODULUS, ranking.bucket_count(n))
+    b = ranking.uniform_bucket(F.col("_u"), 0, SUBSET_MODULUS, ranking.bucket_count(n))
     vals = {"_all": F.lit(1)}
     vals.update({f"_f{i}": (F.col(fold) == i).cast("long") for i in range(k)})
     d = ranking.running_totals(d, ["_u", key], vals, b)

@@ -14,6 +14,8 @@ QUERIES = {
     "top_pairs": q.top_pairs,
     "reduced_sink_roundtrip": q.reduced_sink_roundtrip,
     "sampled_trips": q.sampled_trips,
+    "sample_then_split": q.sample_then_split,
+    "validation_share": q.validation_share,
     # targets and raw features
     "duration_target": q.duration_target,
     "tipped_target": q.tipped_target,

@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
-from larch.operators import evaluate, models, paths, search, targets
+from larch.operators import evaluate, models, paths, search, split, targets
 from larch.operators.ridge import GramRidge, candidate_predictions
 from larch.operators.search import choice, lognormal, quniform, uniform
 from larch.plans import training as tr
@@ -173,11 +173,8 @@ def _classifier_search(spark, sf, name, space, n, make, enable_categorical=False
     own = td is None
     td = td or tr.prepare(spark, sf, "classification", enable_categorical=enable_categorical)
     if with_validation:
-        from larch.operators.split import unit_bucket
-        frame = td.frame
-        td = tr.TaskData(td.task, td.label, frame.withColumn(
-            "is_valid", unit_bucket(frame, "trip_id", SEED + 198) < 100),
-            td.feature_model, td.n_features, td.max_categories, td.stats, td.options)
+        td = tr.TaskData(td.task, td.label, split.with_validation(td.frame), td.feature_model,
+                         td.n_features, td.max_categories, td.stats, td.options)
     cands = search.sample(space, n, SEED)
 
     def objective(p):
@@ -245,9 +242,7 @@ def boosted_regression_search(spark: SparkSession, sf: str) -> DataFrame:
     """Boosted regression trees over category codes, early stop on a
     10% validation share of train."""
     td = tr.prepare(spark, sf, "regression", enable_categorical=True)
-    from larch.operators.split import unit_bucket
-    frame = td.frame.withColumn("is_valid", unit_bucket(td.frame, "trip_id", SEED + 198) < 100)
-    td2 = tr.TaskData(td.task, td.label, frame, td.feature_model, td.n_features,
+    td2 = tr.TaskData(td.task, td.label, split.with_validation(td.frame), td.feature_model, td.n_features,
                       td.max_categories, td.stats, td.options)
     cands = search.sample(BOOSTED_REGRESSION_SPACE, EVALS["boosted_regression"], SEED)
 

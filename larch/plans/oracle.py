@@ -136,7 +136,16 @@ SQL["reduced_sink_roundtrip"] = with_trips(
     "SELECT trip_id, year_month, PULocationID, DOLocationID, fare_amount FROM reduced")
 
 SQL["sampled_trips"] = with_trips(
-    "SELECT trip_id, year_month FROM reduced WHERE ((trip_id * 7919 + 124) % 1000) < 500")
+    "SELECT trip_id, year_month FROM reduced WHERE ((trip_id * 15485863 + 124) % 1009) < 504")
+
+SQL["sample_then_split"] = with_trips("""
+SELECT ((trip_id * 7919 + 123) % 1000) < 300 AS is_test, count(*) AS rows, CAST(sum(trip_id) AS BIGINT) AS key_sum
+FROM reduced WHERE ((trip_id * 15485863 + 124) % 1009) < 303 GROUP BY 1""")
+
+SQL["validation_share"] = with_trips("""
+SELECT is_test, count(*) AS rows,
+  CAST(sum(CASE WHEN ((trip_id * 32452843 + 125) % 1013) < 101 THEN 1 ELSE 0 END) AS BIGINT) AS valid_rows
+FROM cls GROUP BY is_test""")
 
 SQL["duration_target"] = with_trips(
     "SELECT trip_id, round(duration_raw, 6) AS duration FROM cal WHERE duration_raw BETWEEN 1 AND 60")
@@ -317,7 +326,7 @@ SQL["fold_class_shares"] = with_trips(
 SQL["learning_curve_subsets"] = with_trips(_FOLDS + """,
 fs AS (SELECT range AS f FROM range(10)),
 ex AS (SELECT fs.f, fo.trip_id,
-  row_number() OVER (PARTITION BY fs.f ORDER BY (fo.trip_id * 104729 + 130) % 2147483647, fo.trip_id) - 1 AS r
+  row_number() OVER (PARTITION BY fs.f ORDER BY (fo.trip_id * 1299709 + 130) % 2147483629, fo.trip_id) - 1 AS r
   FROM fo, fs WHERE fo.fold <> fs.f),
 n0 AS (SELECT count(*) AS n FROM fo WHERE fold <> 0),
 sz AS (SELECT DISTINCT greatest(1, CAST(floor((CAST(i AS DOUBLE) / 10.0) * n + 1e-9) AS BIGINT)) AS size
