@@ -5,12 +5,13 @@ report is a single aggregate with conditional sums, not one job per side.
 
 ROC AUC (V7) is exact with ties counted half: scores are grouped first
 (one row per distinct score and side), then each score needs the number of
-negatives below it -- a running total computed in ordered score buckets
+negatives below it -- a running total over range partitions of the score
 (:mod:`larch.operators.ranking`), so no window sees the whole table.
 """
 
 from __future__ import annotations
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -50,25 +51,36 @@ def regression_reports(pred: DataFrame, label: str, predictions: list[str]) -> l
     return [{m: r[f"{m}__{j}"] for m in METRIC_ORDER_REGRESSION} for j in range(len(predictions))]
 
 
+def auc_of_scores(by_score: DataFrame, group_cols: list[str], n_buckets: int) -> DataFrame:
+    """AUC per group from (groups, _s, _pos, _neg), one row per distinct score."""
+    ranged = ranking.with_range_bucket(by_score, "_s", n_buckets).persist(StorageLevel.MEMORY_AND_DISK)
+    d = ranking.running_totals(ranged, ["_s"], {"_negc": F.col("_neg")}, F.col("_bkt"), group_cols)
+    term = F.col("_pos") * (F.col("_negc_before") + F.col("_neg") / F.lit(2.0))
+    out = d.groupBy(*group_cols).agg(
+        F.sum(term).alias("_u"), F.sum("_pos").alias("_p"), F.sum("_neg").alias("_n"))
+    auc = F.when((F.col("_p") > 0) & (F.col("_n") > 0),
+                 F.col("_u") / (F.col("_p").cast("double") * F.col("_n").cast("double")))
+    out = out.select(*group_cols, auc.alias("roc_auc"))
+    rows = out.collect()  # one row per group
+    ranged.unpersist()
+    return by_score.sparkSession.createDataFrame(rows, out.schema)
+
+
+def _class_counts(d: DataFrame, y: Column, keys: list) -> DataFrame:
+    return d.groupBy(*keys).agg(F.sum((y == 1).cast("long")).alias("_pos"), F.sum((y == 0).cast("long")).alias("_neg"))
+
+
 def roc_auc(df: DataFrame, label: str, score: str, group_cols: list[str] | None = None,
             rows_per_bucket: int = ranking.ROWS_PER_BUCKET) -> DataFrame:
     """V7: exact ROC AUC per group; ties between a positive and a negative
-    count one half. NULL when a group has only one class."""
+    count one half. NULL when a group has only one class. Runs at once; the
+    rows are aggregated to distinct scores in one pass over ``df``."""
     group_cols = list(group_cols or [])
-    y = F.col(label).cast("int")
-    by_score = df.groupBy(*group_cols, F.col(score).cast("double").alias("_s")).agg(
-        F.sum((y == 1).cast("long")).alias("_pos"),
-        F.sum((y == 0).cast("long")).alias("_neg"))
-    n_scores = by_score.count()
-    n_b = ranking.bucket_count(n_scores, rows_per_bucket)
-    bucket = ranking.quantile_bucket(by_score, "_s", n_b)
-    d = ranking.running_totals(by_score, ["_s"], {"_negc": F.col("_neg")}, bucket, group_cols)
-    term = F.col("_pos") * (F.col("_negc_before") + F.col("_neg") / F.lit(2.0))
-    out = d.groupBy(*group_cols).agg(
-        F.sum(term).alias("_u"), F.sum("_pos").alias("_p"), F.sum("_neg").alias("_n"))
-    return out.select(*group_cols, F.when((F.col("_p") > 0) & (F.col("_n") > 0),
-                                          F.col("_u") / (F.col("_p").cast("double") * F.col("_n").cast("double")))
-                      .alias("roc_auc"))
+    by_score = _class_counts(df, F.col(label).cast("int"), [*group_cols, F.col(score).cast("double").alias("_s")]).persist(
+        StorageLevel.MEMORY_AND_DISK)
+    out = auc_of_scores(by_score, group_cols, ranking.bucket_count(by_score.count(), rows_per_bucket))
+    by_score.unpersist()
+    return out
 
 
 def classification_report(pred: DataFrame, label: str, p1: str | None = None,
@@ -78,30 +90,41 @@ def classification_report(pred: DataFrame, label: str, p1: str | None = None,
 
     The predicted label is ``predicted`` when given, else F9 on
     ``1 - p1`` (P(class 0)) with ``threshold``. AUC uses ``score`` (default
-    ``p1``). Precision, recall and f1 are 0 when undefined."""
+    ``p1``). Precision, recall and f1 are 0 when undefined.
+
+    One pass over ``pred``: rows are counted by (side, score, predicted label)
+    and class; the confusion sums and the AUC both come from these counts."""
     if predicted is None:
         predicted = label_from_p0(F.lit(1.0) - F.col(p1), threshold)
     elif isinstance(predicted, str):
         predicted = F.col(predicted)
-    y = F.col(label).cast("int")
-    yhat = predicted.cast("int")
     has_score = bool(score or p1)
-    d = pred.select(F.col(SPLIT), y.alias("_y"), yhat.alias("_yhat"),
-                    *([F.col(score or p1).alias("_score")] if has_score else []))
-    pos, neg = F.col("_y") == 1, F.col("_y") == 0
-    tp = F.sum((pos & (F.col("_yhat") == 1)).cast("long"))
-    fp = F.sum((neg & (F.col("_yhat") == 1)).cast("long"))
-    fn = F.sum((pos & (F.col("_yhat") == 0)).cast("long"))
-    per_side = d.groupBy(SPLIT).agg(
-        F.avg((F.col("_y") == F.col("_yhat")).cast("double")).alias("accuracy"),
+    shown = F.col(score or p1).cast("double") if has_score else F.lit(None).cast("double")
+    counts = _class_counts(pred, F.col(label).cast("int"), [F.col(SPLIT), shown.alias("_s"), predicted.cast("int").alias("_yhat")]).persist(
+        StorageLevel.MEMORY_AND_DISK)
+    said = F.col("_yhat") == 1
+
+    def total(when: Column, c: str) -> Column:
+        return F.coalesce(F.sum(F.when(when, F.col(c))), F.lit(0))
+
+    tp, fp = total(said, "_pos"), total(said, "_neg")
+    fn, tn = total(F.col("_yhat") == 0, "_pos"), total(F.col("_yhat") == 0, "_neg")
+    out = counts.groupBy(SPLIT).agg(
+        ((tp + tn) / F.nullif(F.sum(F.col("_pos") + F.col("_neg")), F.lit(0))).alias("accuracy"),
         F.coalesce(tp / F.nullif(tp + fp, F.lit(0)), F.lit(0.0)).alias("precision"),
         F.coalesce(tp / F.nullif(tp + fn, F.lit(0)), F.lit(0.0)).alias("recall"),
-        F.coalesce(2 * tp / F.nullif(2 * tp + fp + fn, F.lit(0)), F.lit(0.0)).alias("f1_score"))
+        F.coalesce(2 * tp / F.nullif(2 * tp + fp + fn, F.lit(0)), F.lit(0.0)).alias("f1_score"),
+        F.count(F.lit(1)).alias("_scores"))
+    sides = out.collect()  # one row per side
+    spark = pred.sparkSession
+    per_side = spark.createDataFrame(sides, out.schema)
     metrics = ["accuracy", "precision", "recall", "f1_score"]
     if has_score:
-        # both tables have one row per side
-        per_side = per_side.join(roc_auc(d, "_y", "_score", [SPLIT]), SPLIT, "left")
+        by_score = counts.groupBy(SPLIT, "_s").agg(F.sum("_pos").alias("_pos"), F.sum("_neg").alias("_neg"))
+        n = ranking.bucket_count(sum(r["_scores"] for r in sides))
+        per_side = per_side.join(auc_of_scores(by_score, [SPLIT], n), SPLIT, "left")
         metrics.append("roc_auc")
+    counts.unpersist()
     return per_side.agg(*[F.max(_side(F.col(m), side)).alias(f"{m}_{name}")
                           for m in metrics for name, side in SIDES])
 

@@ -9,8 +9,9 @@ order), then
 * an offset per bucket is a running total over that small table,
 * inside a bucket an ordinary window adds the local running total.
 
-Each window partition holds about ``rows_per_bucket`` rows, whatever the
-data size, so the work spreads over all executors. The result is exact.
+Each window partition holds about ``ROWS_PER_BUCKET`` rows, whatever the
+data size, so the work spreads over all executors. The result is exact and
+does not depend on the number of buckets.
 """
 
 from __future__ import annotations
@@ -21,53 +22,36 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 ROWS_PER_BUCKET = 1_000_000
+MIN_BUCKETS = 8
 
 
 def bucket_count(n_rows: int, rows_per_bucket: int = ROWS_PER_BUCKET) -> int:
-    return max(1, math.ceil(n_rows / rows_per_bucket))
+    return max(MIN_BUCKETS, math.ceil(n_rows / rows_per_bucket))
 
 
-def uniform_bucket(c: Column, lo: float, hi: float, n_buckets: int) -> Column | None:
-    """Bucket id for a column spread evenly over [lo, hi) (a hash);
-    ``None`` when one bucket holds everything."""
-    if n_buckets <= 1:
-        return None
+def uniform_bucket(c: Column, lo: float, hi: float, n_buckets: int) -> Column:
+    """Bucket id for a column spread evenly over [lo, hi) (a hash)."""
     width = (hi - lo) / n_buckets
     return F.least(F.floor((c - F.lit(lo)) / F.lit(width)), F.lit(n_buckets - 1)).cast("int")
 
 
-def quantile_bucket(df: DataFrame, col: str, n_buckets: int,
-                    rel_err: float = 1e-3) -> Column | None:
-    """Bucket id from approximate quantiles of ``col`` (one pass);
-    ``None`` when one bucket holds everything."""
-    if n_buckets <= 1:
-        return None
-    probs = [i / n_buckets for i in range(1, n_buckets)]
-    cuts = sorted(set(v for v in df.approxQuantile(col, probs, rel_err) if v is not None))
-    if not cuts:
-        return None
-    arr = F.array(*[F.lit(float(v)) for v in cuts])
-    # number of cut points <= value: binary-search free, JVM side
-    return F.size(F.filter(arr, lambda x: x <= F.col(col).cast("double"))).cast("int")
+def with_range_bucket(df: DataFrame, col: str, n_buckets: int, out: str = "_bkt") -> DataFrame:
+    """Deal rows out by ranges of ``col`` and call the partition the bucket.
+    The caller persists the result: the ranges come from a sample, and rows and
+    totals must see the same ones."""
+    return df.repartitionByRange(n_buckets, col).withColumn(out, F.spark_partition_id())
 
 
 def running_totals(df: DataFrame, order_cols: list[str], values: dict[str, Column],
-                   bucket: Column | None, partition_cols: list[str] | None = None,
+                   bucket: Column, partition_cols: list[str] | None = None,
                    inclusive: bool = False) -> DataFrame:
     """Add ``{name}_before`` for each value: the sum over rows of the same
     partition group that come strictly before the row in ``order_cols``
     order (or up to and including it when ``inclusive``).
 
-    ``bucket`` must never decrease along ``order_cols`` within a group;
-    ``None`` means a single bucket (small inputs: one window per group).
-    """
+    ``bucket`` must never decrease along ``order_cols`` within a group."""
     part = list(partition_cols or [])
     hi = 0 if inclusive else -1
-    if bucket is None:
-        # one bucket: the offsets are all zero, a plain window suffices
-        w = Window.partitionBy(*part).orderBy(*order_cols).rowsBetween(Window.unboundedPreceding, hi)
-        return df.withColumns({f"{n}_before": F.coalesce(F.sum(v).over(w), F.lit(0))
-                               for n, v in values.items()})
     d = df.withColumn("_bkt", bucket)
     for n, v in values.items():
         d = d.withColumn(f"_v_{n}", v)

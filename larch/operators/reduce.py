@@ -7,13 +7,11 @@ one plan: the month is part of the grouping key.
 Scale notes: the count is a partial (map-side) aggregation, so a pair
 holding a third of all trips costs one counter per task, not a hot
 partition. The kept-pair table is bounded by the number of distinct pairs,
-not by trips; it is broadcast only after its row count is checked, else
-the semi-join shuffles (AQE splits skewed partitions).
+not by trips; how the semi-join moves it is left to Spark's size estimates.
 """
 
 from __future__ import annotations
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -23,7 +21,6 @@ from larch.operators import split
 # Fixed values of the reduction: frequency threshold (strict >) and sample share.
 MIN_PAIR_COUNT = 10
 SAMPLE_FRACTION = 1.0
-MAX_BROADCAST_ROWS = 1_000_000
 
 MONTH = "year_month"
 PAIR = "PU_DO"
@@ -46,38 +43,17 @@ def frequent_pairs(counts: DataFrame, min_count: int = MIN_PAIR_COUNT) -> DataFr
     return counts.filter(F.col("count") > min_count)
 
 
-def semi_join_checked(big: DataFrame, small: DataFrame, keys: list[str],
-                      max_broadcast_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
-    """``big LEFT SEMI JOIN small``. ``small`` is broadcast only when
-    its counted size is within the bound; otherwise both sides shuffle on
-    the key."""
-    small = small.select(*keys)
-    n = small.count()
-    right = F.broadcast(small) if n <= max_broadcast_rows else small
-    return big.join(right, keys, "left_semi")
-
-
-def lookup_join_checked(big: DataFrame, small: DataFrame, keys: list[str],
-                        how: str = "left",
-                        max_broadcast_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
-    """Join a per-key lookup table (one row per key) onto a large frame,
-    broadcasting it only when its counted size is within the bound."""
-    n = small.count()
-    right = F.broadcast(small) if n <= max_broadcast_rows else small
-    return big.join(right, keys, how)
-
-
 def reduce_trips(df: DataFrame, min_count: int = MIN_PAIR_COUNT,
                  fraction: float = SAMPLE_FRACTION, key: str = "trip_id",
-                 counts: DataFrame | None = None,
-                 max_broadcast_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
+                 counts: DataFrame | None = None) -> DataFrame:
     """A3: the whole reduction. Returns trips of frequent pairs, with the
-    pair key dropped as in the original files, sampled by key hash (D1)."""
+    pair key dropped as in the original files, sampled by key hash (D1).
+
+    J1 is a plain left semi join: Spark broadcasts the kept pairs or shuffles
+    both sides by their real size, and splits skewed partitions."""
     d = with_pair(df)
-    if counts is None:
-        counts = pair_counts(d).persist(StorageLevel.MEMORY_AND_DISK)
-    kept = frequent_pairs(counts, min_count)
-    out = semi_join_checked(d, kept, [MONTH, PAIR], max_broadcast_rows).drop(PAIR)
+    kept = frequent_pairs(pair_counts(d) if counts is None else counts, min_count)
+    out = d.join(kept.select(MONTH, PAIR), [MONTH, PAIR], "left_semi").drop(PAIR)
     return split.hash_sample(out, fraction, key)
 
 

@@ -6,8 +6,8 @@ statistics (:func:`larch.operators.paths.design_gram`); each penalty is a
 d x d solve on the driver. All candidates of a search share the pass.
 
 The fitted model predicts with JVM expressions: numeric weights as
-literals, category weights through a join with a (value, weight) table,
-broadcast only when its row count is within the bound. It is a pipeline
+literals, category weights through a join with a (value, weight) table
+that Spark broadcasts or shuffles by its size. It is a pipeline
 stage, so feature stages + ridge save and load as one object.
 """
 
@@ -25,8 +25,6 @@ from pyspark.sql import functions as F
 
 from larch.operators import paths
 
-MAX_BROADCAST_ROWS = 1_000_000
-
 
 class _RidgeParams(Params):
     numericCols = Param(Params._dummy(), "numericCols", "numeric columns",
@@ -118,9 +116,7 @@ class LinearPredictorModel(Model, _RidgeParams, DefaultParamsReadable, DefaultPa
             table = spark.createDataFrame(
                 [(k, v) for k, v in p["categorical"].get(c, {}).items()],
                 f"_k{i} string, _w{i} double")
-            n = len(p["categorical"].get(c, {}))
-            right = F.broadcast(table) if n <= MAX_BROADCAST_ROWS else table
-            out = out.join(right, F.col(c).cast("string") == F.col(f"_k{i}"), "left")
+            out = out.join(table, F.col(c).cast("string") == F.col(f"_k{i}"), "left")
             expr = expr + F.coalesce(F.col(f"_w{i}"), F.lit(0.0))
         drops = [f"_k{i}" for i in range(len(self.getOrDefault("categoricalCols")))] + \
                 [f"_w{i}" for i in range(len(self.getOrDefault("categoricalCols")))]
@@ -133,7 +129,7 @@ def candidate_predictions(df: DataFrame, numeric: list[str], categorical: list[s
     """Predictions of many linear fits over the same design as columns
     ``pred_0 .. pred_{k-1}`` in one projection: numeric weights are
     literals, category weights come from one (value, weights array) table
-    per categorical column, broadcast when within the bound."""
+    per categorical column."""
     spark = df.sparkSession
     k = len(fits)
     W = np.array([w for _, w in fits]).reshape(k, -1)
@@ -145,8 +141,7 @@ def candidate_predictions(df: DataFrame, numeric: list[str], categorical: list[s
         rows = [(str(v), [float(x) for x in W[:, off + j]]) for j, v in enumerate(cats)]
         off += len(cats)
         table = spark.createDataFrame(rows, f"_k{i} string, _w{i} array<double>")
-        right = F.broadcast(table) if len(rows) <= MAX_BROADCAST_ROWS else table
-        out = out.join(right, F.col(c).cast("string") == F.col(f"_k{i}"), "left")
+        out = out.join(table, F.col(c).cast("string") == F.col(f"_k{i}"), "left")
         cat_terms.append(f"_w{i}")
     preds = {}
     for j, (b, _) in enumerate(fits):

@@ -13,7 +13,7 @@ from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from larch.operators import evaluate, features as fe, models, reduce as rd, split
+from larch.operators import evaluate, features as fe, models, split
 from larch.sources.trips import read_table
 
 NUMERIC = ["log_chars"]
@@ -23,7 +23,7 @@ CATEGORICAL = ["lang", "source"]
 def labeled_documents(spark: SparkSession, sf: str, target: str = "quality") -> DataFrame:
     docs = read_table(spark, sf, "documents").select("doc_id", "n_chars", "lang", "source")
     labels = read_table(spark, sf, "labels").select("doc_id", target)
-    d = rd.lookup_join_checked(docs, labels, ["doc_id"], how="inner")
+    d = docs.join(labels, ["doc_id"])
     d = d.withColumn("log_chars", F.log1p(F.col("n_chars").cast("double")))
     return split.with_split(d, "doc_id")
 
@@ -55,4 +55,5 @@ def quality_logistic(spark: SparkSession, sf: str, C: float = 1.0) -> DataFrame:
     model = models.logistic_regression(C, n, "quality").fit(feats.filter(~F.col("is_test")))
     pred = model.transform(feats).withColumn("p1", models.p_one("probability"))
     out = evaluate.classification_report(pred, "quality", p1="p1")
+    d.unpersist()
     return out.withColumn("C", F.lit(float(C)))

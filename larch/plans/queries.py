@@ -100,6 +100,21 @@ def sampled_trips(spark, sf):
     return red.select("trip_id", "year_month")
 
 
+def sample_then_split(spark, sf):
+    """D1 followed by D2: rows of each side of the split in a 30% sample. The
+    two hashes are independent, so the sample keeps the split's share."""
+    red = rd.reduce_trips(ts.trips(spark, sf), fraction=0.3)
+    return split.with_split(red.select("trip_id")).groupBy("is_test").agg(
+        F.count(F.lit(1)).alias("rows"), F.sum("trip_id").alias("key_sum"))
+
+
+def validation_share(spark, sf):
+    """Rows of each side, and those held out for early stopping."""
+    raw = split.with_validation(tr.raw_task_frame(spark, sf, "classification"))
+    return raw.groupBy("is_test").agg(
+        F.count(F.lit(1)).alias("rows"), F.sum(F.col("is_valid").cast("long")).alias("valid_rows"))
+
+
 # ---- targets and raw features (P2-P11, F1-F6) ----------------------------
 
 def duration_target(spark, sf):
@@ -235,9 +250,11 @@ def threshold_report(spark, sf):
     train = raw.filter(~F.col("is_test"))
     rate = train.groupBy("PU_DO").agg(F.avg("tipped").alias("pair_rate")).persist()
     prior = train.agg(F.avg("tipped")).first()[0]
-    scored = rd.lookup_join_checked(raw, rate, ["PU_DO"]).withColumn(
+    scored = raw.join(rate, ["PU_DO"], "left").withColumn(
         "p1", F.coalesce(F.col("pair_rate"), F.lit(prior)))
-    return _rounded(evaluate.classification_report(scored, "tipped", p1="p1", threshold=0.5))
+    out = _rounded(evaluate.classification_report(scored, "tipped", p1="p1", threshold=0.5))
+    rate.unpersist()
+    return out
 
 
 # ---- linear models with closed forms (M3-M6, SQL*) -----------------------

@@ -56,7 +56,7 @@ def feature_pipeline(task: str, enable_categorical: bool = False, drop_first: bo
     else:
         stages.append(fe.OneHot(categoricalCols=cat, dropFirst=drop_first))
         vec_inputs = num + [c + "_ohe" for c in cat]
-    stages.append(VectorAssembler(inputCols=vec_inputs, outputCol="features", handleInvalid="keep"))
+    stages.append(VectorAssembler(inputCols=vec_inputs, outputCol="features", handleInvalid="error"))
     return Pipeline(stages=stages)
 
 
@@ -93,7 +93,8 @@ def prepare(spark: SparkSession, sf_dir: str, task: str, enable_categorical: boo
     if scale is None:
         scale = task == "classification"
     label = targets.target_for(task)
-    raw = raw_task_frame(spark, sf_dir, task, reduce_pairs, test_size, seed)
+    # read by the fit of each feature stage and by the transform
+    raw = raw_task_frame(spark, sf_dir, task, reduce_pairs, test_size, seed).persist(StorageLevel.MEMORY_AND_DISK)
     num, cat = targets.feature_lists(task)
     if impute_from == "frame":
         raw = fe.impute_within_groups(raw, num, cat, "is_test")
@@ -105,8 +106,8 @@ def prepare(spark: SparkSession, sf_dir: str, task: str, enable_categorical: boo
     keep = ["trip_id", "is_test", label, "features"] + list(extra_cols or [])
     if task == "regression":
         keep += num + cat      # imputed raw columns for the Gram-based ridge
-    frame = fitted.transform(raw).select(*keep).persist(StorageLevel.MEMORY_AND_DISK)
-    frame = rebalance(spark, frame)
+    frame = rebalance(fitted.transform(raw).select(*keep))
+    raw.unpersist()
     n_features = int(frame.schema["features"].metadata["ml_attr"]["num_attrs"])
     stats = models.label_stats(frame.filter(~F.col("is_test")), label,
                                with_mode=(task == "classification"))
@@ -115,16 +116,14 @@ def prepare(spark: SparkSession, sf_dir: str, task: str, enable_categorical: boo
                          scale=scale, impute_from=impute_from))
 
 
-def rebalance(spark: SparkSession, frame: DataFrame, concurrent_jobs: int = 1) -> DataFrame:
-    """Re-spread a persisted frame over :func:`target_partitions` parts
-    (one extra pass; every later fit then uses its share of the cores)."""
-    n = frame.count()
-    p = target_partitions(spark, n, concurrent_jobs)
-    if p == frame.rdd.getNumPartitions():
-        return frame
-    out = frame.repartition(p).persist(StorageLevel.MEMORY_AND_DISK)
+def rebalance(frame: DataFrame, key: str = "trip_id") -> DataFrame:
+    """Persist a frame, dealt out by key hash over :func:`target_partitions`
+    parts. Rows, not cores, set their number, so fits don't depend on the
+    cluster; the first copy is only read once."""
+    first = frame.persist(StorageLevel.MEMORY_AND_DISK)
+    out = first.repartition(target_partitions(first.count()), key).sortWithinPartitions(key).persist(StorageLevel.MEMORY_AND_DISK)
     out.count()
-    frame.unpersist()
+    first.unpersist()
     return out
 
 

@@ -4,7 +4,6 @@ run tables and saved pipelines."""
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
@@ -34,11 +33,14 @@ def build_session(master: str = "local[8]", shuffle_partitions: int = 8,
 def shared_dir(spark: SparkSession) -> str:
     """The cluster-wide folder named by ``spark.checkpoint.dir``.
 
-    Read from the session; only when it is unset (a bare local test
-    session) a scratch folder is created and registered."""
+    Read from the session. Where it is unset, a local session (tests) gets a
+    scratch folder; on a cluster that would be a disk of one machine, so it is
+    an error."""
     sc = spark.sparkContext
     d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
     if not d:
+        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         d = tempfile.mkdtemp(prefix="larch-ckpt-")
         sc.setCheckpointDir(d)
         d = sc.getCheckpointDir()
@@ -58,27 +60,11 @@ def unique_path(spark: SparkSession, *parts: str) -> str:
     return workspace_path(spark, *parts, uuid.uuid4().hex[:12])
 
 
-MIN_ROWS_PER_PARTITION = 5_000
-MAX_ROWS_PER_PARTITION = 1_000_000
+ROWS_PER_PARTITION = 250_000
 
 
-def target_partitions(spark: SparkSession, n_rows: int, concurrent_jobs: int = 1) -> int:
-    """Partitions for a persisted frame of ``n_rows`` rows reused by many
-    jobs: enough to use this job's share of the cores once there is real
-    data (``concurrent_jobs`` fits run side by side), about a million rows
-    each at scale, never slivers of a few rows."""
-    by_floor = max(1, -(-n_rows // MIN_ROWS_PER_PARTITION))
-    by_ceiling = max(1, -(-n_rows // MAX_ROWS_PER_PARTITION))
-    share = max(1, -(-spark.sparkContext.defaultParallelism // max(1, concurrent_jobs)))
-    return min(by_floor, max(share, by_ceiling))
-
-
-def local_path(p: str) -> str:
-    """Strip a ``file:`` scheme so that local tools can open the path."""
-    return p[5:] if p.startswith("file:") else p
-
-
-def ensure_parent(p: str) -> None:
-    lp = local_path(p)
-    if "://" not in lp:
-        os.makedirs(os.path.dirname(lp), exist_ok=True)
+def target_partitions(n_rows: int) -> int:
+    """Partitions of a persisted frame of ``n_rows`` rows that many fits read:
+    a function of the rows alone, so the same data give the same fits on any
+    number of cores."""
+    return max(1, -(-n_rows // ROWS_PER_PARTITION))
