@@ -9,12 +9,10 @@ so the same hyperparameter value means the same model:
   With ``a = alpha r`` and ``b = alpha (1-r) sd(y)``:
   ``regParam = a + b``, ``elasticNetParam = a / (a + b)``,
   ``standardization = False``. Ridge is ``alpha / n`` with ``r = 0``.
-  ``sd(y)`` is the population std for the normal-equation solver and the
-  sample std for l-bfgs.
+  ``sd(y)`` is the sample std (l-bfgs).
 * Logistic ``0.5 ||w||^2 + C sum(logloss)``: ``regParam = 1 / (C n)``.
 
-The normal solver (up to 4096 features) makes one pass to build the Gram
-matrix and solves on the driver (d x d), also for L1 penalties.
+Linear models use the distributed l-bfgs / OWL-QN solver at every width.
 """
 
 from __future__ import annotations
@@ -29,7 +27,6 @@ from pyspark.sql import functions as F
 
 from pyspark.ml.regression import GBTRegressor, LinearRegression
 
-NORMAL_SOLVER_MAX_FEATURES = 4096
 SEED = 123
 
 
@@ -79,14 +76,10 @@ def predict_class_constant(df: DataFrame, cls: int) -> DataFrame:
 
 # ---- linear models (M3-M6) ----------------------------------------------
 
-def solver_for(n_features: int) -> str:
-    return "normal" if n_features <= NORMAL_SOLVER_MAX_FEATURES else "l-bfgs"
-
-
-def penalty_params(kind: str, stats: LabelStats, solver: str, alpha: float = 0.0,
+def penalty_params(kind: str, stats: LabelStats, alpha: float = 0.0,
                    l1_ratio: float = 0.5) -> tuple[float, float]:
     """(regParam, elasticNetParam) for ``kind`` in ols/ridge/lasso/elastic_net."""
-    sd = stats.sd_pop if solver == "normal" else stats.sd_samp
+    sd = stats.sd_samp
     if kind == "ols":
         return 0.0, 0.0
     if kind == "ridge":
@@ -99,15 +92,13 @@ def penalty_params(kind: str, stats: LabelStats, solver: str, alpha: float = 0.0
     raise ValueError(f"unknown linear model {kind}")
 
 
-def linear_regression(kind: str, stats: LabelStats, n_features: int, label: str,
+def linear_regression(kind: str, stats: LabelStats, label: str,
                       alpha: float = 0.0, l1_ratio: float = 0.5,
                       features: str = "features", max_iter: int = 1000,
-                      tol: float = 1e-10, fit_intercept: bool = True,
-                      solver: str | None = None) -> LinearRegression:
-    solver = solver or solver_for(n_features)
-    reg, mix = penalty_params(kind, stats, solver, alpha, l1_ratio)
+                      tol: float = 1e-12, fit_intercept: bool = True) -> LinearRegression:
+    reg, mix = penalty_params(kind, stats, alpha, l1_ratio)
     return LinearRegression(featuresCol=features, labelCol=label, regParam=reg,
-                            elasticNetParam=mix, standardization=False, solver=solver,
+                            elasticNetParam=mix, standardization=False, solver="l-bfgs",
                             fitIntercept=fit_intercept, maxIter=max_iter, tol=tol)
 
 
@@ -124,10 +115,10 @@ def logistic_regression(C: float, n: int, label: str, max_iter: int = 250,
 def boosted_trees(max_depth: int, eta: float, label: str, n_trees: int = 100,
                   max_bins: int = 32, features: str = "features", seed: int = SEED,
                   validation_col: str | None = None, subsampling: float = 1.0) -> GBTClassifier:
-    """Gradient-boosted trees (logistic loss). MLlib needs the
-    step size in (0, 1], so larger learning rates are capped at 1."""
+    """Gradient-boosted trees (logistic loss). The step size must
+    be in (0, 1]; MLlib refuses a larger one."""
     kw = dict(featuresCol=features, labelCol=label, maxIter=int(n_trees), maxDepth=int(max_depth),
-              stepSize=float(min(max(eta, 1e-6), 1.0)), maxBins=int(max_bins), seed=seed,
+              stepSize=float(eta), maxBins=int(max_bins), seed=seed,
               subsamplingRate=subsampling)
     if validation_col:
         kw["validationIndicatorCol"] = validation_col
@@ -140,7 +131,7 @@ def boosted_regressor(max_depth: int, eta: float, label: str, n_trees: int = 5,
     """Boosted regression trees, squared error, optional early stop on
     a validation indicator column."""
     kw = dict(featuresCol=features, labelCol=label, maxIter=int(n_trees), maxDepth=int(max_depth),
-              stepSize=float(min(max(eta, 1e-6), 1.0)), maxBins=int(max_bins), seed=seed,
+              stepSize=float(eta), maxBins=int(max_bins), seed=seed,
               lossType="squared")
     if validation_col:
         kw["validationIndicatorCol"] = validation_col

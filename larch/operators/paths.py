@@ -36,9 +36,15 @@ class Gram:
     categories: list[list[str]] | None = None
 
 
-# A d x d Gram matrix lives on the driver: 4096^2 doubles are 128 MiB. Wider
-# designs are fitted by distributed MLlib solvers instead (see the plans).
-GRAM_MAX_FEATURES = 4096
+# A d x d Gram matrix lives on the driver: 16384^2 doubles are 2 GiB. A wider
+# design is refused; fit it with ``models.linear_regression``, whose solver is
+# distributed.
+GRAM_MAX_FEATURES = 16_384
+
+
+#: Every L1 solution stops when its largest coefficient step is this small
+#: beside its largest coefficient, in searches and paths alike.
+PATH_TOLERANCE = 1e-10
 
 
 class GramTooLarge(ValueError):
@@ -173,7 +179,7 @@ def centered(g: Gram) -> Gram:
 
 
 def enet_coefficients(g: Gram, alpha: float, l1_ratio: float,
-                      tol: float = 1e-9) -> tuple[float, np.ndarray]:
+                      tol: float = PATH_TOLERANCE) -> tuple[float, np.ndarray]:
     """Elastic net / lasso with intercept:
     ``1/(2n)||y - b - Xw||^2 + alpha r |w|_1 + alpha (1-r)/2 ||w||^2``."""
     w = enet_path(centered(g), np.array([alpha]), l1_ratio, tol=tol)[0]
@@ -188,8 +194,8 @@ def alpha_grid(g: Gram, l1_ratio: float = 1.0, n_alphas: int = 30,
     return np.logspace(np.log10(a_max), np.log10(a_max * eps), n_alphas)
 
 
-def enet_path(g: Gram, alphas: np.ndarray, l1_ratio: float = 1.0, tol: float = 1e-4,
-              max_iter: int = 1000) -> np.ndarray:
+def enet_path(g: Gram, alphas: np.ndarray, l1_ratio: float = 1.0, tol: float = PATH_TOLERANCE,
+              max_iter: int = 10_000) -> np.ndarray:
     """Coordinate descent on the Gram matrix, warm-started along the grid,
     for ``1/(2n)||y - Xw||^2 + a r |w|_1 + a (1-r)/2 ||w||^2`` (no intercept).
     Sweeps alternate between the active (non-zero) set and a full check.

@@ -25,7 +25,7 @@ RIDGE_SPACE = {"alpha": lognormal(0, 1)}
 LASSO_SPACE = {"alpha": lognormal(0, 1)}
 ELASTIC_NET_SPACE = {"alpha": lognormal(0, 1), "l1_ratio": uniform(0, 1)}
 LOGISTIC_SPACE = {"C": lognormal(-1, 0.5), "max_iter": 250}
-BOOSTED_SPACE = {"n_estimators": 100, "max_depth": choice(1, 2, 3, 4), "eta": uniform(0.5, 2)}
+BOOSTED_SPACE = {"n_estimators": 100, "max_depth": choice(1, 2, 3, 4), "eta": uniform(0.5, 1)}  # the step size may not exceed 1
 FOREST_SPACE = {"n_estimators": 5, "min_samples_leaf": 0.05,
                 "max_features": uniform(0.2, 0.6), "max_depth": quniform(3, 5, 1)}
 GRADIENT_BOOSTING_SPACE = {"n_estimators": 5, "validation_fraction": 0.1,
@@ -74,13 +74,6 @@ def linear_search(spark: SparkSession, sf: str, kind: str, drop_first: bool = Fa
     n = EVALS[kind] if experiment is None else EVALS["comparison"]
     cands = search.sample(space, n, SEED)
     results = gram_candidates(td, kind, cands)
-    if results is None:
-        def objective(p):
-            est = models.linear_regression(kind, td.stats, td.n_features, td.label,
-                                           alpha=p["alpha"], l1_ratio=p.get("l1_ratio", 0.5))
-            return tr.fit_and_evaluate(td, est)[1]
-
-        results = search.run(objective, cands)
     experiment = experiment or f"{kind}_search"
     _log(spark, experiment, kind, results, runs_path or unique_path(spark, "runs"))
     out = _results_frame(spark, experiment, kind, results, "rmse_test", False)
@@ -105,22 +98,16 @@ def encoder_labels(td: tr.TaskData) -> list[list[str]]:
     raise ValueError("no fitted category encoder in the feature pipeline")
 
 
-def gram_candidates(td: tr.TaskData, kind: str, cands: list[dict]) -> list[dict] | None:
+def gram_candidates(td: tr.TaskData, kind: str, cands: list[dict]) -> list[dict]:
     """Every candidate of a linear search in two data passes: one Gram
     aggregate of the train side, a d x d solve per candidate on the driver
     (closed form for ridge, coordinate descent on the centered Gram for
     L1 penalties, same objectives as the MLlib mapping), and one aggregate
-    that scores all candidates on both sides. ``None`` when the design is
-    wider than the Gram bound."""
-    if td.n_features > paths.GRAM_MAX_FEATURES:
-        return None
+    that scores all candidates on both sides."""
     num, cat = targets.feature_lists("regression")
-    try:
-        # categories from the fitted encoder: no extra pass to size the design
-        g = paths.design_gram(td.train, num, cat, encoder_labels(td), td.label,
-                              drop_first=bool(td.options.get("drop_first")))
-    except paths.GramTooLarge:
-        return None
+    # categories from the fitted encoder: no extra pass to size the design
+    g = paths.design_gram(td.train, num, cat, encoder_labels(td), td.label,
+                          drop_first=bool(td.options.get("drop_first")))
     fits = []
     for p in cands:
         if kind == "ridge":
@@ -134,22 +121,6 @@ def gram_candidates(td: tr.TaskData, kind: str, cands: list[dict]) -> list[dict]
     return [{"params": p, "metrics": m} for p, m in zip(cands, metrics)]
 
 
-def ridge_candidates(td: tr.TaskData, cands: list[dict]) -> list[dict]:
-    """All ridge candidates from one Gram aggregate (exact solves). A design
-    wider than the Gram bound is fitted per candidate by MLlib's
-    distributed solver (same objective through the penalty mapping)."""
-    results = gram_candidates(td, "ridge", cands)
-    if results is not None:
-        return results
-
-    def objective(p):
-        est = models.linear_regression("ridge", td.stats, td.n_features, td.label,
-                                       alpha=p["alpha"])
-        return tr.fit_and_evaluate(td, est)[1]
-
-    return search.run(objective, cands)
-
-
 def regression_comparison(spark: SparkSession, sf: str) -> tuple[DataFrame, str]:
     """H9: baseline, OLS, ridge, lasso and elastic net on the same split
     and drop-first features; every run logged to one run table."""
@@ -157,7 +128,7 @@ def regression_comparison(spark: SparkSession, sf: str) -> tuple[DataFrame, str]
     path = unique_path(spark, "runs")
     exp = "linear_regression_comparison"
     base = [{"params": {}, "metrics": tr.baseline_metrics(td), "model_type": "baseline"}]
-    ols = models.linear_regression("ols", td.stats, td.n_features, td.label)
+    ols = models.linear_regression("ols", td.stats, td.label)
     base.append({"params": {}, "metrics": tr.fit_and_evaluate(td, ols)[1], "model_type": "ols"})
     _log(spark, exp, "baseline", base, path)
     for kind in ("ridge", "lasso", "elastic_net"):

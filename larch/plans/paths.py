@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
 from larch.functions.scalar import neg_log10
-from larch.operators import features as fe, models, paths, search, targets
+from larch.operators import features as fe, paths, targets
 from larch.plans import training as tr
 
 SEED = 123
@@ -57,95 +57,27 @@ def _long_table(spark, names: list[str], alphas, coefs, intercepts=None) -> Data
         "neg_log10_alpha", neg_log10("alpha"))
 
 
-# ---- wide designs: distributed fits per penalty -------------------------
-
-def _design_names(td: tr.TaskData) -> list[str]:
-    """Slot names of the prepared regression features (numeric, then each
-    one-hot slot as ``column=value``), the same order as the Gram design."""
-    num, cat = targets.feature_lists("regression")
-    labels = None
-    for st in td.feature_model.stages:
-        inner = st.stages if hasattr(st, "stages") else [st]
-        for s in inner:
-            if getattr(s, "labelsArray", None) is not None:
-                labels = [list(x) for x in s.labelsArray]
-    return num + [f"{c}={v}" for c, vals in zip(cat, labels) for v in vals]
-
-
-def _wide_fits(td: tr.TaskData, make, alphas) -> list:
-    runs = search.run(lambda a: make(a).fit(td.train), [float(a) for a in alphas])
-    return [r["metrics"] for r in runs]
-
-
-def _wide_alpha_grid(td: tr.TaskData, l1_ratio: float, n_alphas: int) -> np.ndarray:
-    """The path grid without the Gram: ``max |X'y| / (n r)`` from one
-    aggregate of the numeric products and one group-by per category column
-    (bounded by its number of values)."""
-    num, cat = targets.feature_lists("regression")
-    train, y = td.train, F.col(td.label).cast("double")
-    r = train.agg(F.count(F.lit(1)).alias("n"),
-                  *[F.abs(F.sum(F.col(c) * y)).alias(f"a{i}") for i, c in enumerate(num)]).first()
-    best = max([r[f"a{i}"] or 0.0 for i in range(len(num))] + [0.0])
-    for c in cat:
-        m = train.groupBy(c).agg(F.abs(F.sum(y)).alias("a")).agg(F.max("a")).first()[0]
-        best = max(best, m or 0.0)
-    a_max = best / (int(r["n"]) * l1_ratio)
-    return np.logspace(np.log10(a_max), np.log10(a_max * PATH_EPS), n_alphas)
-
-
-def _wide_ridge_path(spark: SparkSession, sf: str, alphas) -> DataFrame:
-    td = tr.prepare(spark, sf, "regression")
-    fits = _wide_fits(td, lambda a: models.linear_regression(
-        "ridge", td.stats, td.n_features, td.label, alpha=a, solver="l-bfgs"), alphas)
-    out = _long_table(spark, _design_names(td), alphas,
-                      [m.coefficients.toArray() for m in fits], [m.intercept for m in fits])
-    td.release()
-    return out
-
-
-def _wide_enet_path(spark: SparkSession, sf: str, l1_ratio: float, n_alphas: int) -> DataFrame:
-    td = tr.prepare(spark, sf, "regression")
-    alphas = _wide_alpha_grid(td, l1_ratio, n_alphas)
-    kind = "lasso" if l1_ratio == 1.0 else "elastic_net"
-    fits = _wide_fits(td, lambda a: models.linear_regression(
-        kind, td.stats, td.n_features, td.label, alpha=a, l1_ratio=l1_ratio,
-        fit_intercept=False, solver="l-bfgs"), alphas)
-    out = _long_table(spark, _design_names(td), alphas,
-                      [m.coefficients.toArray() for m in fits])
-    td.release()
-    return out
-
-
 # ---- registered paths ----------------------------------------------------
 
 def ridge_path(spark: SparkSession, sf: str) -> DataFrame:
     """H5: 10 lognormal(0, 0.5) penalties, refit each (with intercept)."""
     rng = np.random.default_rng(SEED)
     alphas = rng.lognormal(*RIDGE_PATH_PRIOR, RIDGE_PATH_ALPHAS)
-    try:
-        g = regression_gram(spark, sf)
-    except paths.GramTooLarge:
-        return _wide_ridge_path(spark, sf, alphas)
+    g = regression_gram(spark, sf)
     fits = [paths.ridge_coefficients(g, a) for a in alphas]
     return _long_table(spark, g.names, alphas, [w for _, w in fits], [b for b, _ in fits])
 
 
 def lasso_path(spark: SparkSession, sf: str) -> DataFrame:
     """H6: 30 penalties down from the all-zero one, no intercept."""
-    try:
-        g = regression_gram(spark, sf)
-    except paths.GramTooLarge:
-        return _wide_enet_path(spark, sf, 1.0, LASSO_PATH_ALPHAS)
+    g = regression_gram(spark, sf)
     alphas = paths.alpha_grid(g, 1.0, LASSO_PATH_ALPHAS, PATH_EPS)
     return _long_table(spark, g.names, alphas, paths.enet_path(g, alphas, 1.0))
 
 
 def elastic_net_path(spark: SparkSession, sf: str) -> DataFrame:
     """H7: as H6 with l1_ratio 0.5."""
-    try:
-        g = regression_gram(spark, sf)
-    except paths.GramTooLarge:
-        return _wide_enet_path(spark, sf, ENET_PATH_L1_RATIO, ENET_PATH_ALPHAS)
+    g = regression_gram(spark, sf)
     alphas = paths.alpha_grid(g, ENET_PATH_L1_RATIO, ENET_PATH_ALPHAS, PATH_EPS)
     return _long_table(spark, g.names, alphas, paths.enet_path(g, alphas, ENET_PATH_L1_RATIO))
 
@@ -160,13 +92,7 @@ def path_summary(path: DataFrame) -> DataFrame:
 
 def lasso_path_alphas(spark: SparkSession, sf: str) -> DataFrame:
     """H6 grid: the penalty of every path step and its -log10."""
-    try:
-        g = regression_gram(spark, sf)
-        alphas = paths.alpha_grid(g, 1.0, LASSO_PATH_ALPHAS, PATH_EPS)
-    except paths.GramTooLarge:
-        td = tr.prepare(spark, sf, "regression")
-        alphas = _wide_alpha_grid(td, 1.0, LASSO_PATH_ALPHAS)
-        td.release()
+    alphas = paths.alpha_grid(regression_gram(spark, sf), 1.0, LASSO_PATH_ALPHAS, PATH_EPS)
     df = spark.createDataFrame([Row(alpha_idx=i, alpha=float(a)) for i, a in enumerate(alphas)],
                                "alpha_idx long, alpha double")
     return df.withColumn("neg_log10_alpha", neg_log10("alpha"))

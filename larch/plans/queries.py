@@ -265,7 +265,7 @@ def _one_feature_fit(spark, sf, kind, feature, alpha=0.0, l1_ratio=0.5):
     d = VectorAssembler(inputCols=[feature], outputCol="features").transform(raw)
     train = d.filter(~F.col("is_test"))
     stats = models.label_stats(train, "duration")
-    est = models.linear_regression(kind, stats, 1, "duration", alpha=alpha, l1_ratio=l1_ratio)
+    est = models.linear_regression(kind, stats, "duration", alpha=alpha, l1_ratio=l1_ratio)
     m = est.fit(train)
     pred = m.transform(d)
     rep = evaluate.regression_report(pred, "duration")
@@ -300,7 +300,7 @@ def lineitem_price_ols(spark, sf):
     li = ts.read_table(spark, sf, "lineitem").select("l_quantity", "l_extendedprice")
     d = VectorAssembler(inputCols=["l_quantity"], outputCol="features").transform(li)
     stats = models.label_stats(d, "l_extendedprice")
-    m = models.linear_regression("ols", stats, 1, "l_extendedprice").fit(d)
+    m = models.linear_regression("ols", stats, "l_extendedprice").fit(d)
     s = m.summary
     return _rounded(spark.createDataFrame(
         [(float(m.intercept), float(m.coefficients[0]), float(s.rootMeanSquaredError),
@@ -574,7 +574,7 @@ def saved_ols_scoring(spark, sf):
     stats = models.label_stats(raw, "duration")
     pipe = Pipeline(stages=[VectorAssembler(inputCols=["lpep_pickup_datetime_hour"],
                                             outputCol="features"),
-                            models.linear_regression("ols", stats, 1, "duration")])
+                            models.linear_regression("ols", stats, "duration")])
     path = runlog.save_model(pipe.fit(raw), unique_path(spark, "models", "ols_hour"))
     rows = scoring.label_free_rows(ts.trips(spark, sf))
     return _rounded(scoring.score(PipelineModel.load(path), rows))

@@ -11,7 +11,7 @@ from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from larch.operators import models, paths, targets
+from larch.operators import targets
 from larch.operators.ridge import GramRidge
 from larch.plans import training as tr
 from larch.session import unique_path
@@ -25,13 +25,8 @@ def train_and_save(spark: SparkSession, sf: str, path: str | None = None) -> tup
     """Fit features + ridge on the train month, save one pipeline, log the run."""
     td = tr.prepare(spark, sf, "regression", drop_first=True)
     num, cat = targets.feature_lists("regression")
-    if td.n_features <= paths.GRAM_MAX_FEATURES:
-        est = GramRidge(numericCols=num, categoricalCols=cat, labelCol=td.label,
-                        alpha=SCORING_ALPHA, dropFirst=True)
-    else:
-        # too wide for a driver-side Gram: MLlib's distributed ridge
-        est = models.linear_regression("ridge", td.stats, td.n_features, td.label,
-                                       alpha=SCORING_ALPHA)
+    est = GramRidge(numericCols=num, categoricalCols=cat, labelCol=td.label,
+                    alpha=SCORING_ALPHA, dropFirst=True)
     model, metrics = tr.fit_and_evaluate(td, est)
     full = PipelineModel(stages=list(td.feature_model.stages) + [model])
     path = path or unique_path(spark, "models", "ridge")
@@ -56,7 +51,9 @@ def score(model: PipelineModel, rows: DataFrame) -> DataFrame:
 
 def score_month(spark: SparkSession, sf: str) -> DataFrame:
     """Train on the (reduced) month, reload the saved pipeline, score
-    every trip of the month without its label."""
+    every trip of the month without its label, write the predictions and read
+    them back."""
     path, _ = train_and_save(spark, sf)
-    model = runlog.load_model(path)
-    return score(model, label_free_rows(ts.trips(spark, sf)))
+    out = unique_path(spark, "predictions")
+    score(runlog.load_model(path), label_free_rows(ts.trips(spark, sf))).write.parquet(out)
+    return spark.read.parquet(out)

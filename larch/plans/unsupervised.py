@@ -39,7 +39,7 @@ def kmeans_clusters(spark: SparkSession, sf: str, k: int = N_CLUSTERS) -> DataFr
         .withColumn("training_cost", F.lit(float(model.summary.trainingCost)))
 
 
-def label_centers(v: DataFrame, dim: int) -> list[tuple[int, list[float]]]:
+def label_centers(v: DataFrame) -> list[tuple[int, list[float]]]:
     """Per-label mean vectors (k x d numbers; bounded by labels x dims)."""
     rows = v.groupBy("label").agg(Summarizer.mean(F.col("features")).alias("c")).collect()
     return sorted((int(r["label"]), [float(x) for x in r["c"]]) for r in rows)
@@ -63,8 +63,7 @@ def assign_to_centers(v: DataFrame, centers: list[tuple[int, list[float]]],
 def kmeans_assign_label_centers(spark: SparkSession, sf: str) -> DataFrame:
     """M15 predict step: every vector assigned to the nearest label mean."""
     v = embedding_vectors(spark, sf)
-    dim = len(v.select("embedding").first()[0])
-    return assign_to_centers(v, label_centers(v, dim)).select(
+    return assign_to_centers(v, label_centers(v)).select(
         F.col("vec_id"), F.col("label").cast("long").alias("label"), "center")
 
 
@@ -94,6 +93,7 @@ def embedding_covariance(spark: SparkSession, sf: str) -> DataFrame:
     corr = Correlation.corr(v, "features", "pearson").first()[0].toArray()
     sd = v.select(Summarizer.std(F.col("features")).alias("s")).first()["s"].toArray()
     d = len(sd)
-    rows = [Row(i=i, j=j, cov=float(corr[i, j] * sd[i] * sd[j]))
+    # a constant dimension has no correlation, and covariance 0
+    rows = [Row(i=i, j=j, cov=float(corr[i, j] * sd[i] * sd[j]) if sd[i] and sd[j] else 0.0)
             for i in range(d) for j in range(d)]
     return spark.createDataFrame(rows, "i long, j long, cov double")

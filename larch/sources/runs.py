@@ -72,8 +72,9 @@ def load_model(path: str) -> PipelineModel:
 
 
 def leaderboard(runs: DataFrame, metric: str, maximize: bool) -> DataFrame:
-    """Runs ranked inside each experiment by one metric."""
+    """Runs ranked inside each experiment by one metric; ties by model
+    type and parameters, so the ranking doesn't change between runs."""
     m = F.col("metrics")[metric]
     order = m.desc_nulls_last() if maximize else m.asc_nulls_last()
-    w = Window.partitionBy("experiment").orderBy(order, F.col("run_id"))
+    w = Window.partitionBy("experiment").orderBy(order, "model_type", F.to_json("params"), "run_id")
     return runs.withColumn(metric, m).withColumn("rank", F.row_number().over(w))

@@ -52,6 +52,26 @@ def year_month_col(ts: str = "lpep_pickup_datetime") -> Column:
     return F.format_string("%04d-%02d", F.year(F.col(ts)), F.month(F.col(ts)))
 
 
+#: In a file's name, or in that of the folder that holds its parts.
+MONTH_IN_NAME = r"(\d{4}-\d{2})[^/]*(?:/part-[^/]*)?$"
+
+
+def file_month(ts: str = "lpep_pickup_datetime") -> Column:
+    """``yyyy-MM`` of the monthly file a row comes from (a file holds a few
+    stray pickups of other months, and counts go by file); the pickup's month
+    where the file name has none."""
+    found = F.regexp_extract(F.col("_metadata.file_path"), MONTH_IN_NAME, 1)
+    return F.coalesce(F.nullif(found, F.lit("")), year_month_col(ts))
+
+
+def check_columns(spark: SparkSession, paths: list[str], needed: list[str]) -> None:
+    """A column that a file lacks would silently read as NULL: fail early."""
+    for path in paths:
+        missing = sorted(set(needed) - set(spark.read.parquet(path).columns))
+        if missing:
+            raise ValueError(f"{path} has no column {', '.join(missing)}")
+
+
 def epoch_micros(ts: str | Column) -> Column:
     """Microseconds since 1970-01-01 of a local timestamp (zone free)."""
     c = F.col(ts) if isinstance(ts, str) else ts
@@ -60,26 +80,32 @@ def epoch_micros(ts: str | Column) -> Column:
 
 
 def read_trips(spark: SparkSession, paths: str | Iterable[str],
-               key: str | None = None) -> DataFrame:
+               key: str | None = None, optional: Iterable[str] = ()) -> DataFrame:
     """Read one or many monthly trip files in one scan.
 
+    Every column of the schema must be in every file, but for ``optional``
+    ones, which are left out of the frame if the first file lacks them (a
+    month to score has no dropoff or tip). ``year_month`` is the file's.
+
     Location ids become strings (P1). ``trip_id`` is taken from ``key`` when
     the files carry one; otherwise it is a hash of pickup, dropoff, both
     locations and the fare, so it does not depend on file layout.
     """
     if isinstance(paths, str):
         paths = [paths]
-    df = spark.read.schema(TRIP_SCHEMA if key is None else
-                           T.StructType(TRIP_SCHEMA.fields +
-                                        [T.StructField(key, T.LongType())])).parquet(*paths)
-    cols = [_nan_to_null(f.name, f.dataType) for f in TRIP_SCHEMA.fields]
-    df = df.select(*( [F.col(key).alias("trip_id")] if key else
-                      [F.xxhash64("lpep_pickup_datetime", "lpep_dropoff_datetime",
-                                  "PULocationID", "DOLocationID",
-                                  "fare_amount").alias("trip_id")]), *cols)
+    paths = list(paths)
+    there = set(spark.read.parquet(paths[0]).columns)
+    fields = [f for f in TRIP_SCHEMA.fields if f.name in there or f.name not in set(optional)]
+    if key:
+        fields.append(T.StructField(key, T.LongType()))
+    check_columns(spark, paths, [f.name for f in fields])
+    df = spark.read.schema(T.StructType(fields)).parquet(*paths)
+    identity = [c for c in ("lpep_pickup_datetime", "lpep_dropoff_datetime", "PULocationID", "DOLocationID", "fare_amount")
+                if c in df.columns]
+    df = df.select((F.col(key) if key else F.xxhash64(*identity)).alias("trip_id"), file_month().alias("year_month"),
+                   *[_nan_to_null(f.name, f.dataType) for f in fields if f.name != key])
     return (df.withColumn("PULocationID", F.col("PULocationID").cast("string"))
-              .withColumn("DOLocationID", F.col("DOLocationID").cast("string"))
-              .withColumn("year_month", year_month_col()))
+              .withColumn("DOLocationID", F.col("DOLocationID").cast("string")))
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
