@@ -41,6 +41,9 @@ QUERIES = {
     "lasso_one_feature": q.lasso_one_feature,
     "elastic_net_one_feature": q.elastic_net_one_feature,
     "lineitem_price_ols": q.lineitem_price_ols,
+    "ridge_one_feature_search": q.ridge_one_feature_search,
+    "logistic_one_flag": q.logistic_one_flag,
+    "elastic_net_path_alphas": q.elastic_net_path_alphas,
     # folds and learning-curve subsets
     "stratified_folds": q.stratified_folds,
     "fold_class_shares": q.fold_class_shares,

@@ -340,16 +340,46 @@ _XY_TERMS = " UNION ALL ".join(
     [f"SELECT abs(sum({c} * duration)) AS v FROM t" for c in REG_NUM] +
     [f"SELECT abs(sum(duration)) AS v FROM t GROUP BY {c}" for c in REG_CAT])
 
-SQL["lasso_path_alphas"] = with_trips(
-    "," + _fill_cte("reg", REG_NUM, REG_CAT) + f""",
+
+
+def _alphas_sql(l1_ratio: float) -> str:
+    return with_trips(
+        "," + _fill_cte("reg", REG_NUM, REG_CAT) + f""",
 t AS (SELECT * FROM filled WHERE NOT is_test),
 xy AS ({_XY_TERMS}),
-am AS (SELECT max(v) / (SELECT count(*) FROM t) AS amax FROM xy)
+am AS (SELECT max(v) / (SELECT count(*) FROM t) / {l1_ratio} AS amax FROM xy)
 SELECT CAST(k AS BIGINT) AS alpha_idx,
   round(pow(10, log10(amax) + k * (-3.0 / 29)), 6) AS alpha,
   round(-(log10(amax) + k * (-3.0 / 29)), 6) AS neg_log10_alpha
 FROM am, range(30) r(k)""")
 
+
+SQL["lasso_path_alphas"] = _alphas_sql(1.0)
+SQL["elastic_net_path_alphas"] = _alphas_sql(0.5)
+
+# The ridge search's seeded draws (lognormal(0, 1), seed 123).
+RIDGE_ALPHAS = [0.37190332022766404, 0.692264859626372, 3.6252572861920394, 1.2140652257174613, 2.5098698510797406]
+
+SQL["ridge_one_feature_search"] = with_trips(""",
+t AS (SELECT passenger_count AS x, duration AS y, is_test FROM reg WHERE passenger_count IS NOT NULL),
+s AS (SELECT count(*) AS n, avg(x) AS mx, avg(y) AS my, sum(x * x) - count(*) * avg(x) * avg(x) AS sxx,
+        sum(x * y) - count(*) * avg(x) * avg(y) AS sxy FROM t WHERE NOT is_test),
+c AS (SELECT CAST(k AS BIGINT) AS candidate, alpha, my - sxy / (sxx + alpha) * mx AS b0, sxy / (sxx + alpha) AS b1
+      FROM s, (VALUES """ + ", ".join(f"({k}, CAST({a!r} AS DOUBLE))" for k, a in enumerate(RIDGE_ALPHAS)) + """) v(k, alpha)),
+e AS (SELECT candidate, alpha, b0, b1,
+        sqrt(avg(CASE WHEN NOT is_test THEN (y - b0 - b1 * x) * (y - b0 - b1 * x) END)) AS rmse_train,
+        sqrt(avg(CASE WHEN is_test THEN (y - b0 - b1 * x) * (y - b0 - b1 * x) END)) AS rmse_test
+      FROM c, t GROUP BY candidate, alpha, b0, b1)
+SELECT candidate, round(alpha, 6) AS alpha, round(b0, 6) AS intercept, round(b1, 6) AS coefficient,
+  round(rmse_train, 6) AS rmse_train, round(rmse_test, 6) AS rmse_test,
+  row_number() OVER (ORDER BY rmse_test, candidate) AS rank FROM e""")
+
+SQL["logistic_one_flag"] = with_trips(""",
+o AS (SELECT store_and_fwd_flag = 'Y' AS flag, ln(avg(tipped) / (1 - avg(tipped))) AS odds
+      FROM cls WHERE NOT is_test AND store_and_fwd_flag IS NOT NULL GROUP BY 1)
+SELECT round(max(CASE WHEN NOT flag THEN odds END), 4) AS intercept,
+  round(max(CASE WHEN flag THEN odds END) - max(CASE WHEN NOT flag THEN odds END), 4) AS coefficient FROM o""")
+
 SQL["kmeans_assign_label_centers"] = """
 WITH e AS (SELECT vec_id, label, unnest(embedding) AS x, generate_subscripts(embedding, 1) AS i FROM embeddings),
 c AS (SELECT label AS center, i, avg(CAST(x AS DOUBLE)) AS cx FROM e GROUP BY label, i),

@@ -90,9 +90,18 @@ def path_summary(path: DataFrame) -> DataFrame:
         F.sum(F.abs("coefficient")).alias("l1_norm"))
 
 
-def lasso_path_alphas(spark: SparkSession, sf: str) -> DataFrame:
-    """H6 grid: the penalty of every path step and its -log10."""
-    alphas = paths.alpha_grid(regression_gram(spark, sf), 1.0, LASSO_PATH_ALPHAS, PATH_EPS)
+def _alphas(spark: SparkSession, sf: str, l1_ratio: float, n: int) -> DataFrame:
+    alphas = paths.alpha_grid(regression_gram(spark, sf), l1_ratio, n, PATH_EPS)
     df = spark.createDataFrame([Row(alpha_idx=i, alpha=float(a)) for i, a in enumerate(alphas)],
                                "alpha_idx long, alpha double")
     return df.withColumn("neg_log10_alpha", neg_log10("alpha"))
+
+
+def lasso_path_alphas(spark: SparkSession, sf: str) -> DataFrame:
+    """H6 grid: the penalty of every path step and its -log10."""
+    return _alphas(spark, sf, 1.0, LASSO_PATH_ALPHAS)
+
+
+def elastic_net_path_alphas(spark: SparkSession, sf: str) -> DataFrame:
+    """H7 grid."""
+    return _alphas(spark, sf, ENET_PATH_L1_RATIO, ENET_PATH_ALPHAS)

@@ -307,6 +307,45 @@ def lineitem_price_ols(spark, sf):
           int(s.numInstances))], "intercept double, coefficient double, rmse double, n long"))
 
 
+def ridge_one_feature_search(spark, sf):
+    """H1-H3, H11 with a closed form: the ridge search's seeded penalties on
+    duration ~ passenger count; metrics and rank (by test rmse) of each."""
+    from larch.operators import paths, ridge, search
+    from larch.plans import experiments as ex
+    feature = ["passenger_count"]
+    raw = tr.raw_task_frame(spark, sf, "regression").filter(F.col(feature[0]).isNotNull()).select(
+        "trip_id", "is_test", "duration", *feature).persist(StorageLevel.MEMORY_AND_DISK)
+    alphas = [c["alpha"] for c in search.sample(ex.RIDGE_SPACE, ex.EVALS["ridge"], ex.SEED)]
+    g = paths.design_gram(raw.filter(~F.col("is_test")), feature, [], [], "duration")
+    fits = [paths.ridge_coefficients(g, a) for a in alphas]
+    scored = ridge.candidate_predictions(raw, feature, [], [], fits)
+    metrics = evaluate.regression_reports(scored, "duration", [f"pred_{j}" for j in range(len(fits))])
+    raw.unpersist()
+    order = sorted(range(len(fits)), key=lambda j: (metrics[j]["rmse_test"], j))
+    return _rounded(spark.createDataFrame(
+        [(j, alphas[j], fits[j][0], float(fits[j][1][0]), metrics[j]["rmse_train"], metrics[j]["rmse_test"], order.index(j) + 1)
+         for j in range(len(fits))],
+        "candidate long, alpha double, intercept double, coefficient double, rmse_train double, rmse_test double, rank long"))
+
+
+def logistic_one_flag(spark, sf):
+    """M7 with a closed form: unpenalized logistic regression of the tip on the
+    stored-trip flag; the coefficients are log odds (4 decimals)."""
+    from pyspark.ml.classification import LogisticRegression
+    from pyspark.ml.feature import VectorAssembler
+    raw = tr.raw_task_frame(spark, sf, "classification").filter(~F.col("is_test") & F.col("store_and_fwd_flag").isNotNull())
+    flag = raw.select("tipped", (F.col("store_and_fwd_flag") == "Y").cast("double").alias("flag"))
+    d = VectorAssembler(inputCols=["flag"], outputCol="features").transform(flag)
+    m = LogisticRegression(featuresCol="features", labelCol="tipped", regParam=0.0, tol=1e-12, maxIter=500).fit(d)
+    return spark.createDataFrame([(round(m.intercept, 4), round(float(m.coefficients[0]), 4))], "intercept double, coefficient double")
+
+
+def elastic_net_path_alphas(spark, sf):
+    """H7 grid: the penalty of every path step and its -log10."""
+    from larch.plans import paths as P
+    return _rounded(P.elastic_net_path_alphas(spark, sf))
+
+
 # ---- folds and growing subsets (D3, D4) ----------------------------------
 
 LC_FOLDS = 10
