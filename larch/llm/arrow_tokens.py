@@ -3,9 +3,10 @@
 Documents are dealt out by ranges of their id and sorted, each partition
 encodes its own and writes two Arrow IPC files to the shared folder:
 
-* ``tokens``: record batches of ``input_ids`` fixed_size_list<uint32>[L] and
-  ``mask`` fixed_size_list<uint8>[L]; the id stream of the partition cut into
-  sequences of L ids, the last one padded and masked 0;
+* ``tokens``: record batches of ``input_ids`` fixed_size_list<uint16>[L] (uint32
+  for a vocabulary of more than 65,536 ids) and ``mask`` fixed_size_list<bool>[L];
+  the id stream of the partition cut into sequences of L ids, the last one
+  padded and masked false;
 * ``index``: the id, start in the partition's stream and token count of each
   document, in stream order.
 
@@ -34,7 +35,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from larch.llm.common import materialize, read_table, text_or_empty
-from larch.llm.tokens import encode_bytes, tokenizer_path
+from larch.llm.tokens import encode_bytes, tokenizer_path, vocabulary_size
 from larch.session import unique_path
 
 SEQUENCE_LENGTH = 2048
@@ -58,9 +59,11 @@ def _open_file(path: str) -> pa.ipc.RecordBatchFileReader:
 class SequenceWriter:
     """Cuts a stream of ids into fixed-size sequences and writes them in batches."""
 
-    def __init__(self, sink, length: int, batch: int) -> None:
+    def __init__(self, sink, length: int, batch: int, id_type: str) -> None:
         self.length, self.batch, self.parts, self.held, self.total = length, batch, [], 0, 0
-        self.schema = pa.schema([("input_ids", pa.list_(pa.uint32(), length)), ("mask", pa.list_(pa.uint8(), length))])
+        self.dtype = np.dtype(id_type)
+        ids = pa.from_numpy_dtype(self.dtype)
+        self.schema = pa.schema([("input_ids", pa.list_(ids, length)), ("mask", pa.list_(pa.bool_(), length))])
         self.writer = pa.ipc.new_file(sink, self.schema)
 
     def add(self, ids: bytes) -> None:
@@ -84,9 +87,9 @@ class SequenceWriter:
         self.parts, self.held = [rest.tobytes()], len(rest)
 
     def _batch(self, ids: np.ndarray, real: int) -> None:
-        mask = (np.arange(len(ids)) < real).astype(np.uint8)
+        mask = np.arange(len(ids)) < real
         self.writer.write_batch(pa.record_batch([
-            pa.FixedSizeListArray.from_arrays(pa.array(ids), self.length),
+            pa.FixedSizeListArray.from_arrays(pa.array(ids.astype(self.dtype)), self.length),
             pa.FixedSizeListArray.from_arrays(pa.array(mask), self.length)], schema=self.schema))
 
     def close(self) -> None:
@@ -99,6 +102,7 @@ def write_token_files(docs: DataFrame, root: str, tokenizer: str, end_id: int =
                       id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Write the files under ``root``; the manifest, in stream order of ``part``."""
     end = np.array([end_id], dtype="<u4").tobytes()
+    id_type = "uint16" if vocabulary_size(tokenizer) <= 1 << 16 else "uint32"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
@@ -123,7 +127,7 @@ def write_token_files(docs: DataFrame, root: str, tokenizer: str, end_id: int =
                 index_type = b.schema.field(0).type
                 index_schema = pa.schema([("doc_id", index_type), ("start", pa.int64()), ("n_tokens", pa.int64())])
                 sinks = [fs.open_output_stream(f"{base}/{name}.{kind}.arrow") for kind in ("tokens", "index")]
-                out, index = SequenceWriter(sinks[0], length, batch), pa.ipc.new_file(sinks[1], index_schema)
+                out, index = SequenceWriter(sinks[0], length, batch, id_type), pa.ipc.new_file(sinks[1], index_schema)
             for i, text in zip(b.column(0), b.column(1), strict=True):
                 ids = encode_bytes(text.as_py(), tokenizer) + end
                 starts[0].append(i.as_py())
@@ -164,7 +168,7 @@ def read_documents(tokens_path: str, index_path: str) -> Iterator[tuple[object,
                     ids = tokens.get_batch(at).column(0).flatten().to_numpy(zero_copy_only=True)
                     at += 1
                 part = ids[pos - first:stop - first]
-                crc = zlib.crc32(np.ascontiguousarray(part, dtype="<u4"), crc)
+                crc = zlib.crc32(part.astype("<u4"), crc)
                 pos += len(part)
             yield doc, start, n, crc
 

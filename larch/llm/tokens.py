@@ -33,6 +33,12 @@ def tokenizer_path(name: str = "byte_bpe_50k.json") -> str:
     return public_tokenizers.path(name)
 
 
+def vocabulary_size(path: str) -> int:
+    from tokenizers import Tokenizer
+
+    return Tokenizer.from_file(path).get_vocab_size()
+
+
 def _byte_letters() -> dict[int, str]:
     """Byte-level BPE writes byte values as printable characters: printable
     Latin-1 stands for itself, the rest follow from U+0100 on in order."""
