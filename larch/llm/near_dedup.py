@@ -13,12 +13,13 @@ the probability. A process stops as soon as its time passes the document's
 latest component, and a count of n needs log2(n) + 1 processes, not n.
 
 Classes. Documents with equal multisets are one node. Nodes that agree in all
-components of a band share a bucket. Each node of a bucket is linked to the
-bucket's smallest node, the pairs are made distinct, and both texts of a pair
-are compared exactly. Verified links make classes (connected components). Then
-buckets that still hold several classes are linked along a chain of their nodes,
-ordered so that agreement in the next band stands together, until a round adds
-no link. Pairs grow with the nodes of buckets, never with their square.
+components of a band share a bucket, whose center is its smallest node. Each
+node is compared first with the smallest of its centers; pairs are compared by
+their whole texts, exactly, and those that hold make classes (connected
+components). Then, in buckets that still hold several classes, each node is
+compared with a center of another class and with its neighbour of another class
+on a chain in which agreement in the next band stands together, until a round
+adds no link. Pairs grow with the nodes of buckets, never with their square.
 
 A pair of similarity 0.8 shares a bucket with probability 1 - (1 - 0.8^6)^32 =
 0.99994, in 8 buckets on average. Its link may still be missed if neither star nor
@@ -173,6 +174,28 @@ def connected(links: DataFrame) -> DataFrame:
         labels = new.select("node", "label")
 
 
+def _roots(parents: DataFrame) -> DataFrame:
+    """(node, label) from links (a, b) with one smaller b per a: the end of
+    each node's chain, by doubling the steps."""
+    labels = materialize(parents.select(F.col("a").alias("node"), F.col("b").alias("label")), "labels")
+    while True:
+        jump = labels.select(F.col("node").alias("label"), F.col("label").alias("far"))
+        new = materialize(labels.join(jump, "label", "left").select("node", F.coalesce("far", "label").alias("label"), "far"), "labels")
+        if new.where("far IS NOT NULL").isEmpty():
+            return new.select("node", "label")
+        labels = new.select("node", "label")
+
+
+def _joined(labels: DataFrame, links: DataFrame) -> DataFrame:
+    """The labels after more links: only the classes that they join are labelled anew."""
+    ends = links.select(F.col("a").alias("node")).union(links.select(F.col("b").alias("node"))).distinct()
+    known = materialize(labels.join(ends, "node", "full").select("node", F.coalesce("label", "node").alias("label")), "labels")
+    of = known.select(F.col("node").alias("a"), F.col("label").alias("la")), known.select(F.col("node").alias("b"), F.col("label").alias("lb"))
+    between = links.join(of[0], "a").join(of[1], "b").select(F.col("la").alias("a"), F.col("lb").alias("b")).distinct()
+    joined = connected(between).select(F.col("node").alias("label"), F.col("label").alias("now"))
+    return materialize(known.join(joined, "label", "left").select("node", F.coalesce("now", "label").alias("label")), "labels")
+
+
 def near_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> tuple[DataFrame, DataFrame]:
     """(doc_id, text_key, node, copies) of the documents and (node, label) of
     the nodes that have a near duplicate of another node."""
@@ -183,25 +206,28 @@ def near_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     shared = buckets.groupBy("bucket").agg(F.min("node").alias("center"), F.count("*").alias("n")).where("n > 1")
     members = materialize(buckets.join(shared.select("bucket", "center"), "bucket"), "buckets")
 
-    pairs = members.where("node != center").select(F.col("node").alias("a"), F.col("center").alias("b")).distinct()
+    # first every node meets the smallest of its centers only: one pair per node
+    tried = materialize(
+        members.groupBy("node").agg(F.min("center").alias("b")).where("node != b").select(F.col("node").alias("a"), "b"), "pairs")
     keys = nodes.select("node", "text_key").join(members.select("node").distinct(), "node")
     texts = materialize(_texts_of(docs, keys, text_col), "bucket_texts")
-    tried = materialize(pairs, "pairs")
-    links = materialize(_verified(tried, texts), "near_links")
-    labels = connected(links)
+    labels = _roots(materialize(_verified(tried, texts), "near_links"))
     while True:
         labelled = members.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
-        mixed = labelled.groupBy("bucket").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo != hi").select("bucket")
+        mixed = labelled.groupBy("bucket").agg(
+            F.min("label").alias("lo"), F.max("label").alias("hi"),
+            F.min_by("label", "node").alias("center_label")).where("lo != hi").select("bucket", "center_label")
         w = Window.partitionBy("bucket").orderBy("next", "label", "node")
-        chain = labelled.join(mixed, "bucket").select(
-            "node", "label", F.lag("node").over(w).alias("other"), F.lag("label").over(w).alias("other_label")).where("label != other_label")
-        new = chain.select(F.greatest("node", "other").alias("a"), F.least("node", "other").alias("b")).distinct().join(tried, ["a", "b"], "left_anti")
-        new = materialize(new, "pairs")
+        inside = labelled.join(mixed, "bucket").withColumn("other", F.lag("node").over(w)).withColumn("other_label", F.lag("label").over(w))
+        met = F.array(F.struct(F.col("center").alias("other"), F.col("center_label").alias("label")),
+                      F.struct(F.col("other"), F.col("other_label").alias("label")))
+        apart = inside.select("node", "label", F.explode(met).alias("met")).where("label != met.label")
+        new = apart.select(F.greatest("node", "met.other").alias("a"), F.least("node", "met.other").alias("b")).distinct()
+        new = materialize(new.join(tried, ["a", "b"], "left_anti"), "pairs")
         found = materialize(_verified(new, texts), "near_links")
         if found.isEmpty():
             break
-        links, tried = links.unionByName(found), tried.unionByName(new)
-        labels = connected(links)
+        tried, labels = tried.unionByName(new), _joined(labels, found)
     rows = signed.groupBy("doc_id", "text_key", "node").agg(F.count("*").alias("copies"))
     return rows, labels
 
