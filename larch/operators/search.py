@@ -63,10 +63,13 @@ def sample(space: dict, n: int, seed: int = 123) -> list[dict]:
 
 def run(objective: Callable[[dict], dict], candidates: list[dict],
         parallelism: int = 4) -> list[dict]:
-    """H2: evaluate every candidate; returns ``{"params", "metrics"}`` rows
-    in candidate order."""
+    """H2: evaluate every candidate; returns ``{"params", "metrics",
+    "artifact"}`` rows in candidate order. An objective returns its metrics, or
+    its metrics and the path of the saved model."""
     def one(c):
-        return {"params": c, "metrics": objective(c)}
+        out = objective(c)
+        metrics, artifact = out if isinstance(out, tuple) else (out, None)
+        return {"params": c, "metrics": metrics, "artifact": artifact}
     if parallelism <= 1 or len(candidates) <= 1:
         return [one(c) for c in candidates]
     with ThreadPoolExecutor(max_workers=min(parallelism, len(candidates))) as pool:

@@ -12,11 +12,10 @@ from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
 from larch.operators import evaluate, models, paths, search, split, targets
-from larch.operators.ridge import GramRidge, candidate_predictions
+from larch.operators.ridge import GramRidge, LinearPredictorModel, candidate_predictions
 from larch.operators.search import choice, lognormal, quniform, uniform
 from larch.plans import training as tr
 from larch.sources import runs as runlog
-from larch.session import unique_path
 
 SEED = 123
 
@@ -55,17 +54,19 @@ def _results_frame(spark: SparkSession, experiment: str, model_type: str,
     return spark.createDataFrame([Row(**{k: d.get(k) for k in keys}) for d in rows])
 
 
-def _log(spark, experiment, model_type, results, runs_path):
-    rows = [runlog.run_row(experiment, r.get("model_type", model_type), r["params"],
-                           r["metrics"], artifact=r.get("artifact")) for r in results]
+def _log(td: tr.TaskData, sf: str, experiment: str, model_type: str, results: list[dict], run_group: str | None) -> None:
+    """The runs of a search, in the one run table."""
+    tags = {"data": sf, "task": td.task, "threshold": 0.5, **{k: v for k, v in td.options.items()}}
+    rows = [runlog.run_row(experiment, r.get("model_type", model_type), r["params"], r["metrics"], tags=tags,
+                           artifact=r.get("artifact"), run_group=run_group or runlog.new_group()) for r in results]
     if rows:
-        runlog.log_runs(spark, rows, runs_path)
+        runlog.log_runs(td.frame.sparkSession, rows)
 
 
 # ---- regression ----------------------------------------------------------
 
 def linear_search(spark: SparkSession, sf: str, kind: str, drop_first: bool = False,
-                  td: tr.TaskData | None = None, runs_path: str | None = None,
+                  td: tr.TaskData | None = None, run_group: str | None = None,
                   experiment: str | None = None) -> DataFrame:
     """H2 over ridge / lasso / elastic net, loss = test rmse."""
     own = td is None
@@ -75,7 +76,7 @@ def linear_search(spark: SparkSession, sf: str, kind: str, drop_first: bool = Fa
     cands = search.sample(space, n, SEED)
     results = gram_candidates(td, kind, cands)
     experiment = experiment or f"{kind}_search"
-    _log(spark, experiment, kind, results, runs_path or unique_path(spark, "runs"))
+    _log(td, sf, experiment, kind, results, run_group)
     out = _results_frame(spark, experiment, kind, results, "rmse_test", False)
     if own:
         td.release()
@@ -118,29 +119,35 @@ def gram_candidates(td: tr.TaskData, kind: str, cands: list[dict]) -> list[dict]
     cols = [f"pred_{j}" for j in range(len(fits))]
     scored = candidate_predictions(td.frame, num, cat, g.categories, fits)
     metrics = evaluate.regression_reports(scored, td.label, cols)
-    return [{"params": p, "metrics": m} for p, m in zip(cands, metrics)]
+
+    def saved(fit):
+        model = LinearPredictorModel.from_weights(num, cat, g.categories, fit[0], fit[1])
+        return tr.save_pipeline(td, model, kind)
+
+    artifacts = [r["metrics"] for r in search.run(saved, fits)]
+    return [{"params": p, "metrics": m, "artifact": a} for p, m, a in zip(cands, metrics, artifacts)]
 
 
 def regression_comparison(spark: SparkSession, sf: str) -> tuple[DataFrame, str]:
     """H9: baseline, OLS, ridge, lasso and elastic net on the same split
     and drop-first features; every run logged to one run table."""
     td = tr.prepare(spark, sf, "regression", drop_first=True)
-    path = unique_path(spark, "runs")
+    group = runlog.new_group()
     exp = "linear_regression_comparison"
     base = [{"params": {}, "metrics": tr.baseline_metrics(td), "model_type": "baseline"}]
-    ols = models.linear_regression("ols", td.stats, td.label)
-    base.append({"params": {}, "metrics": tr.fit_and_evaluate(td, ols)[1], "model_type": "ols"})
-    _log(spark, exp, "baseline", base, path)
+    ols, artifact = tr.fit_evaluate_save(td, models.linear_regression("ols", td.stats, td.label), "ols")
+    base.append({"params": {}, "metrics": ols, "model_type": "ols", "artifact": artifact})
+    _log(td, sf, exp, "baseline", base, group)
     for kind in ("ridge", "lasso", "elastic_net"):
-        linear_search(spark, sf, kind, td=td, runs_path=path, experiment=exp)
+        linear_search(spark, sf, kind, td=td, run_group=group, experiment=exp)
     td.release()
-    return runlog.read_runs(spark, path), path
+    return runlog.read_runs(spark, run_group=group), group
 
 
 # ---- classification ------------------------------------------------------
 
 def _classifier_search(spark, sf, name, space, n, make, enable_categorical=False,
-                       with_validation=False, td=None, runs_path=None, experiment=None):
+                       with_validation=False, td=None, run_group=None, experiment=None):
     own = td is None
     td = td or tr.prepare(spark, sf, "classification", enable_categorical=enable_categorical)
     if with_validation:
@@ -149,11 +156,11 @@ def _classifier_search(spark, sf, name, space, n, make, enable_categorical=False
     cands = search.sample(space, n, SEED)
 
     def objective(p):
-        return tr.fit_and_evaluate(td, make(td, p))[1]
+        return tr.fit_evaluate_save(td, make(td, p), name)
 
     results = search.run(objective, cands)
     experiment = experiment or f"{name}_search"
-    _log(spark, experiment, name, results, runs_path or unique_path(spark, "runs"))
+    _log(td, sf, experiment, name, results, run_group)
     out = _results_frame(spark, experiment, name, results, "roc_auc_test", True)
     if own:
         td.release()
@@ -222,11 +229,10 @@ def boosted_regression_search(spark: SparkSession, sf: str) -> DataFrame:
                                        n_trees=p["n_estimators"],
                                        max_bins=max(32, td.max_categories),
                                        validation_col="is_valid")
-        return tr.fit_and_evaluate(td2, est)[1]
+        return tr.fit_evaluate_save(td2, est, "boosted_regression")
 
     results = search.run(objective, cands)
-    _log(spark, "boosted_regression_search", "boosted_regression", results,
-         unique_path(spark, "runs"))
+    _log(td, sf, "boosted_regression_search", "boosted_regression", results, None)
     td.release()
     return _results_frame(spark, "boosted_regression_search", "boosted_regression", results,
                           "rmse_test", False)
@@ -236,15 +242,15 @@ def classification_comparison(spark: SparkSession, sf: str) -> tuple[DataFrame,
     """Baseline, logistic, tree, forest, boosting and SVM on one
     split, one-hot + scaled features, all runs in one table."""
     td = tr.prepare(spark, sf, "classification")
-    path = unique_path(spark, "runs")
+    group = runlog.new_group()
     exp = "classification_comparison"
-    _log(spark, exp, "baseline", [{"params": {}, "metrics": tr.baseline_metrics(td),
-                                   "model_type": "baseline"}], path)
-    kw = dict(td=td, runs_path=path, experiment=exp)
+    _log(td, sf, exp, "baseline", [{"params": {}, "metrics": tr.baseline_metrics(td),
+                                    "model_type": "baseline"}], group)
+    kw = dict(td=td, run_group=group, experiment=exp)
     logistic_search(spark, sf, **kw)
     decision_tree_fit(spark, sf, **kw)
     forest_search(spark, sf, **kw)
     gradient_boosting_search(spark, sf, **kw)
     svm_fit(spark, sf, **kw)
     td.release()
-    return runlog.read_runs(spark, path), path
+    return runlog.read_runs(spark, run_group=group), group

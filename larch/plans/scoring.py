@@ -32,8 +32,7 @@ def train_and_save(spark: SparkSession, sf: str, path: str | None = None) -> tup
     path = path or unique_path(spark, "models", "ridge")
     runlog.save_model(full, path)
     runlog.log_runs(spark, [runlog.run_row("scoring", "ridge", {"alpha": SCORING_ALPHA},
-                                           metrics, artifact=path)],
-                    unique_path(spark, "runs"))
+                                           metrics, tags={"data": sf, "task": "regression"}, artifact=path)])
     td.release()
     return path, metrics
 

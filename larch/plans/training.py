@@ -18,8 +18,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from larch.operators import evaluate, features as fe, models, reduce as rd, split, targets
-from larch.session import target_partitions
-from larch.sources import trips as trip_source
+from larch.session import target_partitions, unique_path
+from larch.sources import runs as runlog, trips as trip_source
 
 
 @dataclass
@@ -163,3 +163,14 @@ def baseline_metrics(td: TaskData) -> dict:
 def fit_and_evaluate(td: TaskData, estimator, threshold: float = 0.5) -> tuple[object, dict]:
     model = estimator.fit(td.train)
     return model, evaluate_model(td, model, threshold)
+
+
+def save_pipeline(td: TaskData, model, name: str) -> str:
+    """S5 + S6: the fitted feature stages and the model as one pipeline."""
+    return runlog.save_model(PipelineModel(stages=[*td.feature_model.stages, model]),
+                             unique_path(td.frame.sparkSession, "models", name))
+
+
+def fit_evaluate_save(td: TaskData, estimator, name: str) -> tuple[dict, str]:
+    model, metrics = fit_and_evaluate(td, estimator)
+    return metrics, save_pipeline(td, model, name)

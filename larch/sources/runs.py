@@ -1,8 +1,8 @@
 """Run log (S4), saved pipelines (S5, S6) and the leaderboard.
 
 Every fit appends one row -- tags, params, metrics and the path of its
-saved pipeline -- to a parquet table in the shared folder. Picking the
-winner is a query over that table.
+saved pipeline -- to ONE parquet table in the shared folder, so today's runs
+compare with yesterday's. Picking the winner is a query over that table.
 """
 
 from __future__ import annotations
@@ -22,7 +22,8 @@ RUNS_SCHEMA = T.StructType([
     T.StructField("experiment", T.StringType(), False),
     T.StructField("run_name", T.StringType()),
     T.StructField("model_type", T.StringType()),
-    T.StructField("year_month", T.StringType()),
+    T.StructField("run_group", T.StringType()),
+    T.StructField("tags", T.MapType(T.StringType(), T.StringType())),
     T.StructField("params", T.MapType(T.StringType(), T.StringType())),
     T.StructField("metrics", T.MapType(T.StringType(), T.DoubleType())),
     T.StructField("artifact", T.StringType()),
@@ -35,14 +36,17 @@ def runs_path(spark: SparkSession) -> str:
 
 
 def run_row(experiment: str, model_type: str, params: dict, metrics: dict,
-            run_name: str = "base", year_month: str | None = None,
-            artifact: str | None = None) -> dict:
+            run_name: str = "base", tags: dict | None = None,
+            artifact: str | None = None, run_group: str | None = None) -> dict:
+    """One run. ``tags`` say what it was run on (data, task, threshold);
+    ``run_group`` is shared by the runs of one comparison."""
     return {
         "run_id": uuid.uuid4().hex,
         "experiment": experiment,
         "run_name": run_name,
         "model_type": model_type,
-        "year_month": year_month,
+        "run_group": run_group,
+        "tags": {k: str(v) for k, v in (tags or {}).items()},
         "params": {k: str(v) for k, v in params.items()},
         "metrics": {k: (None if v is None else float(v)) for k, v in metrics.items()},
         "artifact": artifact,
@@ -57,8 +61,14 @@ def log_runs(spark: SparkSession, rows: list[dict], path: str | None = None) ->
     return path
 
 
-def read_runs(spark: SparkSession, path: str | None = None) -> DataFrame:
-    return spark.read.schema(RUNS_SCHEMA).parquet(path or runs_path(spark))
+def new_group() -> str:
+    return uuid.uuid4().hex
+
+
+def read_runs(spark: SparkSession, path: str | None = None, run_group: str | None = None) -> DataFrame:
+    """All runs ever logged, or those of one group."""
+    runs = spark.read.schema(RUNS_SCHEMA).parquet(path or runs_path(spark))
+    return runs if run_group is None else runs.filter(F.col("run_group") == run_group)
 
 
 def save_model(model: PipelineModel, path: str) -> str:

@@ -7,7 +7,7 @@ from larch.plans import scoring
 from larch.sources import runs as runlog
 from larch.sources import trips as ts
 from larch.session import unique_path
-from tests.conftest import SF01
+from tests.conftest import SF001, SF01
 
 
 def test_save_load_same_predictions(spark):
@@ -30,3 +30,15 @@ def test_runs_and_leaderboard(spark):
     b = runlog.leaderboard(runlog.read_runs(spark, path), "m", maximize=False)
     top = b.filter("rank = 1").first()
     assert top["model_type"] == "b"
+
+
+def test_winner_of_the_run_table_reloads_and_scores(spark):
+    from larch.plans import experiments as ex
+
+    runs, group = ex.regression_comparison(spark, SF001)
+    top = runlog.leaderboard(runs, "rmse_test", maximize=False).filter("rank = 1 AND artifact IS NOT NULL OR rank = 2").orderBy("rank").first()
+    assert runs.count() == 17 and {r["run_group"] for r in runs.collect()} == {group}
+    assert top["tags"]["task"] == "regression" and runlog.read_runs(spark).count() >= 17
+    rows = scoring.label_free_rows(ts.trips(spark, SF001))
+    scored = scoring.score(runlog.load_model(top["artifact"]), rows)
+    assert scored.count() == rows.count() and scored.filter("predicted_duration IS NULL").count() == 0
