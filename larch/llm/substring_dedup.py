@@ -47,7 +47,8 @@ LENGTH = 400
 #: An anchor hashes half a window; fewer would repeat by chance, more would cut smaller cells.
 GRAM = 200
 BUCKET_BYTES = 4_000_000
-HOT_CELLS = 2000
+#: Cells of one anchor that a bucket takes: about 3 MB.
+HOT_CELLS = 5000
 GROUP_BYTES = 2_000_000
 SEGMENT_BYTES = 8_000_000
 CELL_BITS = 24
