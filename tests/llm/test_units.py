@@ -195,3 +195,15 @@ def test_common_prefix_of_any_conversations(spark):
     assert r["prompt"] + r["chosen_completion"] == "<|im_start|>u\na<|im_end|>\n<|im_start|>assistant\nb<|im_end|>\n"
     plan = preferences.format_preferences(df)._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan
+
+
+def test_components_of_a_long_chain_and_stars(spark):
+    chain = [(i + 1, i) for i in range(0, 21)] + [(31, 30), (32, 30), (33, 32)]
+    links = spark.createDataFrame([(bytes([a]), bytes([b])) for a, b in chain], "a binary, b binary")
+    want = {bytes([i]): bytes([0]) for i in range(22)} | {bytes([i]): bytes([30]) for i in range(30, 34)}
+    assert {bytes(r["node"]): bytes(r["label"]) for r in near_dedup.connected(links).collect()} == want
+    roots = {bytes(r["node"]): bytes(r["label"]) for r in near_dedup._roots(links).collect()}
+    assert roots == {n: v for n, v in want.items() if n != v}
+    labels = near_dedup._joined(near_dedup._roots(links), spark.createDataFrame([(bytes([33]), bytes([5])), (bytes([50]), bytes([40]))], "a binary, b binary"))
+    got = {bytes(r["node"]): bytes(r["label"]) for r in labels.collect()}
+    assert all(got[bytes([i])] == bytes([0]) for i in (1, 21, 31, 33)) and got[bytes([50])] == got[bytes([40])] == bytes([40])
