@@ -77,9 +77,12 @@ def top_pairs(counts: DataFrame, n: int = 5) -> DataFrame:
                   .filter(F.col("rank") <= n))
 
 
-def write_reduced(df: DataFrame, path: str) -> None:
-    """S3: one directory per month."""
-    df.write.mode("overwrite").partitionBy(MONTH).parquet(path)
+def write_reduced(df: DataFrame, path: str, files_per_month: int = 8, key: str = "trip_id") -> None:
+    """S3: one directory per month, with ``files_per_month`` files each (rows
+    are dealt out by month and a salt of the key, so a large month is written
+    by several tasks and no task writes a sliver of every month)."""
+    salt = F.pmod(F.xxhash64(key), F.lit(files_per_month))
+    df.repartition(MONTH, salt).write.mode("overwrite").partitionBy(MONTH).parquet(path)
 
 
 def read_reduced(spark, path: str, months: list[str] | None = None) -> DataFrame:
