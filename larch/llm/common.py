@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import os
+from pathlib import Path
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -11,7 +14,17 @@ from larch.session import unique_path
 ASCII_SPACE = r"[\x20\x09-\x0D]"
 
 
+def show_package(spark: SparkSession) -> None:
+    """Lets Python workers of this machine import the package where the driver
+    found it; on a cluster it comes with the job (``--py-files``)."""
+    root, env = str(Path(__file__).resolve().parents[2]), spark.sparkContext.environment
+    paths = [p for p in env.get("PYTHONPATH", "").split(os.pathsep) if p]
+    if root not in paths:
+        env["PYTHONPATH"] = os.pathsep.join([*paths, root])
+
+
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    show_package(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
