@@ -16,7 +16,7 @@ import re
 
 import numpy as np
 
-CACHE_PARTS = 600_000
+CACHE_PARTS = 1_000_000
 #: Longer parts are encoded each time.
 CACHED_CHARS = 48
 #: First code point after the Latin letter blocks.
