@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+from collections.abc import Callable
 from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -28,6 +29,17 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+_HELD: dict[str, Callable[[], None]] = {}
+
+
+def claim_memory(name: str, clear: Callable[[], None]) -> None:
+    """Python workers live through many tasks: before an operator fills its
+    dictionary, those that other operators have left in this worker go."""
+    for other in [k for k in _HELD if k != name]:
+        _HELD.pop(other)()
+    _HELD[name] = clear
+
+
 def materialize(df: DataFrame, name: str) -> DataFrame:
     """``df`` written as Parquet to the shared folder and read back.
 

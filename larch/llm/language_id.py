@@ -35,7 +35,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from larch.llm.common import read_table, whole_row
+from larch.llm.common import claim_memory, read_table, whole_row
 
 VOCABULARY = "piece_bpe_32k.model"
 TRAIN_DOCS = 500
@@ -188,6 +188,8 @@ class UnigramLanguages:
 
     def _rows(self, words: list[list[str]]) -> tuple[dict[str, int], np.ndarray]:
         """Rows of log probabilities that cover these words."""
+        if self.name not in _SCORED:
+            claim_memory("languages", _SCORED.clear)
         index, rows = _SCORED.get(self.name) or ({}, np.zeros((0, len(self.languages))))
         need = list({w for doc in words for w in doc if w not in index})
         if need:

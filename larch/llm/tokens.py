@@ -16,6 +16,8 @@ import re
 
 import numpy as np
 
+from larch.llm.common import claim_memory
+
 CACHE_PARTS = 1_000_000
 #: Longer parts are encoded each time.
 CACHED_CHARS = 48
@@ -87,7 +89,10 @@ def encode_bytes(text: str | None, path: str) -> bytes:
     """The ids of ``text`` (null: empty), 4 bytes each."""
     if not text:
         return b""
-    parts_of = _ENCODERS.get(path) or _ENCODERS.setdefault(path, _Parts(path))
+    parts_of = _ENCODERS.get(path)
+    if parts_of is None:
+        claim_memory("tokens", _ENCODERS.clear)
+        parts_of = _ENCODERS[path] = _Parts(path)
     spaced = any(p in text for p in _SPACE_PAIRS) or (not text.isascii() and _WIDE_SPACE.search(text))
     first, *rest = _SPACED.split(text) if spaced else text.split(" ")
     head = parts_of.whole(first) if first else b""
