@@ -214,15 +214,13 @@ def near_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     labels = _roots(materialize(_verified(tried, texts), "near_links"))
     while True:
         labelled = members.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
-        mixed = labelled.groupBy("bucket").agg(
-            F.min("label").alias("lo"), F.max("label").alias("hi"),
-            F.min_by("label", "node").alias("center_label")).where("lo != hi").select("bucket", "center_label")
-        w = Window.partitionBy("bucket").orderBy("next", "label", "node")
-        inside = labelled.join(mixed, "bucket").withColumn("other", F.lag("node").over(w)).withColumn("other_label", F.lag("label").over(w))
-        met = F.array(F.struct(F.col("center").alias("other"), F.col("center_label").alias("label")),
-                      F.struct(F.col("other"), F.col("other_label").alias("label")))
-        apart = inside.select("node", "label", F.explode(met).alias("met")).where("label != met.label")
-        new = apart.select(F.greatest("node", "met.other").alias("a"), F.least("node", "met.other").alias("b")).distinct()
+        chain = Window.partitionBy("bucket").orderBy("next", "label", "node")
+        star = Window.partitionBy("bucket").orderBy("node")
+        met = labelled.withColumns({
+            "other": F.lag("node").over(chain), "other_label": F.lag("label").over(chain), "center_label": F.first("label").over(star)})
+        apart = met.where("label != center_label").select("node", F.col("center").alias("other")).union(
+            met.where("label != other_label").select("node", "other"))
+        new = apart.select(F.greatest("node", "other").alias("a"), F.least("node", "other").alias("b")).distinct()
         new = materialize(new.join(tried, ["a", "b"], "left_anti"), "pairs")
         found = materialize(_verified(new, texts), "near_links")
         if found.isEmpty():
