@@ -13,17 +13,19 @@ the probability. A process stops as soon as its time passes the document's
 latest component, and a count of n needs log2(n) + 1 processes, not n.
 
 Classes. Documents with equal multisets are one node. Nodes that agree in all
-components of a band share a bucket, whose center is its smallest node. Each
-node is compared first with the smallest of its centers; pairs are compared by
-their whole texts, exactly, and those that hold make classes (connected
-components). Then, in buckets that still hold several classes, each node is
-compared with a center of another class and with its neighbour of another class
-on a chain in which agreement in the next band stands together, until a round
-adds no link. Pairs grow with the nodes of buckets, never with their square.
+components of a band share a bucket, whose center is the node that meets most
+others in its buckets. Pairs are compared by their whole texts, exactly, and those
+that hold make classes (connected components). Each node is compared first with
+the first of its centers and then with each center of another class. In buckets
+that still hold several classes, every pair of different classes is compared in
+the end: the nodes outside the bucket's largest class with each other and with
+that class, in blocks of bounded size that are dealt out, each block pair as a
+product of 0/1 matrices. So every pair that shares a bucket is in one class or has
+been compared. Rows grow with the nodes of buckets; where a bucket keeps many
+classes, with its nodes times its blocks.
 
 A pair of similarity 0.8 shares a bucket with probability 1 - (1 - 0.8^6)^32 =
-0.99994, in 8 buckets on average. Its link may still be missed if neither star nor
-chain puts the two together in any of them and no third document connects them.
+0.99994; only this can miss a link.
 
 Sizes: only hashes travel for all documents. Texts travel for nodes of linked
 pairs alone, picked out by a 512 KiB bitmap of their digests (a bit shared by
@@ -43,7 +45,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from larch.llm.common import flag_keys, key_bitmap, materialize, read_table, text_or_empty, whole_row
@@ -54,6 +56,10 @@ COMPONENTS = BANDS * BAND_ROWS
 #: Similarity at least NUMERATOR / DENOMINATOR.
 NUMERATOR, DENOMINATOR = 4, 5
 BATCH_SHINGLES = 400_000
+#: A block of nodes that are compared each with each of another block.
+BLOCK_NODES, BLOCK_SHINGLES = 512, 1_000_000
+#: Shingles of a block pair that are multiplied at a time.
+BLOCK_COLUMNS = 2048
 _GOLDEN = 0x9E3779B97F4A7C15  # the SplitMix64 increment
 _STEP = np.uint64(_GOLDEN)
 _UNIT = 2.0 ** -53
@@ -112,7 +118,7 @@ def node_of(bag: tuple[np.ndarray, np.ndarray]) -> bytes:
 
 
 def _signed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """doc_id, text_key, node and the bands of every document."""
+    """doc_id, text_key, node, shingles and the bands of every document."""
     kind = dict(docs.dtypes)[id_col]
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -126,11 +132,11 @@ def _signed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
                     at += 1
                 hashes = band_hashes(bag_min_hash(bags))
                 part = b.iloc[first:at][["doc_id", "text_key"]].reset_index(drop=True)
-                yield part.assign(node=[node_of(x) for x in bags],
+                yield part.assign(node=[node_of(x) for x in bags], size=[int(x[1].sum()) for x in bags],
                                   bands=[list(h) if len(x[0]) else [] for h, x in zip(hashes, bags, strict=True)])
 
     return docs.select(F.col(f"`{id_col}`").alias("doc_id"), text_or_empty(text_col).alias("text")).withColumn(
-        "text_key", F.md5("text")).mapInPandas(run, f"doc_id {kind}, text_key string, node binary, bands array<long>")
+        "text_key", F.md5("text")).mapInPandas(run, f"doc_id {kind}, text_key string, node binary, size long, bands array<long>")
 
 
 def _texts_of(docs: DataFrame, keys: DataFrame, text_col: str) -> DataFrame:
@@ -175,8 +181,8 @@ def connected(links: DataFrame) -> DataFrame:
 
 
 def _roots(parents: DataFrame) -> DataFrame:
-    """(node, label) from links (a, b) with one smaller b per a: the end of
-    each node's chain, by doubling the steps."""
+    """(node, label) from links (a, b) with one b per a, before it in some order:
+    the end of each node's chain, by doubling the steps."""
     labels = materialize(parents.select(F.col("a").alias("node"), F.col("b").alias("label")), "labels")
     while True:
         jump = labels.select(F.col("node").alias("label"), F.col("label").alias("far"))
@@ -196,36 +202,140 @@ def _joined(labels: DataFrame, links: DataFrame) -> DataFrame:
     return materialize(known.join(joined, "label", "left").select("node", F.coalesce("now", "label").alias("label")), "labels")
 
 
+def elements(bag: tuple[np.ndarray, np.ndarray]) -> np.ndarray:
+    """A multiset as a set: a hash per shingle and repeat."""
+    h, c = bag
+    if not len(c) or c.max() == 1:
+        return h
+    turn = np.arange(c.sum()) - np.repeat(np.cumsum(c) - c, c)
+    out = np.repeat(h, c)
+    again = turn > 0
+    out[again] = mix(out[again] + turn[again].astype(np.uint64) * _STEP)
+    return out
+
+
+def similar(left: list[np.ndarray], right: list[np.ndarray]) -> np.ndarray:
+    """Which sets of ``left`` are near duplicates of which of ``right``."""
+    sets, n = [*left, *right], len(left)
+    size = np.array([len(x) for x in sets])
+    _, column, holders = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+    owner, shared = np.repeat(np.arange(len(sets)), size), holders > 1
+    keep = shared[column]
+    owner, column = owner[keep], (np.cumsum(shared) - 1)[column[keep]]
+    order = np.argsort(column, kind="stable")
+    owner, column = owner[order], column[order]
+    both = np.zeros((n, len(right)))
+    for first in range(0, int(shared.sum()), BLOCK_COLUMNS):
+        i, j = np.searchsorted(column, [first, first + BLOCK_COLUMNS])
+        x = np.zeros((len(sets), BLOCK_COLUMNS), dtype=np.float32)
+        x[owner[i:j], column[i:j] - first] = 1
+        both += x[:n] @ x[n:].T
+    return DENOMINATOR * both >= NUMERATOR * (size[:n, None] + size[None, n:] - both)
+
+
+def block_links(rows: list[tuple], i: int, j: int) -> list[tuple[bytes, bytes]]:
+    """Links that join the classes of similar pairs of block i and block j.
+    rows: (block, node, label, elements)."""
+    left, right = [r for r in rows if r[0] == i], [r for r in rows if r[0] == j]
+    if not left or not right:
+        return []
+    root = {label: label for _, _, label, _ in rows}
+
+    def find(x: bytes) -> bytes:
+        while root[x] != x:
+            root[x] = x = root[root[x]]
+        return x
+
+    code = {label: k for k, label in enumerate(root)}
+    of = [np.array([code[r[2]] for r in side]) for side in (left, right)]
+    held = similar([r[3] for r in left], [r[3] for r in right]) & (of[0][:, None] != of[1][None, :])
+    out = []
+    for k, m in zip(*np.nonzero(held), strict=True):
+        (_, a, la, _), (_, b, lb, _) = left[k], right[m]
+        if (ra := find(la)) != (rb := find(lb)):
+            root[ra] = rb
+            out.append((max(a, b), min(a, b)))
+    return out
+
+
+def _compared(members: DataFrame, labels: DataFrame, texts: DataFrame) -> DataFrame:
+    """Links (a, b) that join all classes with a similar pair in some bucket.
+    Buckets of two have been compared by their center."""
+    labelled = members.where("n > 2").select("bucket", "node", "size").join(labels, "node", "left").withColumn(
+        "label", F.coalesce("label", "node"))
+    labelled = materialize(labelled, "labelled")
+    per = labelled.groupBy("bucket", "label").agg(
+        F.count("*").alias("n"), F.sum("size").alias("size"),
+        F.bit_xor(F.xxhash64("node")).alias("x"), F.bit_xor(F.xxhash64(F.lit(1), "node")).alias("y"))
+    several = per.groupBy("bucket").agg(
+        F.count("*").alias("classes"), F.sum("n").alias("n"), F.sum("size").alias("size"),
+        F.max(F.struct("n", "label", "size")).alias("main"), F.bit_xor("x").alias("x"), F.bit_xor("y").alias("y"),
+    ).where("classes > 1").dropDuplicates(["n", "x", "y"])  # buckets of the same nodes once
+
+    def blocks(n: Column, size: Column) -> Column:
+        return F.ceil(F.greatest(n / BLOCK_NODES, size / BLOCK_SHINGLES)).cast("int")
+
+    whole = blocks(F.col("n"), F.col("size")) <= 1
+    rest = blocks(F.col("n") - F.col("main.n"), F.col("size") - F.col("main.size"))
+    several = several.select(
+        "bucket", F.when(~whole, F.col("main.label")).alias("main"), F.when(whole, 1).otherwise(rest).alias("rest_blocks"),
+        F.when(whole, 0).otherwise(blocks(F.col("main.n"), F.col("main.size"))).alias("main_blocks"))
+    # blocks of the largest class come behind the others and aren't compared with one another
+    in_main = F.coalesce(F.col("label") == F.col("main"), F.lit(False))
+    at = F.when(in_main, F.col("rest_blocks") + F.pmod(F.xxhash64("node"), "main_blocks")).otherwise(
+        F.pmod(F.xxhash64("node"), "rest_blocks")).cast("int")
+    others = F.sequence(F.lit(0), F.col("rest_blocks") - 1 + F.when(in_main, 0).otherwise(F.col("main_blocks")))
+    dealt = labelled.join(several, "bucket").select("bucket", "node", "label", at.alias("at"), F.explode(others).alias("with"))
+    dealt = dealt.select("bucket", F.least("at", "with").alias("i"), F.greatest("at", "with").alias("j"), "at", "node", "label")
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        key, rows, found = None, [], []
+        for p in batches:
+            for bucket, i, j, at, node, label, text in p.itertuples(index=False, name=None):
+                if (bucket, i, j) != key:
+                    if rows:
+                        found += block_links(rows, *key[1:])
+                    key, rows = (bucket, i, j), []
+                rows.append((at, bytes(node), bytes(label), elements(shingles(text))))
+            yield pd.DataFrame(found, columns=["a", "b"])
+            found = []
+        if rows:
+            yield pd.DataFrame(block_links(rows, *key[1:]), columns=["a", "b"])
+
+    group = ["bucket", "i", "j"]
+    return dealt.join(texts, "node").select(*group, "at", "node", "label", "text").repartition(*group).sortWithinPartitions(
+        *group).mapInPandas(run, "a binary, b binary").distinct()
+
+
 def near_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> tuple[DataFrame, DataFrame]:
     """(doc_id, text_key, node, copies) of the documents and (node, label) of
     the nodes that have a near duplicate of another node."""
     signed = materialize(_signed(docs, id_col, text_col), "signatures")
-    nodes = signed.groupBy("node").agg(F.min(F.struct("text_key", "bands")).alias("x")).select("node", "x.text_key", "x.bands")
-    buckets = nodes.select("node", F.col("bands")[0].alias("wrap"), "bands", F.posexplode("bands").alias("k", "bucket"))
-    buckets = buckets.select("bucket", "node", F.coalesce(F.get("bands", F.col("k") + 1), "wrap").alias("next"))
-    shared = buckets.groupBy("bucket").agg(F.min("node").alias("center"), F.count("*").alias("n")).where("n > 1")
-    members = materialize(buckets.join(shared.select("bucket", "center"), "bucket"), "buckets")
-
-    # first every node meets the smallest of its centers only: one pair per node
-    tried = materialize(
-        members.groupBy("node").agg(F.min("center").alias("b")).where("node != b").select(F.col("node").alias("a"), "b"), "pairs")
+    nodes = signed.groupBy("node").agg(F.min(F.struct("text_key", "size", "bands")).alias("x")).select(
+        "node", "x.text_key", "x.size", "x.bands")
+    buckets = nodes.select("node", "size", F.explode("bands").alias("bucket"))
+    shared = buckets.groupBy("bucket").agg(F.count("*").alias("n")).where("n > 1")
+    members = materialize(buckets.join(shared, "bucket"), "members")
+    meets = members.groupBy("node").agg(F.sum("n").alias("meets"))
+    members = members.join(meets, "node")
+    centers = members.groupBy("bucket").agg(F.max(F.struct("meets", "node")).alias("center"))
+    members = materialize(members.drop("meets").join(centers, "bucket"), "buckets")
+
+    # first every node meets the first of its centers only: one pair per node
+    tried = materialize(members.groupBy("node").agg(F.max("center").alias("center")).where("node != center.node").select(
+        F.col("node").alias("a"), F.col("center.node").alias("b")), "pairs")
     keys = nodes.select("node", "text_key").join(members.select("node").distinct(), "node")
     texts = materialize(_texts_of(docs, keys, text_col), "bucket_texts")
     labels = _roots(materialize(_verified(tried, texts), "near_links"))
-    while True:
-        labelled = members.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
-        chain = Window.partitionBy("bucket").orderBy("next", "label", "node")
-        star = Window.partitionBy("bucket").orderBy("node")
-        met = labelled.withColumns({
-            "other": F.lag("node").over(chain), "other_label": F.lag("label").over(chain), "center_label": F.first("label").over(star)})
-        apart = met.where("label != center_label").select("node", F.col("center").alias("other")).union(
-            met.where("label != other_label").select("node", "other"))
-        new = apart.select(F.greatest("node", "other").alias("a"), F.least("node", "other").alias("b")).distinct()
-        new = materialize(new.join(tried, ["a", "b"], "left_anti"), "pairs")
-        found = materialize(_verified(new, texts), "near_links")
-        if found.isEmpty():
-            break
-        tried, labels = tried.unionByName(new), _joined(labels, found)
+    # then each center of another class
+    pairs = members.select(F.col("node").alias("a"), F.col("center.node").alias("b")).where("a != b").distinct()
+    of = (labels.select(F.col("node").alias(x), F.col("label").alias(f"l{x}")) for x in "ab")
+    for table, x in zip(of, "ab", strict=True):
+        pairs = pairs.join(table, x, "left").withColumn(f"l{x}", F.coalesce(f"l{x}", x))
+    new = materialize(pairs.where("la != lb").select("a", "b").join(tried, ["a", "b"], "left_anti"), "pairs")
+    labels = _joined(labels, materialize(_verified(new, texts), "near_links"))
+    # and all that is left in buckets of several classes
+    labels = _joined(labels, materialize(_compared(members, labels, texts), "near_links"))
     rows = signed.groupBy("doc_id", "text_key", "node").agg(F.count("*").alias("copies"))
     return rows, labels
 
