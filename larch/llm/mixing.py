@@ -16,11 +16,10 @@ Topic: the one of ``TOPICS`` vocabularies that the document uses most above its
 language's rate. Vocabularies split all words by a hash, so no list is needed; a
 document without words has topic 0. Tokens are words between ASCII white space.
 
-Sizes: the driver gets one row per cell. Sources beyond the ``MAX_SOURCES``
-with the most tokens are raked as one source, so there are at most
-(MAX_SOURCES + 1) * (languages) * TOPICS cells, whatever the input; languages
-are those of the label column, pooled the same way beyond ``MAX_LANGUAGES``.
-Cells are joined back as a table of that bounded size.
+Sizes: every source and language is raked by itself. Up to ``DRIVER_CELLS`` cells
+are raked on the driver and joined back as a broadcast; with more, cells and
+factors stay tables and each step of a round is one aggregate over the cells, with
+the same targets, bounds and end, so that the probabilities are the same.
 
 Defined cases: null source or language is a category of its own; null or empty
 text has no tokens, does not count towards a target and is sampled with its
@@ -41,17 +40,18 @@ from pyspark.sql import functions as F
 from larch.llm.common import materialize, read_table, whole_row
 
 TOPICS = 8
-MAX_SOURCES = 1000
-MAX_LANGUAGES = 200
+#: Cells that the driver rakes; more are raked as tables.
+DRIVER_CELLS = 200_000
 BUDGET = 0.6
 TEMPERATURE = 0.7
 #: Weights are trimmed here, so that no cell dies out.
 MIN_PROBABILITY = 0.05
+#: Factors of targets that can't be reached stop here, so that their products are finite.
+MAX_FACTOR = 1e100
 ROUNDS = 500
 TOLERANCE = 1e-9
 SEED = 17
 DIMENSIONS = ("source", "lang", "topic")
-OTHER = "\x00other"
 NULL = "\x00null"
 
 
@@ -89,32 +89,19 @@ def _with_tokens(counted: DataFrame) -> DataFrame:
     return counted.withColumn("tokens", F.aggregate("by_topic", F.lit(0).cast("long"), lambda a, x: a + x))
 
 
-def topic_rates(pooled: DataFrame) -> DataFrame:
-    """(lang, rates): each topic's share of a (pooled) language's words."""
+def topic_rates(rows: DataFrame) -> DataFrame:
+    """(lang, rates): each topic's share of a language's words."""
     sums = F.array(*(F.sum(F.col("by_topic")[k]) for k in range(TOPICS)))
-    table = pooled.groupBy("lang").agg(sums.alias("sums"), F.sum("tokens").alias("of"))
-    return F.broadcast(table.select("lang", F.transform("sums", lambda n: n / F.greatest(F.col("of"), F.lit(1))).alias("rates")))
+    table = rows.groupBy("lang").agg(sums.alias("sums"), F.sum("tokens").alias("of"))
+    return table.select("lang", F.transform("sums", lambda n: n / F.greatest(F.col("of"), F.lit(1))).alias("rates"))
 
 
-def _with_topic(pooled: DataFrame, rates: DataFrame) -> DataFrame:
+def _with_topic(rows: DataFrame, rates: DataFrame) -> DataFrame:
     above = F.zip_with("by_topic", "rates", lambda n, r: n / F.greatest(F.col("tokens"), F.lit(1)) - r)
-    return pooled.join(rates, "lang").withColumn("above", above).withColumn(
+    return rows.join(rates, "lang").withColumn("above", above).withColumn(
         "topic", (F.array_position("above", F.array_max("above")) - 1).cast("int").cast("string"))
 
 
-def _largest(rows: DataFrame, name: str, limit: int) -> DataFrame:
-    """(name, pooled) for the ``limit`` categories with the most tokens."""
-    totals = rows.groupBy(name).agg(F.sum("tokens").alias("n"))
-    top = totals.orderBy(F.desc("n"), name).limit(limit)  # the bound of the table of cells
-    return F.broadcast(top.select(name, F.col(name).alias("pooled")))
-
-
-def _pooled(rows: DataFrame, largest: dict[str, DataFrame]) -> DataFrame:
-    for name, table in largest.items():
-        rows = rows.join(table, name, "left").withColumn(name, F.coalesce("pooled", F.lit(OTHER))).drop("pooled")
-    return rows
-
-
 def rake(cells: np.ndarray, codes: list[np.ndarray], targets: list[np.ndarray], rounds: int = ROUNDS) -> np.ndarray:
     """Probabilities in [MIN_PROBABILITY, 1] with sum(cells * p) per category as
     near to its target as that allows. codes[d][i]: the category of cell i in
@@ -135,7 +122,7 @@ def rake(cells: np.ndarray, codes: list[np.ndarray], targets: list[np.ndarray],
             now = p()
             up, down = (np.bincount(c, cells * x, len(t)) > 0 for x in (now < 1, now > MIN_PROBABILITY))
             step = np.where((step > 1) & ~up | (step < 1) & ~down, 1.0, step)  # at its bounds: no more to gain
-            f *= step
+            np.minimum(f * step, MAX_FACTOR, out=f)
             worst = max(worst, np.abs(step - 1).max(initial=0.0))
         if worst < TOLERANCE:
             break
@@ -161,24 +148,64 @@ def cell_probabilities(cells: pd.DataFrame, budget: float = BUDGET, temperature:
     return cells[list(DIMENSIONS)].assign(p=rake(tokens, codes, targets) if len(cells) else np.zeros(0))
 
 
+def table_probabilities(cells: DataFrame, budget: float = BUDGET, temperature: float = TEMPERATURE,
+                        shares: dict[str, dict[str, float]] | None = None, rounds: int = ROUNDS) -> DataFrame:
+    """cell_probabilities for a table of any number of cells and categories."""
+    total = float(cells.agg(F.sum("tokens")).first()[0] or 0)
+    factors: dict[str, DataFrame] = {}
+    for d in DIMENSIONS:
+        totals = cells.groupBy(d).agg(F.sum("tokens").alias("n"))
+        if given := (shares or {}).get(d):
+            table = cells.sparkSession.createDataFrame([(k, float(v)) for k, v in given.items()], f"{d} string, share double")
+            aimed = totals.join(table, d, "left").withColumn("target", F.coalesce("share", F.lit(0.0)) * (budget * total))
+        else:
+            totals = totals.withColumn("weight", F.when(F.col("n") > 0, F.pow("n", F.lit(temperature))).otherwise(0.0))
+            of = max(totals.agg(F.sum("weight")).first()[0] or 0.0, 1e-300)
+            aimed = totals.withColumn("target", F.col("weight") * (budget * total / of))
+        factors[d] = materialize(aimed.select(d, "target", F.lit(1.0).alias("factor"), F.lit(1.0).alias("step")), f"{d}_factors")
+
+    def weighted() -> DataFrame:
+        rows, p = cells, F.lit(1.0)
+        for d in DIMENSIONS:
+            rows = rows.join(factors[d].select(d, F.col("factor").alias(f"{d}_factor")), d)
+            p = p * F.col(f"{d}_factor")
+        return rows.withColumn("p", F.least(F.greatest(p, F.lit(MIN_PROBABILITY)), F.lit(1.0)))
+
+    for _ in range(rounds):
+        for d in DIMENSIONS:
+            have = weighted().groupBy(d).agg(
+                F.sum(F.col("tokens") * F.col("p")).alias("have"),
+                F.sum(F.when(F.col("p") < 1, F.col("tokens")).otherwise(0)).alias("up"),
+                F.sum(F.when(F.col("p") > MIN_PROBABILITY, F.col("tokens")).otherwise(0)).alias("down"))
+            step = F.when(F.col("have") > 0, F.col("target") / F.greatest("have", F.lit(1e-300))).otherwise(1.0)
+            stuck = (step > 1) & (F.col("up") <= 0) | (step < 1) & (F.col("down") <= 0)
+            moved = factors[d].drop("step").join(have, d).withColumn("step", F.when(stuck, 1.0).otherwise(step))
+            factors[d] = materialize(moved.select(
+                d, "target", F.least(F.col("factor") * F.col("step"), F.lit(MAX_FACTOR)).alias("factor"), "step"), f"{d}_factors")
+        if max(t.agg(F.max(F.abs(F.col("step") - 1))).first()[0] or 0.0 for t in factors.values()) < TOLERANCE:
+            break
+    return materialize(weighted().select(*DIMENSIONS, "p"), "cell_probabilities")
+
+
 class Mix:
-    """What raking has found: topic rates, pooled categories, cell probabilities."""
+    """What raking has found: topic rates and cell probabilities."""
 
     def __init__(self, docs: DataFrame, budget: float, temperature: float, shares: dict[str, dict[str, float]] | None) -> None:
         counted = materialize(document_counts(docs), "topic_counts")
         rows = _with_tokens(counted)
-        self.largest = {"source": _largest(rows, "source", MAX_SOURCES), "lang": _largest(rows, "lang", MAX_LANGUAGES)}
-        pooled = _pooled(rows, self.largest)
-        # a small table that every task gets: written, so that it is computed once
-        self.rates = F.broadcast(materialize(topic_rates(pooled), "topic_rates"))
-        self.rows = _with_topic(pooled, self.rates)
-        cells = self.rows.groupBy(*DIMENSIONS).agg(F.sum("tokens").alias("tokens")).toPandas()
-        p = cell_probabilities(cells, budget, temperature, shares)
-        self.cells = F.broadcast(docs.sparkSession.createDataFrame(
-            list(p.itertuples(index=False, name=None)), "source string, lang string, topic string, p double"))
+        # written, so that it is computed once
+        self.rates = materialize(topic_rates(rows), "topic_rates")
+        self.rows = _with_topic(rows, self.rates)
+        cells = materialize(self.rows.groupBy(*DIMENSIONS).agg(F.sum("tokens").alias("tokens")), "cells")
+        if cells.count() > DRIVER_CELLS:
+            self.cells = table_probabilities(cells, budget, temperature, shares)
+        else:
+            p = cell_probabilities(cells.toPandas(), budget, temperature, shares)
+            self.cells = F.broadcast(docs.sparkSession.createDataFrame(
+                list(p.itertuples(index=False, name=None)), "source string, lang string, topic string, p double"))
 
     def topics_of(self, counted: DataFrame) -> DataFrame:
-        return _with_topic(_pooled(_with_tokens(counted), self.largest), self.rates)
+        return _with_topic(_with_tokens(counted), self.rates)
 
     def decide(self, rows: DataFrame) -> DataFrame:
         return rows.join(self.cells, list(DIMENSIONS)).withColumn("sampled", F.col("draw") < F.col("p"))
@@ -190,8 +217,7 @@ def _shown(name: str) -> Column:
 
 def mix_documents(docs: DataFrame, budget: float = BUDGET, temperature: float = TEMPERATURE,
                   shares: dict[str, dict[str, float]] | None = None) -> DataFrame:
-    """doc_id, source, lang, topic, tokens, probability, sampled of every document.
-    source and lang read OTHER where they were pooled."""
+    """doc_id, source, lang, topic, tokens, probability, sampled of every document."""
     mix = Mix(docs, budget, temperature, shares)
     return mix.decide(mix.rows).select(
         "doc_id", _shown("source"), _shown("lang"), F.col("topic").cast("int").alias("topic"), "tokens",
