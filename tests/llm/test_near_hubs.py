@@ -5,6 +5,7 @@ import random
 import numpy as np
 import pytest
 
+import corpus_pipeline
 from larch.llm import near_dedup
 from larch.llm.shingles import multiset_overlap, shingles
 
@@ -65,6 +66,13 @@ def test_families_equal_all_pairs(spark, monkeypatch, nodes):
     assert {r["doc_id"]: r["class_id"] for r in rows} == dict(enumerate(_classes(texts)))
 
 
+def test_pipeline_keeps_one_of_each_class(spark):
+    texts = [*_hub(300), *_chain(40)]
+    stage = dict(corpus_pipeline.STAGES)["near_dedup"]
+    kept = [r["doc_id"] for r in stage(spark, _frame(spark, texts), "").collect()]
+    assert sorted(kept) == sorted(set(_classes(texts)))
+
+
 def test_similar_equals_the_overlap_of_multisets():
     rng = np.random.default_rng(5)
     bags = []
