@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from larch.llm import arrow_tokens, exact_dedup, html_extract, language_id, mixing, near_dedup, packing, preferences, quality_rules, substring_dedup
+from larch.llm import arrow_tokens, exact_dedup, html_extract, language_id, mixing, near_dedup, packing, preferences, quality_rules, spelling, substring_dedup
 
 QUERIES = {
     "op2_substring_dedup": substring_dedup.op2_substring_dedup,
@@ -15,6 +15,7 @@ QUERIES = {
     "op7_preference_formatting": preferences.op7_preference_formatting,
     "op9_exact_dedup": exact_dedup.op9_exact_dedup,
     "op10_language_id": language_id.op10_language_id,
+    "op11_spelling_variants": spelling.op11_spelling_variants,
 }
 
 ORACLE = {
