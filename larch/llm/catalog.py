@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from larch.llm import arrow_tokens, exact_dedup, html_extract, language_id, mixing, near_dedup, packing, preferences, quality_rules, spelling, substring_dedup
+from larch.llm import alignment, arrow_tokens, exact_dedup, html_extract, language_id, language_scoring, mixing, near_dedup, packing, preferences, quality_rules, spelling, substring_dedup
 
 QUERIES = {
     "op2_substring_dedup": substring_dedup.op2_substring_dedup,
@@ -16,6 +16,8 @@ QUERIES = {
     "op9_exact_dedup": exact_dedup.op9_exact_dedup,
     "op10_language_id": language_id.op10_language_id,
     "op11_spelling_variants": spelling.op11_spelling_variants,
+    "op12_token_alignment": alignment.op12_token_alignment,
+    "op13_lm_scoring": language_scoring.op13_lm_scoring,
 }
 
 ORACLE = {
