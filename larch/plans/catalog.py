@@ -71,6 +71,7 @@ QUERIES = {
     "elastic_net_path": q.elastic_net_path,
     "lasso_path_alphas": q.lasso_path_alphas,
     "lasso_path_summary": q.lasso_path_summary,
+    "path_optimality": q.path_optimality,
     # unsupervised and scoring
     "kmeans_clusters": q.kmeans_clusters,
     "kmeans_assign_label_centers": q.kmeans_assign_label_centers,

@@ -11,8 +11,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
-from larch.operators import evaluate, models, paths, search, split, targets
-from larch.operators.ridge import GramRidge, LinearPredictorModel, candidate_predictions
+from larch.operators import evaluate, models, penalized, search, split, targets
+from larch.operators import linear as lin
 from larch.operators.search import choice, lognormal, quniform, uniform
 from larch.plans import training as tr
 from larch.sources import runs as runlog
@@ -74,7 +74,7 @@ def linear_search(spark: SparkSession, sf: str, kind: str, drop_first: bool = Fa
     space = {"ridge": RIDGE_SPACE, "lasso": LASSO_SPACE, "elastic_net": ELASTIC_NET_SPACE}[kind]
     n = EVALS[kind] if experiment is None else EVALS["comparison"]
     cands = search.sample(space, n, SEED)
-    results = gram_candidates(td, kind, cands)
+    results = linear_candidates(td, kind, cands)
     experiment = experiment or f"{kind}_search"
     _log(td, sf, experiment, kind, results, run_group)
     out = _results_frame(spark, experiment, kind, results, "rmse_test", False)
@@ -83,49 +83,24 @@ def linear_search(spark: SparkSession, sf: str, kind: str, drop_first: bool = Fa
     return out
 
 
-def ridge_estimator(td: tr.TaskData) -> GramRidge:
+def linear_candidates(td: tr.TaskData, kind: str, cands: list[dict]) -> list[dict]:
+    """Every candidate of a linear search together: one aggregate of the train side,
+    a few rounds for all penalties (one for ridge), and one aggregate that scores all
+    candidates on both sides. The weights are written once, as one table."""
     num, cat = targets.feature_lists("regression")
-    return GramRidge(numericCols=num, categoricalCols=cat, labelCol=td.label,
-                     dropFirst=bool(td.options.get("drop_first")))
-
-
-def encoder_labels(td: tr.TaskData) -> list[list[str]]:
-    """Category slots of every categorical column, in the fitted one-hot
-    encoder's order (before any first-slot drop)."""
-    for st in td.feature_model.stages:
-        for s in (st.stages if hasattr(st, "stages") else [st]):
-            if getattr(s, "labelsArray", None) is not None:
-                return [list(x) for x in s.labelsArray]
-    raise ValueError("no fitted category encoder in the feature pipeline")
-
-
-def gram_candidates(td: tr.TaskData, kind: str, cands: list[dict]) -> list[dict]:
-    """Every candidate of a linear search in two data passes: one Gram
-    aggregate of the train side, a d x d solve per candidate on the driver
-    (closed form for ridge, coordinate descent on the centered Gram for
-    L1 penalties, same objectives as the MLlib mapping), and one aggregate
-    that scores all candidates on both sides."""
-    num, cat = targets.feature_lists("regression")
-    # categories from the fitted encoder: no extra pass to size the design
-    g = paths.design_gram(td.train, num, cat, encoder_labels(td), td.label,
-                          drop_first=bool(td.options.get("drop_first")))
-    fits = []
-    for p in cands:
-        if kind == "ridge":
-            fits.append(paths.ridge_coefficients(g, p["alpha"]))
-        else:
-            r = 1.0 if kind == "lasso" else float(p.get("l1_ratio", 0.5))
-            fits.append(paths.enet_coefficients(g, p["alpha"], r))
-    cols = [f"pred_{j}" for j in range(len(fits))]
-    scored = candidate_predictions(td.frame, num, cat, g.categories, fits)
-    metrics = evaluate.regression_reports(scored, td.label, cols)
-
-    def saved(fit):
-        model = LinearPredictorModel.from_weights(num, cat, g.categories, fit[0], fit[1])
-        return tr.save_pipeline(td, model, kind)
-
-    artifacts = [r["metrics"] for r in search.run(saved, fits)]
-    return [{"params": p, "metrics": m, "artifact": a} for p, m, a in zip(cands, metrics, artifacts)]
+    d = penalized.design(td.train, num, cat, td.label, drop_first=bool(td.options.get("drop_first")))
+    if kind == "ridge":
+        penalties = [penalized.ridge_penalty(p["alpha"]) for p in cands]
+    else:
+        penalties = [penalized.enet_penalty(p["alpha"], 1.0 if kind == "lasso" else float(p["l1_ratio"]), d.n) for p in cands]
+    fits = penalized.fit(d, penalties)
+    path = lin.saved_table(fits, td.frame.sparkSession)
+    if fits.wide is not None:
+        fits.wide = td.frame.sparkSession.read.schema("value string, coefficients array<double>").parquet(path)
+    metrics = evaluate.regression_reports(lin.predictions(td.frame, fits), td.label, [f"pred_{j}" for j in range(len(cands))])
+    d.release()
+    saved = search.run(lambda j: {"path": tr.save_pipeline(td, lin.LinearPredictorModel.of(fits, j, path), kind)}, list(range(len(cands))))
+    return [{"params": p, "metrics": m, "artifact": a["metrics"]["path"]} for p, m, a in zip(cands, metrics, saved)]
 
 
 def regression_comparison(spark: SparkSession, sf: str) -> tuple[DataFrame, str]:

@@ -356,6 +356,8 @@ FROM am, range(30) r(k)""")
 
 SQL["lasso_path_alphas"] = _alphas_sql(1.0)
 SQL["elastic_net_path_alphas"] = _alphas_sql(0.5)
+SQL["path_optimality"] = """SELECT path, CAST(k AS BIGINT) AS alpha_idx, true AS optimal
+FROM (VALUES ('ridge', 10), ('lasso', 30), ('elastic_net', 30)) p(path, n), range(30) r(k) WHERE k < n"""
 
 # The ridge search's seeded draws (lognormal(0, 1), seed 123).
 RIDGE_ALPHAS = [0.37190332022766404, 0.692264859626372, 3.6252572861920394, 1.2140652257174613, 2.5098698510797406]

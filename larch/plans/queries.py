@@ -295,7 +295,7 @@ def elastic_net_one_feature(spark, sf):
 
 def lineitem_price_ols(spark, sf):
     """M3 at bench size: extended price ~ quantity over all lineitem rows
-    (normal equations: one pass, d x d solve)."""
+    (l-bfgs)."""
     from pyspark.ml.feature import VectorAssembler
     li = ts.read_table(spark, sf, "lineitem").select("l_quantity", "l_extendedprice")
     d = VectorAssembler(inputCols=["l_quantity"], outputCol="features").transform(li)
@@ -310,15 +310,16 @@ def lineitem_price_ols(spark, sf):
 def ridge_one_feature_search(spark, sf):
     """H1-H3, H11 with a closed form: the ridge search's seeded penalties on
     duration ~ passenger count; metrics and rank (by test rmse) of each."""
-    from larch.operators import paths, ridge, search
+    from larch.operators import linear, penalized, search
     from larch.plans import experiments as ex
     feature = ["passenger_count"]
     raw = tr.raw_task_frame(spark, sf, "regression").filter(F.col(feature[0]).isNotNull()).select(
         "trip_id", "is_test", "duration", *feature).persist(StorageLevel.MEMORY_AND_DISK)
     alphas = [c["alpha"] for c in search.sample(ex.RIDGE_SPACE, ex.EVALS["ridge"], ex.SEED)]
-    g = paths.design_gram(raw.filter(~F.col("is_test")), feature, [], [], "duration")
-    fits = [paths.ridge_coefficients(g, a) for a in alphas]
-    scored = ridge.candidate_predictions(raw, feature, [], [], fits)
+    d = penalized.design(raw.filter(~F.col("is_test")), feature, [], "duration")
+    found = penalized.fit(d, [penalized.ridge_penalty(a) for a in alphas])
+    fits = [(float(b), w) for b, w in zip(found.intercepts, found.narrow)]
+    scored = linear.predictions(raw, found)
     metrics = evaluate.regression_reports(scored, "duration", [f"pred_{j}" for j in range(len(fits))])
     raw.unpersist()
     order = sorted(range(len(fits)), key=lambda j: (metrics[j]["rmse_test"], j))
@@ -516,6 +517,12 @@ def lasso_path_alphas(spark, sf):
     return _rounded(paths.lasso_path_alphas(spark, sf))
 
 
+def path_optimality(spark, sf):
+    """H5-H7: every fit of the three paths against its optimality conditions, from the rows."""
+    from larch.plans import paths
+    return paths.path_optimality(spark, sf)
+
+
 def lasso_path_summary(spark, sf):
     """H6 per step: non-zero count and L1 norm (zero at the first step)."""
     from larch.plans import paths

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from larch.operators import targets
-from larch.operators.ridge import GramRidge
+from larch.operators.linear import PenalizedRegression
 from larch.plans import training as tr
 from larch.session import unique_path
 from larch.sources import runs as runlog
@@ -25,8 +25,7 @@ def train_and_save(spark: SparkSession, sf: str, path: str | None = None) -> tup
     """Fit features + ridge on the train month, save one pipeline, log the run."""
     td = tr.prepare(spark, sf, "regression", drop_first=True)
     num, cat = targets.feature_lists("regression")
-    est = GramRidge(numericCols=num, categoricalCols=cat, labelCol=td.label,
-                    alpha=SCORING_ALPHA, dropFirst=True)
+    est = PenalizedRegression(numericCols=num, categoricalCols=cat, labelCol=td.label, alpha=SCORING_ALPHA, dropFirst=True)
     model, metrics = tr.fit_and_evaluate(td, est)
     full = PipelineModel(stages=list(td.feature_model.stages) + [model])
     path = path or unique_path(spark, "models", "ridge")

@@ -4,8 +4,10 @@ run tables and saved pipelines."""
 
 from __future__ import annotations
 
+import os
 import tempfile
 import uuid
+from pathlib import Path
 
 from pyspark.sql import SparkSession
 
@@ -30,6 +32,15 @@ def build_session(master: str = "local[8]", shuffle_partitions: int = 8,
     )
 
 
+def show_package(spark: SparkSession) -> None:
+    """Lets Python workers of this machine import the package where the driver
+    found it; on a cluster it comes with the job (``--py-files``)."""
+    root, env = str(Path(__file__).resolve().parents[1]), spark.sparkContext.environment
+    paths = [p for p in env.get("PYTHONPATH", "").split(os.pathsep) if p]
+    if root not in paths:
+        env["PYTHONPATH"] = os.pathsep.join([*paths, root])
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The cluster-wide folder named by ``spark.checkpoint.dir``.
 

@@ -5,9 +5,9 @@ import pytest
 from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import functions as F
 
-from larch.operators import models, paths
-from larch.operators.ridge import GramRidge
-from larch.plans import experiments as ex, paths as P, training as tr
+from larch.operators import models, targets
+from larch.operators.linear import PenalizedRegression
+from larch.plans import training as tr
 from tests.conftest import SF01
 
 
@@ -47,46 +47,15 @@ def test_logistic_mapping(cls_small):
     assert np.abs(got - ref).max() < 1e-4
 
 
-def test_gram_ridge_equals_mllib_cholesky(spark):
+def test_ridge_stage_equals_mllib(spark):
     td = tr.prepare(spark, SF01, "regression", drop_first=True)
-    g = ex.ridge_estimator(td).fit_many(td.train, [2.0])[0]
+    num, cat = targets.feature_lists("regression")
+    own = PenalizedRegression(numericCols=num, categoricalCols=cat, labelCol=td.label, alpha=2.0, dropFirst=True).fit(td.train)
     m = models.linear_regression("ridge", td.stats, td.label, alpha=2.0).fit(td.train)
-    a = tr.scores(td, g).select("trip_id", "prediction").toPandas().set_index("trip_id")
+    a = tr.scores(td, own).select("trip_id", "prediction").toPandas().set_index("trip_id")
     b = tr.scores(td, m).select("trip_id", "prediction").toPandas().set_index("trip_id")
     assert (a.prediction - b.prediction.loc[a.index]).abs().max() < 1e-4
     ols_rmse = tr.fit_and_evaluate(td, models.linear_regression("ols", td.stats,
                                                                 td.label))[1]["rmse_train"]
     assert ols_rmse <= tr.baseline_metrics(td)["rmse_train"] + 1e-9
     td.release()
-
-
-def test_lasso_path_invariants_and_mllib(spark):
-    g = P.regression_gram(spark, SF01)
-    alphas = paths.alpha_grid(g, 1.0, 30)
-    W = paths.enet_path(g, alphas, 1.0, tol=1e-8)
-    nz = (np.abs(W) > 1e-12).sum(1)
-    assert nz[0] == 0 and nz[-1] >= nz[5]
-    # a no-intercept MLlib lasso at one grid point agrees with the Gram solver
-    from pyspark.ml.regression import LinearRegression
-    from larch.operators import features as fe, targets
-    raw = tr.raw_task_frame(spark, SF01, "regression").filter(~F.col("is_test"))
-    num, cat = targets.feature_lists("regression")
-    filled = fe.MeanModeImputer(numericCols=num, categoricalCols=cat).fit(raw).transform(raw)
-    enc = fe.OneHot(categoricalCols=cat).fit(filled)
-    X = VectorAssembler(inputCols=num + [c + "_ohe" for c in cat], outputCol="features") \
-        .transform(enc.transform(filled))
-    k = 20
-    m = LinearRegression(labelCol="duration", regParam=float(alphas[k]), elasticNetParam=1.0,
-                         fitIntercept=False, standardization=False, solver="normal",
-                         tol=1e-12, maxIter=5000).fit(X)
-    assert np.abs(m.coefficients.toArray() - W[k]).max() < 1e-3
-
-
-def test_ridge_path_matches_gram_ridge(spark):
-    g = P.regression_gram(spark, SF01)
-    b, w = paths.ridge_coefficients(g, 0.7)
-    # centered normal equations hold at the solution
-    m = g.col_sum / g.n
-    gc = g.xtx - g.n * np.outer(m, m)
-    bc = g.xty - g.n * m * (g.y_sum / g.n)
-    assert np.abs((gc + 0.7 * np.eye(len(w))) @ w - bc).max() < 1e-6

@@ -1,64 +1,114 @@
-"""Gram statistics against numpy, the bound of the driver-side Gram, and the
-solutions found on it."""
+"""Penalised linear fits against dense numpy solutions, and at 40,000 columns."""
 
 import numpy as np
 import pytest
-from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import functions as F
 
-from larch.operators import features as fe, paths, targets
+from larch.operators import models, penalized as pz
 from larch.plans import experiments as ex, paths as P, training as tr
-from tests.conftest import SF001, SF01
-
-
-def test_gram_matches_numpy_with_four_categoricals(spark):
-    raw = tr.raw_task_frame(spark, SF01, "classification").filter(~F.col("is_test"))
-    num = ["trip_distance", "fare_amount", "passenger_count"]
-    _, cat = targets.feature_lists("classification")
-    filled = fe.MeanModeImputer(numericCols=num, categoricalCols=cat).fit(raw).transform(raw)
-    enc = fe.OneHot(categoricalCols=cat).fit(filled)
-    labels = [list(x) for x in enc.stages[0].labelsArray]
-    g = paths.design_gram(filled, num, cat, labels, "tipped")
-    X = VectorAssembler(inputCols=num + [c + "_ohe" for c in cat], outputCol="features") \
-        .transform(enc.transform(filled)).select("features", "tipped").toPandas()
-    A = np.stack([v.toArray() for v in X["features"]])
-    y = X["tipped"].to_numpy().astype(float)
-    assert g.n == len(y) and A.shape[1] == len(g.names)
-    assert np.abs(g.xtx - A.T @ A).max() < 1e-6
-    assert np.abs(g.xty - A.T @ y).max() < 1e-6
-    assert np.abs(g.col_sum - A.sum(0)).max() < 1e-6
-    assert abs(g.yty - y @ y) < 1e-6
-
-
-def test_gram_bound_raises(spark):
-    raw = tr.raw_task_frame(spark, SF001, "regression")
-    num, cat = targets.feature_lists("regression")
-    with pytest.raises(paths.GramTooLarge):
-        paths.design_gram(raw, num, cat, None, "duration", max_features=len(num) + 1)
-
-
-@pytest.mark.parametrize("fn,l1", [(P.lasso_path, 1.0), (P.elastic_net_path, 0.5)])
-def test_path_is_converged(spark, fn, l1):
-    """At every penalty the gradient meets the optimality conditions."""
-    g = P.regression_gram(spark, SF001)
-    idx = {n: i for i, n in enumerate(g.names)}
-    for _, r in fn(spark, SF001).toPandas().groupby("alpha_idx"):
-        w, a = np.zeros(len(g.names)), r.alpha.iloc[0]
-        w[[idx[f] for f in r.feature]] = r.coefficient.to_numpy()
-        grad = (g.xty - g.xtx @ w) / g.n - a * (1 - l1) * w
-        scale = a * l1
-        assert np.abs(grad).max() <= scale * (1 + 1e-5)
-        assert np.allclose(grad[w != 0], scale * np.sign(w[w != 0]), rtol=1e-4)
+from tests.conftest import SF001
+
+
+@pytest.fixture(scope="module")
+def small(spark):
+    """(design, dense matrix, label, names) of the train side of sf0.001."""
+    rows = P.train_rows(spark, SF001).persist()
+    d = P.regression_design(rows)
+    pdf = rows.toPandas()
+    names, columns = list(d.numeric), [pdf[c].to_numpy(dtype=float) for c in d.numeric]
+    for c in ("PU_DO", "store_and_fwd_flag"):
+        for v in sorted(pdf[c].unique()):
+            names.append(f"{c}={v}")
+            columns.append((pdf[c] == v).to_numpy(dtype=float))
+    return d, np.stack(columns, axis=1), pdf["duration"].to_numpy(dtype=float), names
+
+
+def dense(fits, names):
+    """(penalties, columns) of all coefficients."""
+    d = fits.design
+    wide = {f"{d.wide}={r['value']}": r["coefficients"] for r in fits.wide.collect()}
+    return np.array([wide[n] if n in wide else fits.narrow[:, d.names.index(n)] for n in names]).T
+
+
+def breach(X, y, w, b, p):
+    """How far the worst column is from its optimality condition."""
+    g = X.T @ (y - b - X @ w) - p.l2 * w
+    return np.where(w == 0, np.maximum(np.abs(g) - p.l1, 0), np.abs(g - p.l1 * np.sign(w))).max()
+
+
+def test_ridge_equals_the_closed_form(small):
+    d, X, y, names = small
+    alphas = [0.01, 0.7, 30.0]
+    fits = pz.fit(d, [pz.ridge_penalty(a) for a in alphas])
+    xc, yc = X - X.mean(0), y - y.mean()
+    for a, b, w in zip(alphas, fits.intercepts, dense(fits, names)):
+        exact = np.linalg.solve(xc.T @ xc + a * np.eye(X.shape[1]), xc.T @ yc)
+        assert np.abs(w - exact).max() < 1e-8 and abs(b - (y.mean() - X.mean(0) @ exact)) < 1e-8
+    assert fits.rounds <= 2
+
+
+@pytest.mark.parametrize("ratio", [1.0, 0.5])
+def test_paths_meet_their_conditions(small, ratio):
+    d, X, y, names = small
+    alphas = pz.alpha_grid(d, ratio)
+    assert abs(alphas[0] - np.abs(X.T @ y).max() / len(y) / ratio) < 1e-9 * alphas[0]
+    penalties = [pz.enet_penalty(a, ratio, d.n) for a in alphas]
+    fits = pz.fit(d, penalties, intercept=False)
+    W = dense(fits, names)
+    for w, p in zip(W, penalties):
+        assert breach(X, y, w, 0.0, p) <= 1e-6 * p.l1
+    nonzero = (W != 0).sum(axis=1)
+    assert nonzero[0] == 0 and nonzero[-1] > nonzero[1]
+
+
+def test_intercept_and_full_support(small):
+    """So small a penalty that every pair has a coefficient: singular along the intercept."""
+    d, X, y, names = small
+    penalties = [pz.enet_penalty(a, r, d.n) for a, r in ((0.05, 0.3), (0.8, 0.7), (0.01, 1.0))]
+    fits = pz.fit(d, penalties)
+    for w, b, p in zip(dense(fits, names), fits.intercepts, penalties):
+        assert breach(X, y, w, b, p) < 1e-6 * p.l1 and abs((y - b - X @ w).sum()) < 1e-6 * np.abs(y).sum()
+
+
+def test_small_lasso_against_coordinate_descent():
+    rng = np.random.default_rng(5)
+    for _ in range(20):
+        z = rng.standard_normal((30, 7))
+        h, g, w = z.T @ z, 20 * rng.standard_normal(7), rng.standard_normal(7)
+        l1, l2 = rng.uniform(0, 30, 7) * (rng.uniform(size=7) < 0.8), rng.uniform(0, 2, 7)
+        x = pz.small_lasso(h, g, w, l1, l2)
+        grad = -(g + h @ (x - w)) - l2 * x
+        assert np.where(x == 0, np.maximum(np.abs(grad) - l1, 0), np.abs(grad - l1 * np.sign(x))).max() < 1e-8
+
+
+def test_forty_thousand_columns(spark):
+    """No bound on the width: 40,000 values, of which one has a third of the rows."""
+    n, width = 120_000, 40_000
+    rows = spark.range(n).select(
+        F.when(F.col("id") % 3 == 0, F.lit("v0")).otherwise(F.concat(F.lit("v"), F.pmod(F.xxhash64("id"), F.lit(width)))).alias("pair"),
+        F.when(F.col("id") % 2 == 0, "N").otherwise("Y").alias("flag"),
+        (F.pmod(F.col("id") * 7919, F.lit(101)) / 10).alias("x"), F.pmod(F.col("id") * 104729, F.lit(997)).cast("double").alias("y")).persist()
+    d = pz.design(rows, ["x"], ["pair", "flag"], "y")
+    assert d.wide == "pair" and d.groups.count() > 30_000
+    penalties = [pz.ridge_penalty(2.0)]
+    ridge = pz.fit(d, penalties)
+    assert P.optimality(rows, ridge, penalties, "y", True).first()["breach"] < 1e-10
+    alphas = pz.alpha_grid(d, 1.0, 4, eps=1e-6)
+    penalties = [pz.enet_penalty(a, 1.0, d.n) for a in alphas]
+    lasso = pz.fit(d, penalties, intercept=False)
+    assert max(r["breach"] for r in P.optimality(rows, lasso, penalties, "y", False).collect()) < 1e-10
+    assert lasso.wide.where("coefficients[3] != 0").count() > 0
+    rows.unpersist()
+    d.release()
 
 
 @pytest.mark.parametrize("kind", ["lasso", "elastic_net"])
-def test_gram_candidates_match_mllib_fits(spark, kind):
-    """Two-pass search (one Gram, one scoring aggregate) gives the metrics
-    of separate MLlib fits under the penalty mapping."""
-    from larch.operators import models
+def test_candidates_match_mllib_fits(spark, kind):
+    """A search of all candidates together gives the metrics of separate MLlib fits
+    under the penalty mapping."""
     td = tr.prepare(spark, SF001, "regression", drop_first=True)
     cands = [{"alpha": 0.05, "l1_ratio": 0.3}, {"alpha": 0.8, "l1_ratio": 0.7}]
-    got = ex.gram_candidates(td, kind, cands)
+    got = ex.linear_candidates(td, kind, cands)
     for p, r in zip(cands, got):
         est = models.linear_regression(kind, td.stats, td.label,
                                        alpha=p["alpha"], l1_ratio=p["l1_ratio"])
