@@ -15,8 +15,8 @@ seen once, a share that follows the number of words seen once and twice
 (Good-Turing) belongs to words never seen, which are one outcome per bin. So the
 probabilities of all words sum to one after any past.
 
-Training. The tokens of each block of documents (``BLOCK_CHARS`` of one task's input)
-are numbered inside the block; counts meet the blocks' words in joins, so no
+Training. The tokens of each block of documents (about ``BLOCK_TOKENS`` of one task's
+input) are numbered inside the block; counts meet the blocks' words in joins, so no
 vocabulary is broadcast. All training documents are used, in ``ROUNDS`` rounds:
 each round, every block runs its documents of that round through the current
 model in its own task, and the blocks' parameters are averaged, weighted by tokens, in
@@ -50,10 +50,10 @@ from larch.llm import recurrent
 from larch.llm.common import materialize, read_table
 from larch.session import unique_path
 
-SHORTLIST = 2048
+SHORTLIST = 1024
 #: Longer words are never outputs of their own, so the shortlist has a bounded size.
 SHORTLIST_BYTES = 64
-HIDDEN, CLASSES = 16, 40
+HIDDEN, CLASSES = 16, 32
 STREAMS, STEPS = 256, 32
 #: Symbols of a training document that are run in one piece.
 STRETCH = 512
@@ -62,7 +62,9 @@ RATE = 0.015
 FAN_IN = 32
 SEED = 13
 HELD_OUT = 2
-BLOCK_CHARS = 16_000_000
+#: A block ends with the document that brings it to so many tokens.
+BLOCK_TOKENS = 5_000_000
+FRAME_ROWS = 50_000
 #: Symbols that are scored at a time.
 SCORE_TOKENS = 3_000_000
 #: No word contains white space, so this token is none.
@@ -81,35 +83,51 @@ def tokens_of(text: str | None) -> list[bytes]:
 _BLOCKS = "kind string, block long, doc_id string, held_out boolean, ids binary, n_tokens long, word binary, at long, n long"
 
 
-def _block_rows(rows: list[tuple], block: int) -> Iterator[pd.DataFrame]:
-    number: dict[bytes, int] = {}
-    ids, add = [], number.setdefault
-    for _, _, text in rows:
-        ids.append(np.array([add(w, len(number)) for w in tokens_of(text)], dtype="<i4"))
-    n = np.zeros(len(number), dtype=np.int64)
-    for (_, held_out, _), x in zip(rows, ids, strict=True):
-        if not held_out:
-            n += np.bincount(x, minlength=len(n))
-    yield pd.DataFrame({"kind": "doc", "block": block, "doc_id": [r[0] for r in rows], "held_out": [r[1] for r in rows],
-                        "ids": [x.tobytes() for x in ids], "n_tokens": [len(x) for x in ids], "word": None, "at": None, "n": None})
-    yield pd.DataFrame({"kind": "word", "block": block, "doc_id": None, "held_out": None, "ids": None, "n_tokens": None,
-                        "word": list(number), "at": np.arange(len(n)), "n": n})
+class _Block:
+    """Documents as numbers of the block's words; the texts are not held."""
+
+    def __init__(self, block: int) -> None:
+        self.block, self.n_tokens = block, 0
+        self.number: dict[bytes, int] = {}
+        self.rows: list[tuple] = []
+
+    def add(self, doc_id: str | None, held_out: bool, text: str | None) -> None:
+        add = self.number.setdefault
+        ids = np.array([add(w, len(self.number)) for w in tokens_of(text)], dtype="<i4")
+        self.rows.append((doc_id, held_out, ids))
+        self.n_tokens += len(ids)
+
+    def frames(self) -> Iterator[pd.DataFrame]:
+        n = np.zeros(len(self.number), dtype=np.int64)
+        for _, held_out, x in self.rows:
+            if not held_out:
+                np.add.at(n, x, 1) if len(x) < 1000 else np.add(n, np.bincount(x, minlength=len(n)), out=n)
+        for i in range(0, len(self.rows), FRAME_ROWS):
+            part = self.rows[i:i + FRAME_ROWS]
+            yield pd.DataFrame({"kind": "doc", "block": self.block, "doc_id": [r[0] for r in part], "held_out": [r[1] for r in part],
+                                "ids": [r[2].tobytes() for r in part], "n_tokens": [len(r[2]) for r in part], "word": None, "at": None, "n": None})
+        words = list(self.number)
+        for i in range(0, len(words), FRAME_ROWS):
+            part = words[i:i + FRAME_ROWS]
+            yield pd.DataFrame({"kind": "word", "block": self.block, "doc_id": None, "held_out": None, "ids": None, "n_tokens": None,
+                                "word": part, "at": np.arange(i, i + len(part)), "n": n[i:i + len(part)]})
 
 
 def _blocks(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """Rows of kind doc (numbers of its tokens) and word (counts of training tokens)."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        task, done, rows, size = TaskContext.get().partitionId(), 0, [], 0
+        task, done = TaskContext.get().partitionId(), 0
+        block = _Block(task << 32)
         for b in batches:
-            for row in zip(b["doc_id"], b["held_out"].tolist(), b["text"], strict=True):
-                if rows and size + len(row[2] or "") > BLOCK_CHARS:
-                    yield from _block_rows(rows, (task << 32) + done)
-                    rows, size, done = [], 0, done + 1
-                rows.append(row)
-                size += len(row[2] or "")
-        if rows:
-            yield from _block_rows(rows, (task << 32) + done)
+            for doc_id, held_out, text in zip(b["doc_id"], b["held_out"].tolist(), b["text"], strict=True):
+                block.add(doc_id, held_out, text)
+                if block.n_tokens >= BLOCK_TOKENS:
+                    yield from block.frames()
+                    done += 1
+                    block = _Block((task << 32) + done)
+        if block.rows:
+            yield from block.frames()
 
     doc_id = F.col(f"`{id_col}`").cast("string")
     held_out = F.crc32(F.coalesce(doc_id, F.lit("")).cast("binary")) % 7 == HELD_OUT

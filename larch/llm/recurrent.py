@@ -114,30 +114,38 @@ class Recurrent:
         self.p = shape.views(flat)
         self.class_of = np.repeat(np.arange(shape.n_classes), np.diff(shape.first))
 
-    def states(self, x: np.ndarray, fresh: np.ndarray, h: np.ndarray) -> tuple[np.ndarray, dict]:
+    def states(self, x: np.ndarray, fresh: np.ndarray, h: np.ndarray, kept: dict | None = None) -> np.ndarray:
         """States before each symbol of a window: x (T, B) are the symbols before,
-        ``fresh`` marks where a document begins."""
+        ``fresh`` marks where a document begins, h is the state before the window.
+        ``kept`` gets what the gradient needs."""
         p, hid = self.p, self.shape.hidden
         steps, b = x.shape
-        table = p["embed"] @ p["wx"] + p["b"]
-        given, any_fresh = table[x], fresh.any(axis=1)
-        out = np.empty((steps, b, hid), dtype=np.float32)
-        past = np.empty_like(out)
-        gates = np.empty((steps, b, 3 * hid), dtype=np.float32)
-        turned = np.empty_like(out)
-        w2, w1 = np.ascontiguousarray(p["wh"][:, :2 * hid]), np.ascontiguousarray(p["wh"][:, 2 * hid:])
+        given, any_fresh = (p["embed"] @ p["wx"] + p["b"])[x], fresh.any(axis=1).tolist()
+        out = np.empty((steps, b, hid), dtype=self.flat.dtype)
+        if kept is not None:
+            kept |= {"past": np.empty_like(out), "turned": np.empty_like(out)}
+        wh = p["wh"]
         for t in range(steps):
-            past[t] = h
             if any_fresh[t]:
-                past[t][fresh[t]] = 0
-            h = past[t]
-            zr = _sigmoid(given[t, :, :2 * hid] + h @ w2)
-            u = h @ w1
-            n = np.tanh(given[t, :, 2 * hid:] + zr[:, hid:] * u)
-            z = zr[:, :hid]
-            h = n + z * (h - n)
-            gates[t, :, :2 * hid], gates[t, :, 2 * hid:], turned[t], out[t] = zr, n, u, h
-        return out, {"past": past, "gates": gates, "turned": turned, "last": h}
+                h = h.copy()
+                h[fresh[t]] = 0
+            u = h @ wh
+            g = given[t]
+            zr = g[:, :2 * hid]
+            zr += u[:, :2 * hid]
+            _sigmoid(zr)
+            n = g[:, 2 * hid:]
+            n += zr[:, hid:] * u[:, 2 * hid:]
+            np.tanh(n, out=n)
+            if kept is not None:
+                kept["past"][t], kept["turned"][t] = h, u[:, 2 * hid:]
+            np.subtract(h, n, out=out[t])
+            out[t] *= zr[:, :hid]
+            out[t] += n
+            h = out[t]
+        if kept is not None:
+            kept["gates"] = given
+        return out
 
     def log_probability(self, h: np.ndarray, y: np.ndarray) -> np.ndarray:
         """Natural logarithms of the probabilities of symbols ``y`` at states ``h``."""
@@ -166,7 +174,8 @@ class Recurrent:
         symbols, its value, and the state after the window."""
         p, hid = self.p, self.shape.hidden
         steps, b = x.shape
-        hs, kept = self.states(x, fresh, h0)
+        kept: dict = {}
+        hs = self.states(x, fresh, h0, kept)
         grad = np.zeros_like(self.flat)
         g = self.shape.views(grad)
         at_live = np.flatnonzero(live.ravel())
@@ -217,15 +226,14 @@ class Recurrent:
                 back[fresh[t]] = 0
         given[:, :, :2 * hid] = d_turned[:, :, :2 * hid]
         g["wh"][...] = kept["past"].reshape(-1, hid).T @ d_turned.reshape(-1, 3 * hid)
-        flat_given = given.reshape(-1, 3 * hid)
         symbol = x.ravel()
         order = np.argsort(symbol, kind="stable")  # 16 bits: by radix
         new = np.flatnonzero(np.concatenate([[True], symbol[order][1:] != symbol[order][:-1]]))
-        seen, sums = symbol[order][new], np.add.reduceat(flat_given[order], new, axis=0)
+        seen, sums = symbol[order][new], np.add.reduceat(given.reshape(-1, 3 * hid)[order], new, axis=0)
         g["b"][...] = sums.sum(axis=0)
         g["wx"][...] = p["embed"][seen].T @ sums
         g["embed"][seen] = sums @ p["wx"].T
-        return grad, loss, kept["last"]
+        return grad, loss, hs[-1]
 
 
 class Streams:
@@ -307,8 +315,8 @@ def score(model: Recurrent, docs: list[np.ndarray], streams: int, steps: int) ->
     h = np.zeros((streams, model.shape.hidden), dtype=np.float32)
     out = np.zeros(len(docs))
     for x, y, fresh, owner in Streams(docs, streams).windows(steps):
-        hs, kept = model.states(x, fresh, h[:x.shape[1]])
-        h = kept["last"]
+        hs = model.states(x, fresh, h[:x.shape[1]])
+        h = hs[-1]
         at = np.flatnonzero(owner.ravel() >= 0)
         log = model.log_probability(hs.reshape(-1, model.shape.hidden)[at], y.ravel()[at])
         out += np.bincount(owner.ravel()[at], weights=log, minlength=len(docs))
