@@ -40,10 +40,9 @@ from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from larch.operators.vectors import added
 from larch.session import show_package
 
-#: Vectors that one task or the driver adds up at a time.
-FAN_IN = 64
 MAX_ROUNDS = 200
 #: A fit ends when no optimality condition of the working set is off by more than
 #: this, beside the length of the label times that of the longest column.
@@ -145,20 +144,6 @@ def design(df: DataFrame, numeric: list[str], categorical: list[str], label: str
 
 # ---- one round -----------------------------------------------------------------
 
-def added(parts: DataFrame, n: int) -> np.ndarray | None:
-    """The sum of vectors of doubles (at, v), ``FAN_IN`` or so at a time; n: how many there may be."""
-
-    def merge(frame: pd.DataFrame) -> pd.DataFrame:
-        v = sum(np.frombuffer(x) for x in frame.sort_values("at")["v"])
-        return pd.DataFrame({"at": [int(frame["at"].min())], "v": [v.tobytes()]})
-
-    while n > FAN_IN:
-        n = -(-n // FAN_IN)
-        parts = parts.groupBy(F.pmod("at", F.lit(n))).applyInPandas(merge, "at long, v binary")
-    rows = sorted(parts.collect())
-    return sum(np.frombuffer(r["v"]) for r in rows) if rows else None
-
-
 @dataclass
 class _Set:
     """The working set: (intercept) + numeric columns + some slots."""

@@ -71,7 +71,7 @@ def unique_path(spark: SparkSession, *parts: str) -> str:
     return workspace_path(spark, *parts, uuid.uuid4().hex[:12])
 
 
-ROWS_PER_PARTITION = 250_000
+ROWS_PER_PARTITION = 25_000
 
 
 def target_partitions(n_rows: int) -> int:
