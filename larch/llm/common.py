@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import os
 from collections.abc import Callable
 from pathlib import Path
@@ -32,12 +34,25 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 _HELD: dict[str, Callable[[], None]] = {}
 
 
-def claim_memory(name: str, clear: Callable[[], None]) -> None:
+def claim_memory(name: str, clear: Callable[[], None] | None = None) -> None:
     """Python workers live through many tasks: before an operator fills its
-    dictionary, those that other operators have left in this worker go."""
-    for other in [k for k in _HELD if k != name]:
+    dictionary, or does its work without one, those that other operators have left in
+    this worker go, and the freed pages go back to the system."""
+    others = [k for k in _HELD if k != name]
+    for other in others:
         _HELD.pop(other)()
-    _HELD[name] = clear
+    if others:
+        gc.collect()
+        _trim()
+    if clear:
+        _HELD[name] = clear
+
+
+def _trim() -> None:
+    """Where the C library can (glibc), hands freed memory back."""
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim:
+        trim(0)
 
 
 def materialize(df: DataFrame, name: str) -> DataFrame:

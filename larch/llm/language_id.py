@@ -20,7 +20,7 @@ Defined cases: a null text or one without a letter is "und" with score 0, and so
 is every text when nothing labelled can be learned from; a null id hashes as ""
 for the split; repeated rows give repeated rows; ties go to the language first
 in alphabetical order; an empty table gives an empty result; other columns are
-not read. Whole texts are scored; a worker remembers at most ``CACHE_WORDS`` words.
+not read. Whole texts are scored; a worker remembers words of about ``CACHE_BYTES``.
 """
 
 from __future__ import annotations
@@ -44,7 +44,8 @@ EM_ROUNDS = 5
 SMOOTHING = 0.02
 LETTER_FLOOR = 1e-7
 WORD_CHARS = 32
-CACHE_WORDS = 700_000
+#: Memory of the scored words that a worker keeps, and what a word takes besides its letters and numbers.
+CACHE_BYTES, WORD_BYTES = 96_000_000, 170
 LATTICE_WORDS = 20_000
 GROUP_CHARS = 1_000_000
 UNKNOWN = "und"
@@ -165,6 +166,7 @@ class UnigramLanguages:
         self.pieces, self.languages, self.prob = pieces, languages, prob
         self.log_share = np.log(shares)
         self.name = uuid.uuid4().hex
+        self.word_bytes = WORD_BYTES + 8 * len(languages)
 
     @classmethod
     def fit(cls, word_counts: dict[str, dict[str, int]], shares: dict[str, float], pieces: list[str]) -> UnigramLanguages:
@@ -193,7 +195,7 @@ class UnigramLanguages:
         index, rows = _SCORED.get(self.name) or ({}, np.zeros((0, len(self.languages))))
         need = list({w for doc in words for w in doc if w not in index})
         if need:
-            if len(index) + len(need) > CACHE_WORDS:
+            if sum(map(len, need)) + (len(index) + len(need)) * self.word_bytes > CACHE_BYTES:
                 index, rows = {}, rows[:0]
                 need = list({w for doc in words for w in doc})
             parts = [_stretches(w) for w in need]

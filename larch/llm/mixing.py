@@ -37,7 +37,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from larch.llm.common import materialize, read_table, whole_row
+from larch.llm.common import claim_memory, materialize, read_table, whole_row
 
 TOPICS = 8
 #: Cells that the driver rakes; more are raked as tables.
@@ -66,6 +66,7 @@ def topic_counts(text: str | None) -> list[int]:
 def _counts_column(text: Column) -> Column:
     @F.pandas_udf("array<long>")
     def run(texts: pd.Series) -> pd.Series:
+        claim_memory("mixing")
         return pd.Series([topic_counts(t) for t in texts], dtype=object)
 
     return run(text)

@@ -48,7 +48,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from larch.llm.common import flag_keys, key_bitmap, materialize, read_table, text_or_empty, whole_row
+from larch.llm.common import claim_memory, flag_keys, key_bitmap, materialize, read_table, text_or_empty, whole_row
 from larch.llm.shingles import mix, multiset_overlap, shingles
 
 BANDS, BAND_ROWS = 32, 6
@@ -63,6 +63,8 @@ BLOCK_COLUMNS = 2048
 _GOLDEN = 0x9E3779B97F4A7C15  # the SplitMix64 increment
 _STEP = np.uint64(_GOLDEN)
 _UNIT = 2.0 ** -53
+#: This operator keeps nothing in a worker between tasks.
+OWNER = "near_dedup"
 
 
 def _steps(n: int) -> np.uint64:
@@ -122,6 +124,7 @@ def _signed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     kind = dict(docs.dtypes)[id_col]
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        claim_memory(OWNER)
         for b in batches:
             at = 0
             while at < len(b):
@@ -150,6 +153,7 @@ def _verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     """The pairs (a, b) whose texts are similar enough."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        claim_memory(OWNER)
         last: tuple[str, tuple] | None = None
         for p in batches:
             keep = []
@@ -289,6 +293,7 @@ def _compared(members: DataFrame, labels: DataFrame, texts: DataFrame) -> DataFr
     dealt = dealt.select("bucket", F.least("at", "with").alias("i"), F.greatest("at", "with").alias("j"), "at", "node", "label")
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        claim_memory(OWNER)
         key, rows, found = None, [], []
         for p in batches:
             for bucket, i, j, at, node, label, text in p.itertuples(index=False, name=None):

@@ -46,9 +46,9 @@ from larch.llm.common import flag_keys, key_bitmap, materialize, read_table, tex
 LENGTH = 400
 #: An anchor hashes half a window; fewer would repeat by chance, more would cut smaller cells.
 GRAM = 200
-BUCKET_BYTES = 4_000_000
-#: Cells of one anchor that a bucket takes: about 3 MB.
-HOT_CELLS = 5000
+BUCKET_BYTES = 2_500_000
+#: Cells of one anchor that a bucket takes: about 1.5 MB.
+HOT_CELLS = 2500
 GROUP_BYTES = 2_000_000
 SEGMENT_BYTES = 8_000_000
 CELL_BITS = 24
@@ -189,14 +189,15 @@ def cut_ranges(raw: bytes, ranges: list[tuple[int, int]]) -> tuple[int, int, byt
 
 
 def remove_repeated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **how: int) -> DataFrame:
-    """doc_id, n_bytes, n_removed, n_spans, kept_sha256 of every document."""
+    """doc_id, n_bytes, n_removed, n_spans, kept_sha256, kept_text of every document.
+    kept_text is what remains; a character of which bytes were removed is left out."""
     kind = dict(docs.dtypes)[id_col]
     keyed = docs.select(F.col(f"`{id_col}`").alias("doc_id"), _row_key(id_col, text_or_empty(text_col)).alias("row_key"), text_or_empty(text_col).alias("text"))
     ranges = repeated_ranges(keyed, **how)
     flagged = flag_keys(keyed, "row_key", materialize(key_bitmap(ranges, "row_key"), "range_bitmap"))
     whole = flagged.where("NOT maybe").select(
         "doc_id", F.octet_length("text").cast("long").alias("n_bytes"), F.lit(0).cast("long").alias("n_removed"),
-        F.lit(0).cast("long").alias("n_spans"), F.sha2("text", 256).alias("kept_sha256"))
+        F.lit(0).cast("long").alias("n_spans"), F.sha2("text", 256).alias("kept_sha256"), F.col("text").alias("kept_text"))
     per_doc = ranges.groupBy("row_key").agg(F.collect_set(F.struct("start", "stop")).alias("ranges"))
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -205,13 +206,13 @@ def remove_repeated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
             for text, found in zip(b["text"], b["ranges"], strict=True):
                 raw = text.encode("utf-8")
                 removed, spans, left = cut_ranges(raw, [(r["start"], r["stop"]) for r in found] if found is not None else [])
-                rows.append((len(raw), removed, spans, hashlib.sha256(left).hexdigest()))
-            out = pd.DataFrame(rows, columns=["n_bytes", "n_removed", "n_spans", "kept_sha256"])
+                rows.append((len(raw), removed, spans, hashlib.sha256(left).hexdigest(), left.decode("utf-8", "ignore")))
+            out = pd.DataFrame(rows, columns=["n_bytes", "n_removed", "n_spans", "kept_sha256", "kept_text"])
             out.insert(0, "doc_id", b["doc_id"].to_numpy())
             yield out
 
     parted = flagged.where("maybe").join(per_doc, "row_key", "left").select("doc_id", "text", "ranges").mapInPandas(
-        run, f"doc_id {kind}, n_bytes long, n_removed long, n_spans long, kept_sha256 string")
+        run, f"doc_id {kind}, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept_text string")
     return whole.unionByName(parted)
 
 
