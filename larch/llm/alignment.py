@@ -40,7 +40,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from larch.llm.common import materialize, read_table
+from larch.llm.common import claim_memory, materialize, read_table
 from larch.llm.tokens import _byte_letters, tokenizer_path
 
 BLOCK_CHARS = 12_000_000
@@ -134,6 +134,7 @@ _TOKENIZERS: dict[tuple[str, str], Tokenizers] = {}
 
 def tokenizers(path_a: str, path_b: str) -> Tokenizers:
     if (path_a, path_b) not in _TOKENIZERS:
+        claim_memory("alignment", _TOKENIZERS.clear)
         _TOKENIZERS[path_a, path_b] = Tokenizers(path_a, path_b)
     return _TOKENIZERS[path_a, path_b]
 

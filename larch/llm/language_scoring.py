@@ -55,6 +55,8 @@ SHORTLIST = 1024
 SHORTLIST_BYTES = 64
 HIDDEN, CLASSES = 16, 32
 STREAMS, STEPS = 256, 32
+#: Documents that are scored side by side.
+SCORE_STREAMS = 640
 #: Symbols of a training document that are run in one piece.
 STRETCH = 512
 ROUNDS = 4
@@ -273,7 +275,7 @@ def language_scores(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         model = recurrent.Recurrent(shape, flat)
 
         def close(rows: list[tuple]) -> pd.DataFrame:
-            found = recurrent.score(model, [np.frombuffer(r[4], dtype="<u2") for r in rows], STREAMS, STEPS) / math.log(10)
+            found = recurrent.score(model, [np.frombuffer(r[4], dtype="<u2") for r in rows], SCORE_STREAMS, STEPS) / math.log(10)
             out = pd.DataFrame([r[:4] for r in rows], columns=["doc_id", "held_out", "n_tokens", "n_known"])
             return out.assign(train_tokens=n, base_score=[r[5] for r in rows], score=found + np.array([r[6] for r in rows]))
 
