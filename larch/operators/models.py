@@ -112,32 +112,6 @@ def logistic_regression(C: float, n: int, label: str, max_iter: int = 250,
                               tol=tol, family="binomial")
 
 
-def boosted_trees(max_depth: int, eta: float, label: str, n_trees: int = 100,
-                  max_bins: int = 32, features: str = "features", seed: int = SEED,
-                  validation_col: str | None = None, subsampling: float = 1.0) -> GBTClassifier:
-    """Gradient-boosted trees (logistic loss). The step size must
-    be in (0, 1]; MLlib refuses a larger one."""
-    kw = dict(featuresCol=features, labelCol=label, maxIter=int(n_trees), maxDepth=int(max_depth),
-              stepSize=float(eta), maxBins=int(max_bins), seed=seed,
-              subsamplingRate=subsampling)
-    if validation_col:
-        kw["validationIndicatorCol"] = validation_col
-    return GBTClassifier(**kw)
-
-
-def boosted_regressor(max_depth: int, eta: float, label: str, n_trees: int = 5,
-                      max_bins: int = 32, features: str = "features", seed: int = SEED,
-                      validation_col: str | None = None) -> GBTRegressor:
-    """Boosted regression trees, squared error, optional early stop on
-    a validation indicator column."""
-    kw = dict(featuresCol=features, labelCol=label, maxIter=int(n_trees), maxDepth=int(max_depth),
-              stepSize=float(eta), maxBins=int(max_bins), seed=seed,
-              lossType="squared")
-    if validation_col:
-        kw["validationIndicatorCol"] = validation_col
-    return GBTRegressor(**kw)
-
-
 def decision_tree(label: str, max_depth: int = 5, max_bins: int = 32,
                   features: str = "features", seed: int = SEED) -> DecisionTreeClassifier:
     """M11."""

@@ -88,6 +88,8 @@ QUERIES = {
     "decision_stump": q.decision_stump,
     "saved_ols_scoring": q.saved_ols_scoring,
     "feature_row_guard": q.feature_row_guard,
+    "boosted_one_round": q.boosted_one_round,
+    "boosted_patience": q.boosted_patience,
 }
 
 ORACLE = {k: v for k, v in oracle.SQL.items() if k in QUERIES}

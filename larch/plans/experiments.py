@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
-from larch.operators import evaluate, models, penalized, search, split, targets
+from larch.operators import boosting, evaluate, models, penalized, search, split, targets
 from larch.operators import linear as lin
 from larch.operators.search import choice, lognormal, quniform, uniform
 from larch.plans import training as tr
@@ -24,13 +24,13 @@ RIDGE_SPACE = {"alpha": lognormal(0, 1)}
 LASSO_SPACE = {"alpha": lognormal(0, 1)}
 ELASTIC_NET_SPACE = {"alpha": lognormal(0, 1), "l1_ratio": uniform(0, 1)}
 LOGISTIC_SPACE = {"C": lognormal(-1, 0.5), "max_iter": 250}
-BOOSTED_SPACE = {"n_estimators": 100, "max_depth": choice(1, 2, 3, 4), "eta": uniform(0.5, 1)}  # the step size may not exceed 1
+BOOSTED_SPACE = {"n_estimators": 100, "max_depth": choice(1, 2, 3, 4), "eta": uniform(0.5, 2)}
 FOREST_SPACE = {"n_estimators": 5, "min_samples_leaf": 0.05,
                 "max_features": uniform(0.2, 0.6), "max_depth": quniform(3, 5, 1)}
 GRADIENT_BOOSTING_SPACE = {"n_estimators": 5, "validation_fraction": 0.1,
-                           "max_depth": quniform(3, 5, 1), "learning_rate": uniform(0.05, 0.1)}
+                           "max_depth": quniform(3, 5, 1), "learning_rate": uniform(0.05, 0.1), "patience": 5}
 BOOSTED_REGRESSION_SPACE = {"n_estimators": 5, "max_depth": choice(3, 4),
-                            "eta": uniform(0.05, 0.5), "validation_fraction": 0.1}
+                            "eta": uniform(0.05, 0.5), "validation_fraction": 0.1, "patience": 5}
 EVALS = {"ridge": 5, "lasso": 5, "elastic_net": 10, "comparison": 5, "logistic": 5,
          "boosted": 3, "forest": 5, "gradient_boosting": 5, "boosted_regression": 5}
 LEARNING_CURVE_FOLDS = 10
@@ -122,12 +122,9 @@ def regression_comparison(spark: SparkSession, sf: str) -> tuple[DataFrame, str]
 # ---- classification ------------------------------------------------------
 
 def _classifier_search(spark, sf, name, space, n, make, enable_categorical=False,
-                       with_validation=False, td=None, run_group=None, experiment=None):
+                       td=None, run_group=None, experiment=None):
     own = td is None
     td = td or tr.prepare(spark, sf, "classification", enable_categorical=enable_categorical)
-    if with_validation:
-        td = tr.TaskData(td.task, td.label, split.with_validation(td.frame), td.feature_model,
-                         td.n_features, td.max_categories, td.stats, td.options)
     cands = search.sample(space, n, SEED)
 
     def objective(p):
@@ -150,15 +147,48 @@ def logistic_search(spark, sf, **kw):
                                                  max_iter=int(p["max_iter"])), **kw)
 
 
+def code_sizes(td: tr.TaskData) -> list[int]:
+    """Codes of every categorical column: its categories and one for unseen values."""
+    for st in td.feature_model.stages:
+        if getattr(st, "labelsArray", None) is not None:
+            return [len(x) + 1 for x in st.labelsArray]
+    raise ValueError("no category codes in the feature pipeline")
+
+
+def boosted_candidates(td: tr.TaskData, cands: list[dict], name: str, splits: str, l2: float = 1.0, min_child: float = 1.0) -> list[dict]:
+    """Every candidate of a boosted search, grown side by side on the train rows."""
+    num, _ = targets.feature_lists(td.task)
+    objective = "logistic" if td.task == "classification" else "squared"
+    valid = "is_valid" if any(p.get("validation_fraction") for p in cands) else None
+    train = split.with_validation(td.train, cands[0]["validation_fraction"]) if valid else td.train
+    rows, columns = boosting.vector_rows(train, "features", len(num), code_sizes(td), td.label, valid=valid)
+    fits = boosting.fit(rows, columns, [
+        boosting.Booster(int(p["n_estimators"]), int(p["max_depth"]), float(p.get("eta", p.get("learning_rate"))), l2, min_child, int(p.get("patience", 0)))
+        for p in cands], objective, splits)
+    rows.unpersist()
+
+    def one(j: int) -> tuple[dict, str]:
+        model = boosting.BoostedTreesModel.of(fits, j)
+        return {**tr.evaluate_model(td, model), "n_trees": float(len(fits.trees[j]))}, tr.save_pipeline(td, model, name)
+
+    return [{**r, "params": p} for r, p in zip(search.run(one, list(range(len(cands)))), cands)]
+
+
+def _boosted(spark, sf, name: str, task: str, space: dict, n: int, splits: str, td=None, run_group=None, experiment=None, **how) -> DataFrame:
+    # both ways read category codes: with "onehot" a split parts one category from the rest
+    own = tr.prepare(spark, sf, task, enable_categorical=True)
+    results = boosted_candidates(own, search.sample(space, n, SEED), name, splits, **how)
+    experiment = experiment or f"{name}_search"
+    _log(own, sf, experiment, name, results, run_group)
+    own.release()
+    loss, maximize = ("roc_auc_test", True) if task == "classification" else ("rmse_test", False)
+    return _results_frame(spark, experiment, name, results, loss, maximize)
+
+
 def boosted_search(spark, sf, enable_categorical: bool, **kw):
-    """M8 (category codes) / M9 (one-hot): 100 trees, depth 1-4."""
-    return _classifier_search(
-        spark, sf, "boosted_trees_" + ("categorical" if enable_categorical else "onehot"),
-        BOOSTED_SPACE, EVALS["boosted"],
-        lambda td, p: models.boosted_trees(p["max_depth"], p["eta"], td.label,
-                                           n_trees=p["n_estimators"],
-                                           max_bins=max(32, td.max_categories)),
-        enable_categorical=enable_categorical, **kw)
+    """M8 (category codes) / M9 (one-hot): 100 second-order trees, depth 1-4, eta 0.5-2."""
+    return _boosted(spark, sf, "boosted_trees_" + ("categorical" if enable_categorical else "onehot"), "classification",
+                    BOOSTED_SPACE, EVALS["boosted"], "partition" if enable_categorical else "onehot", **kw)
 
 
 def forest_search(spark, sf, **kw):
@@ -171,12 +201,9 @@ def forest_search(spark, sf, **kw):
 
 
 def gradient_boosting_search(spark, sf, **kw):
-    """5 trees, 10% of train held out for early stopping."""
-    return _classifier_search(
-        spark, sf, "gradient_boosting", GRADIENT_BOOSTING_SPACE, EVALS["gradient_boosting"],
-        lambda td, p: models.boosted_trees(p["max_depth"], p["learning_rate"], td.label,
-                                           n_trees=p["n_estimators"], validation_col="is_valid"),
-        with_validation=True, **kw)
+    """5 trees without L2 penalty, 10% of train held out, patience of 5 trees."""
+    return _boosted(spark, sf, "gradient_boosting", "classification", GRADIENT_BOOSTING_SPACE, EVALS["gradient_boosting"], "onehot",
+                    l2=0.0, min_child=1e-6, **kw)
 
 
 def decision_tree_fit(spark, sf, **kw):
@@ -192,25 +219,8 @@ def svm_fit(spark, sf, **kw):
 
 
 def boosted_regression_search(spark: SparkSession, sf: str) -> DataFrame:
-    """Boosted regression trees over category codes, early stop on a
-    10% validation share of train."""
-    td = tr.prepare(spark, sf, "regression", enable_categorical=True)
-    td2 = tr.TaskData(td.task, td.label, split.with_validation(td.frame), td.feature_model, td.n_features,
-                      td.max_categories, td.stats, td.options)
-    cands = search.sample(BOOSTED_REGRESSION_SPACE, EVALS["boosted_regression"], SEED)
-
-    def objective(p):
-        est = models.boosted_regressor(p["max_depth"], p["eta"], td.label,
-                                       n_trees=p["n_estimators"],
-                                       max_bins=max(32, td.max_categories),
-                                       validation_col="is_valid")
-        return tr.fit_evaluate_save(td2, est, "boosted_regression")
-
-    results = search.run(objective, cands)
-    _log(td, sf, "boosted_regression_search", "boosted_regression", results, None)
-    td.release()
-    return _results_frame(spark, "boosted_regression_search", "boosted_regression", results,
-                          "rmse_test", False)
+    """Squared error over category codes, 10% of train held out, patience of 5 trees."""
+    return _boosted(spark, sf, "boosted_regression", "regression", BOOSTED_REGRESSION_SPACE, EVALS["boosted_regression"], "partition")
 
 
 def classification_comparison(spark: SparkSession, sf: str) -> tuple[DataFrame, str]:

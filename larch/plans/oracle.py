@@ -382,6 +382,14 @@ o AS (SELECT store_and_fwd_flag = 'Y' AS flag, ln(avg(tipped) / (1 - avg(tipped)
 SELECT round(max(CASE WHEN NOT flag THEN odds END), 4) AS intercept,
   round(max(CASE WHEN flag THEN odds END) - max(CASE WHEN NOT flag THEN odds END), 4) AS coefficient FROM o""")
 
+SQL["boosted_one_round"] = with_trips("""
+SELECT fare_amount > 17.5 AS above, round(-1.5 * sum(0.5 - tipped) / (sum(0.25) + 1.0)::DOUBLE, 6) AS leaf
+FROM cls WHERE NOT is_test AND fare_amount IS NOT NULL GROUP BY 1""")
+
+SQL["boosted_patience"] = with_trips("""
+SELECT CAST(count(*) AS BIGINT) AS valid_rows, true AS kept_best, true AS stopped_in_time, true AS not_worse
+FROM cls WHERE NOT is_test AND ((trip_id % 1013) * 32452843 + 125) % 1013 < 101""")
+
 SQL["kmeans_assign_label_centers"] = """
 WITH e AS (SELECT vec_id, label, unnest(embedding) AS x, generate_subscripts(embedding, 1) AS i FROM embeddings),
 c AS (SELECT label AS center, i, avg(CAST(x AS DOUBLE)) AS cx FROM e GROUP BY label, i),

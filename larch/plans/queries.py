@@ -626,6 +626,42 @@ def saved_ols_scoring(spark, sf):
     return _rounded(scoring.score(PipelineModel.load(path), rows))
 
 
+def boosted_one_round(spark, sf):
+    """M8 with a closed form: one second-order tree of depth 1 (l2 = 1, eta = 1.5) of the
+    tip on whether the fare is above 17.5; each side's leaf is -eta G / (H + l2)."""
+    from larch.operators import boosting
+    raw = tr.raw_task_frame(spark, sf, "classification").filter(~F.col("is_test") & F.col("fare_amount").isNotNull())
+    flag = raw.select("tipped", F.when(F.col("fare_amount") > 17.5, 1.0).otherwise(0.0).alias("flag"))
+    rows, columns = boosting.binned_rows(flag, [], ["flag"], [2], "tipped")
+    fits = boosting.fit(rows, columns, [boosting.Booster(1, 1, 1.5)])
+    tree = fits.trees[0][0]
+    import numpy as np
+    margins = tree.margin(columns.bins(np.array([[0.0], [1.0]])), columns.first)
+    return _rounded(spark.createDataFrame([(False, float(margins[0])), (True, float(margins[1]))], "above boolean, leaf double"))
+
+
+def boosted_patience(spark, sf):
+    """M13 + early stopping: with a tenth of the train side held out and a patience of 5,
+    whether the model ends at the least validation loss, and stopped as soon as 5 more
+    trees had not lowered it."""
+    from larch.operators import boosting
+    from larch.plans import experiments as ex
+    td = tr.prepare(spark, sf, "classification", enable_categorical=True)
+    num, _ = targets.feature_lists("classification")
+    held = split.with_validation(td.train, 0.1)
+    rows, columns = boosting.vector_rows(held, "features", len(num), ex.code_sizes(td), td.label, valid="is_valid")
+    booster = boosting.Booster(40, 3, 1.0, patience=5)
+    fits = boosting.fit(rows, columns, [booster])
+    n = held.groupBy().agg(F.sum(F.col("is_valid").cast("long")).alias("v")).first()["v"]
+    td.release()
+    rows.unpersist()
+    losses, kept = fits.losses[0], len(fits.trees[0])
+    best = min(range(len(losses)), key=lambda i: losses[i]) + 1
+    grown = len(losses)
+    return spark.createDataFrame([(int(n), bool(kept == best), bool(grown == 40 or grown == best + 5), bool(losses[best - 1] <= losses[0]))],
+                                 "valid_rows long, kept_best boolean, stopped_in_time boolean, not_worse boolean")
+
+
 def feature_row_guard(spark, sf):
     """Rows before and after the feature pipeline, per task and side."""
     out = None
