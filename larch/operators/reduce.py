@@ -22,6 +22,9 @@ from larch.operators import split
 MIN_PAIR_COUNT = 10
 SAMPLE_FRACTION = 1.0
 
+#: Rows of a file of the reduced trips, at most.
+ROWS_PER_FILE = 2_000_000
+
 MONTH = "year_month"
 PAIR = "PU_DO"
 
@@ -77,12 +80,15 @@ def top_pairs(counts: DataFrame, n: int = 5) -> DataFrame:
                   .filter(F.col("rank") <= n))
 
 
-def write_reduced(df: DataFrame, path: str, files_per_month: int = 8, key: str = "trip_id") -> None:
-    """S3: one directory per month, with ``files_per_month`` files each (rows
-    are dealt out by month and a salt of the key, so a large month is written
-    by several tasks and no task writes a sliver of every month)."""
-    salt = F.pmod(F.xxhash64(key), F.lit(files_per_month))
-    df.repartition(MONTH, salt).write.mode("overwrite").partitionBy(MONTH).parquet(path)
+def write_reduced(df: DataFrame, path: str, rows_per_file: int = ROWS_PER_FILE, key: str = "trip_id") -> None:
+    """S3: one directory per month, with as many files as its rows ask for: the rows
+    of each month are counted (A1's partial aggregate), and a salt of the key deals them
+    out over that many tasks. A small month is one file; no file has more than
+    ``rows_per_file`` rows, though two salts may meet in one task."""
+    files = df.groupBy(MONTH).agg(F.ceil(F.count("*") / F.lit(rows_per_file)).alias("_files"))
+    salted = df.join(files, MONTH).withColumn("_salt", F.pmod(F.xxhash64(key), F.col("_files"))).drop("_files")
+    salted.repartition(MONTH, "_salt").drop("_salt").write.mode("overwrite").option(
+        "maxRecordsPerFile", rows_per_file).partitionBy(MONTH).parquet(path)
 
 
 def read_reduced(spark, path: str, months: list[str] | None = None) -> DataFrame:

@@ -89,6 +89,9 @@ QUERIES = {
     "saved_ols_scoring": q.saved_ols_scoring,
     "feature_row_guard": q.feature_row_guard,
     "boosted_one_round": q.boosted_one_round,
+    "search_candidates": q.search_candidates,
+    "monthly_files_summary": q.monthly_files_summary,
+    "next_month_scoring": q.next_month_scoring,
     "boosted_patience": q.boosted_patience,
 }
 

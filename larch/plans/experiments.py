@@ -37,21 +37,26 @@ LEARNING_CURVE_FOLDS = 10
 LEARNING_CURVE_FRACTIONS = [round(0.1 * i, 1) for i in range(1, 11)]
 
 
-def _results_frame(spark: SparkSession, experiment: str, model_type: str,
+def results_frame(spark: SparkSession, experiment: str, model_type: str,
                    results: list[dict], loss: str, maximize: bool) -> DataFrame:
-    """One row per run with params and metrics as columns."""
-    best = search.best(results, loss, maximize) if results else None
+    """One row per run with params and metrics as columns; the best is found by a query."""
     rows = []
     for i, r in enumerate(results):
-        d = {"experiment": experiment, "model_type": r.get("model_type", model_type),
-             "candidate": i}
+        d = {"experiment": experiment, "model_type": r.get("model_type", model_type), "candidate": i}
         d.update({f"param_{k}": float(v) for k, v in r["params"].items()
                   if isinstance(v, (int, float))})
         d.update({k: (None if v is None else float(v)) for k, v in r["metrics"].items()})
-        d["is_best"] = r is best
         rows.append(d)
     keys = sorted({k for d in rows for k in d})
-    return spark.createDataFrame([Row(**{k: d.get(k) for k in keys}) for d in rows])
+    table = spark.createDataFrame([Row(**{k: d.get(k) for k in keys}) for d in rows])
+    return with_best(table, loss, maximize)
+
+
+def with_best(table: DataFrame, loss: str, maximize: bool) -> DataFrame:
+    """H3: flags the candidate of the best metric (the first on ties)."""
+    m = -F.col(loss) if maximize else F.col(loss)
+    best = table.where(F.col(loss).isNotNull()).agg(F.min_by("candidate", F.struct(m, "candidate")).alias("_best"))
+    return table.join(best, F.col("candidate") == F.col("_best"), "left").withColumn("is_best", F.col("_best").isNotNull()).drop("_best")
 
 
 def _log(td: tr.TaskData, sf: str, experiment: str, model_type: str, results: list[dict], run_group: str | None) -> None:
@@ -77,7 +82,7 @@ def linear_search(spark: SparkSession, sf: str, kind: str, drop_first: bool = Fa
     results = linear_candidates(td, kind, cands)
     experiment = experiment or f"{kind}_search"
     _log(td, sf, experiment, kind, results, run_group)
-    out = _results_frame(spark, experiment, kind, results, "rmse_test", False)
+    out = results_frame(spark, experiment, kind, results, "rmse_test", False)
     if own:
         td.release()
     return out
@@ -133,7 +138,7 @@ def _classifier_search(spark, sf, name, space, n, make, enable_categorical=False
     results = search.run(objective, cands)
     experiment = experiment or f"{name}_search"
     _log(td, sf, experiment, name, results, run_group)
-    out = _results_frame(spark, experiment, name, results, "roc_auc_test", True)
+    out = results_frame(spark, experiment, name, results, "roc_auc_test", True)
     if own:
         td.release()
     return out
@@ -182,7 +187,7 @@ def _boosted(spark, sf, name: str, task: str, space: dict, n: int, splits: str,
     _log(own, sf, experiment, name, results, run_group)
     own.release()
     loss, maximize = ("roc_auc_test", True) if task == "classification" else ("rmse_test", False)
-    return _results_frame(spark, experiment, name, results, loss, maximize)
+    return results_frame(spark, experiment, name, results, loss, maximize)
 
 
 def boosted_search(spark, sf, enable_categorical: bool, **kw):

@@ -359,22 +359,48 @@ SQL["elastic_net_path_alphas"] = _alphas_sql(0.5)
 SQL["path_optimality"] = """SELECT path, CAST(k AS BIGINT) AS alpha_idx, true AS optimal
 FROM (VALUES ('ridge', 10), ('lasso', 30), ('elastic_net', 30)) p(path, n), range(30) r(k) WHERE k < n"""
 
-# The ridge search's seeded draws (lognormal(0, 1), seed 123).
-RIDGE_ALPHAS = [0.37190332022766404, 0.692264859626372, 3.6252572861920394, 1.2140652257174613, 2.5098698510797406]
 
-SQL["ridge_one_feature_search"] = with_trips(""",
+
+def _u(name: str, k: int) -> str:
+    """The uniform number of candidate i (a column)."""
+    return f"((CAST('0x' || substr(md5('123:' || i || ':{name}:{k}'), 1, 8) AS BIGINT) + 0.5::DOUBLE) / 4294967296.0::DOUBLE)"
+
+
+def _lognormal(name: str, mu: float, sigma: float) -> str:
+    return f"exp({mu}::DOUBLE + {sigma}::DOUBLE * sqrt(-2 * ln({_u(name, 1)})) * cos(2 * pi() * {_u(name, 2)}))"
+
+
+SQL["search_candidates"] = with_trips(f"""
+SELECT m.year_month, CAST(i AS BIGINT) AS candidate, round({_lognormal('alpha', -1, 0.5)}, 6) AS alpha,
+  round(0.5::DOUBLE + 1.5::DOUBLE * {_u('eta', 1)}, 6) AS eta, CAST(1 + floor(4 * {_u('max_depth', 1)}) AS INTEGER) AS max_depth,
+  floor(3 + 2 * {_u('leaf_depth', 1)} + 0.5::DOUBLE)::DOUBLE AS leaf_depth
+FROM (SELECT DISTINCT year_month FROM trips) m, range(20) r(i)""")
+
+SQL["ridge_one_feature_search"] = with_trips(f""",
 t AS (SELECT passenger_count AS x, duration AS y, is_test FROM reg WHERE passenger_count IS NOT NULL),
 s AS (SELECT count(*) AS n, avg(x) AS mx, avg(y) AS my, sum(x * x) - count(*) * avg(x) * avg(x) AS sxx,
         sum(x * y) - count(*) * avg(x) * avg(y) AS sxy FROM t WHERE NOT is_test),
-c AS (SELECT CAST(k AS BIGINT) AS candidate, alpha, my - sxy / (sxx + alpha) * mx AS b0, sxy / (sxx + alpha) AS b1
-      FROM s, (VALUES """ + ", ".join(f"({k}, CAST({a!r} AS DOUBLE))" for k, a in enumerate(RIDGE_ALPHAS)) + """) v(k, alpha)),
+v AS (SELECT i, {_lognormal('alpha', 0, 1)} AS alpha FROM range(5) r(i)),
+c AS (SELECT CAST(i AS BIGINT) AS candidate, alpha, my - sxy / (sxx + alpha) * mx AS b0, sxy / (sxx + alpha) AS b1 FROM s, v),
 e AS (SELECT candidate, alpha, b0, b1,
         sqrt(avg(CASE WHEN NOT is_test THEN (y - b0 - b1 * x) * (y - b0 - b1 * x) END)) AS rmse_train,
         sqrt(avg(CASE WHEN is_test THEN (y - b0 - b1 * x) * (y - b0 - b1 * x) END)) AS rmse_test
       FROM c, t GROUP BY candidate, alpha, b0, b1)
 SELECT candidate, round(alpha, 6) AS alpha, round(b0, 6) AS intercept, round(b1, 6) AS coefficient,
   round(rmse_train, 6) AS rmse_train, round(rmse_test, 6) AS rmse_test,
-  row_number() OVER (ORDER BY rmse_test, candidate) AS rank FROM e""")
+  row_number() OVER (ORDER BY rmse_test, candidate) AS rank, row_number() OVER (ORDER BY rmse_test, candidate) = 1 AS wins FROM e""")
+
+_MONTHS = """,
+f AS (SELECT *, event_month FROM (SELECT tp.*, 1 + trip_id % 4 AS event_month FROM tp)),
+d AS (SELECT *, (epoch_us(lpep_dropoff_datetime) - epoch_us(lpep_pickup_datetime)) / 60000000.0::DOUBLE AS y FROM f)"""
+SQL["monthly_files_summary"] = with_trips(_MONTHS + """
+SELECT '2022-0' || event_month AS year_month, count(*) AS trips, count(DISTINCT PU_DO) AS distinct_pairs,
+  CAST(sum(CASE WHEN tip_amount > 0 THEN 1 ELSE 0 END) AS BIGINT) AS tipped FROM f GROUP BY event_month""")
+SQL["next_month_scoring"] = with_trips(_MONTHS + """,
+g AS (SELECT PU_DO, count(*) AS n, sum(y) AS s FROM d WHERE event_month < 4 AND y BETWEEN 1 AND 60 GROUP BY PU_DO),
+b AS (SELECT sum(s / (n + 1.0::DOUBLE)) / sum(n / (n + 1.0::DOUBLE)) AS b FROM g)
+SELECT d.trip_id, round(b.b + coalesce((g.s - g.n * b.b) / (g.n + 1.0::DOUBLE), 0), 6) AS predicted_duration
+FROM d LEFT JOIN g USING (PU_DO), b WHERE d.event_month = 4""")
 
 SQL["logistic_one_flag"] = with_trips(""",
 o AS (SELECT store_and_fwd_flag = 'Y' AS flag, ln(avg(tipped) / (1 - avg(tipped))) AS odds

@@ -322,11 +322,29 @@ def ridge_one_feature_search(spark, sf):
     scored = linear.predictions(raw, found)
     metrics = evaluate.regression_reports(scored, "duration", [f"pred_{j}" for j in range(len(fits))])
     raw.unpersist()
-    order = sorted(range(len(fits)), key=lambda j: (metrics[j]["rmse_test"], j))
-    return _rounded(spark.createDataFrame(
-        [(j, alphas[j], fits[j][0], float(fits[j][1][0]), metrics[j]["rmse_train"], metrics[j]["rmse_test"], order.index(j) + 1)
-         for j in range(len(fits))],
-        "candidate long, alpha double, intercept double, coefficient double, rmse_train double, rmse_test double, rank long"))
+    from larch.sources import runs as runlog
+    group = runlog.new_group()
+    path = unique_path(spark, "one_feature_runs")
+    for j, a in enumerate(alphas):  # a log call per run, as runs end one by one
+        runlog.log_runs(spark, [runlog.run_row("ridge_one_feature", "ridge", {"candidate": j, "alpha": a}, {
+            **metrics[j], "intercept": fits[j][0], "coefficient": float(fits[j][1][0])}, run_group=group)], path)
+    runs = runlog.read_runs(spark, path, run_group=group)
+    board = runlog.leaderboard(runs, "rmse_test", False)
+    best = runlog.winner(runs, "rmse_test", False).select(F.col("run_id").alias("best_id"))
+    m = {c: F.col("metrics")[c] for c in ("intercept", "coefficient", "rmse_train")}
+    return _rounded(board.join(best, F.col("run_id") == F.col("best_id"), "left").select(
+        F.col("params")["candidate"].cast("long").alias("candidate"), F.col("params")["alpha"].cast("double").alias("alpha"),
+        *[c.alias(n) for n, c in m.items()], "rmse_test", F.col("rank").cast("long").alias("rank"), F.col("best_id").isNotNull().alias("wins")))
+
+
+def search_candidates(spark, sf):
+    """H1: all four priors as a table of seeded draws, 20 candidates per trip month."""
+    from larch.operators import search
+    space = {"alpha": search.lognormal(-1, 0.5), "eta": search.uniform(0.5, 2), "max_depth": search.choice(1, 2, 3, 4),
+             "leaf_depth": search.quniform(3, 5, 1)}
+    months = ts.trips(spark, sf).select("year_month").distinct()
+    rows = months.select("year_month", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(19).cast("long"))).alias("candidate"))
+    return _rounded(rows.select("year_month", "candidate", *search.candidate_columns(space, 123)))
 
 
 def logistic_one_flag(spark, sf):
@@ -626,6 +644,19 @@ def saved_ols_scoring(spark, sf):
     return _rounded(scoring.score(PipelineModel.load(path), rows))
 
 
+def monthly_files_summary(spark, sf):
+    """S1 + S2: four monthly files in one scan, the month from the file's name."""
+    from larch.plans import monthly
+    return monthly.summary(spark, sf)
+
+
+def next_month_scoring(spark, sf):
+    """A ridge of the pairs fitted on three monthly files, saved, reloaded, and
+    applied to the file of the next month, which has neither label nor all pairs."""
+    from larch.plans import monthly
+    return _rounded(monthly.next_month(spark, sf))
+
+
 def boosted_one_round(spark, sf):
     """M8 with a closed form: one second-order tree of depth 1 (l2 = 1, eta = 1.5) of the
     tip on whether the fare is above 17.5; each side's leaf is -eta G / (H + l2)."""

@@ -31,6 +31,12 @@ RUNS_SCHEMA = T.StructType([
 ])
 
 
+#: A reader of one experiment or group opens its folders alone.
+FOLDERS = ("experiment", "run_group")
+#: A group of at most so many files is read as it is.
+MANY_FILES = 32
+
+
 def runs_path(spark: SparkSession) -> str:
     return workspace_path(spark, "runs")
 
@@ -45,7 +51,7 @@ def run_row(experiment: str, model_type: str, params: dict, metrics: dict,
         "experiment": experiment,
         "run_name": run_name,
         "model_type": model_type,
-        "run_group": run_group,
+        "run_group": run_group or new_group(),
         "tags": {k: str(v) for k, v in (tags or {}).items()},
         "params": {k: str(v) for k, v in params.items()},
         "metrics": {k: (None if v is None else float(v)) for k, v in metrics.items()},
@@ -55,9 +61,9 @@ def run_row(experiment: str, model_type: str, params: dict, metrics: dict,
 
 
 def log_runs(spark: SparkSession, rows: list[dict], path: str | None = None) -> str:
-    """Append run rows (one small file per call)."""
+    """Append run rows, in a folder per experiment and group."""
     path = path or runs_path(spark)
-    spark.createDataFrame(rows, RUNS_SCHEMA).coalesce(1).write.mode("append").parquet(path)
+    spark.createDataFrame(rows, RUNS_SCHEMA).coalesce(1).write.mode("append").partitionBy(*FOLDERS).parquet(path)
     return path
 
 
@@ -65,12 +71,30 @@ def new_group() -> str:
     return uuid.uuid4().hex
 
 
-def read_runs(spark: SparkSession, path: str | None = None, run_group: str | None = None) -> DataFrame:
-    """All runs ever logged, or those of one group."""
+def read_runs(spark: SparkSession, path: str | None = None, run_group: str | None = None, experiment: str | None = None) -> DataFrame:
+    """All runs ever logged, or those of one experiment or group, whose folders alone are read."""
     runs = spark.read.schema(RUNS_SCHEMA).parquet(path or runs_path(spark))
+    if experiment is not None:
+        runs = runs.filter(F.col("experiment") == experiment)
     return runs if run_group is None else runs.filter(F.col("run_group") == run_group)
 
 
+def compact_runs(spark: SparkSession, path: str, to: str) -> DataFrame:
+    """The run table written anew with one file per group (S4): each log call leaves a
+    small one. Old files stay until the caller has moved to the new table."""
+    read_runs(spark, path).repartition(*FOLDERS).write.partitionBy(*FOLDERS).parquet(to)
+    return read_runs(spark, to)
+
+
+def winner(runs: DataFrame, metric: str, maximize: bool) -> DataFrame:
+    """H3: per experiment and group, the run with the best metric (ties: the smallest
+    model type, parameters and id), by one aggregate."""
+    m = F.col("metrics")[metric]
+    key = F.struct((-m if maximize else m).alias("m"), "model_type", F.to_json("params").alias("p"), "run_id")
+    return runs.where(m.isNotNull()).groupBy("experiment", "run_group").agg(
+        F.min_by(F.struct("run_id", "model_type", "params", "metrics", "artifact"), key).alias("best")).select("experiment", "run_group", "best.*")
+
+
 def save_model(model: PipelineModel, path: str) -> str:
     """Fitted feature stages and model as one pipeline."""
     model.write().overwrite().save(path)
