@@ -10,13 +10,17 @@ with C, T the characters and tags below the node and LC, LT those inside links
 where a run of its own text counts as a child without tags. The node with the
 largest sum is the core of the page; the smallest density on its path to body
 is the threshold, and every node that reaches the threshold on the way down
-from body adds its own largest-sum node. A core inside an ``article`` stands
-for the whole article, and headings on the core's path are kept.
+from body adds its own largest-sum node. This walk runs on every page; an
+``article`` that it reaches with at least half the threshold is taken as a whole,
+each of several, and headings on the core's path are kept.
 
 Elements that are never content (scripts, forms, navigation, page headers and
 footers, asides, adverts, notices, reader comments) are left out beforehand, by
-tag, role, or a word of their class or id. ``header`` inside an article keeps
-its headings only.
+tag, role, or a word of their class or id. Text overrules a word: on a page
+without ``article`` or ``main``, an element stays that has most of the text outside
+links, and ten times as much as is outside worded elements; inside an article, one
+whose characters per tag are at least half the article's. ``header`` inside an
+article keeps its headings only.
 
 Text: character references decoded once, white space inside a block turned into
 one space and trimmed, blocks (block elements and line breaks) joined by "\\n".
@@ -253,12 +257,63 @@ def _text_of(tree: _Tree, out: list[bool], keep: list[bool]) -> str:
     return "\n".join(blocks)
 
 
+def _leads_to_article(tree: _Tree, inside: list[bool], density: list[float], threshold: float, top: int, core: int) -> bool:
+    """Whether an article that the walk reaches lies between ``top`` and ``core``, or
+    holds it, or is held by it: it is then kept as a whole instead of the core."""
+    i = core
+    while i != top:
+        if tree.tag[i] == "article":
+            return True
+        i = tree.parent[i]
+    stack = [core]
+    while stack:
+        i = stack.pop()
+        if tree.tag[i] == "article" and density[i] >= threshold:
+            return True
+        stack.extend(k for k in tree.kids[i] if isinstance(k, int) and inside[k])
+    return False
+
+
+def _overrule_words(tree: _Tree) -> None:
+    """Takes back what a word of a class has dropped where the text speaks against it."""
+    worded = [i for i, why in enumerate(tree.drop) if why == "word"]
+    if not worded:
+        return
+    tag, parent, n = tree.tag, tree.parent, len(tree.tag)
+    gone, link = [False] * n, [False] * n
+    chars, tags = [0] * n, [0] * n
+    article, holder = [-1] * n, [-1] * n  # nearest article, and topmost worded element inside it or the page
+    for i in range(1, n):
+        p = parent[i]
+        gone[i] = gone[p] or tree.drop[i] == "tag"
+        link[i] = link[p] or tag[i] == "a"
+        article[i] = i if tag[i] == "article" else article[p]
+        holder[i] = holder[p] if holder[p] >= 0 else (i if tree.drop[i] == "word" else -1)
+        if not gone[i] and not link[i]:
+            chars[i] = sum(len(" ".join(k.split())) for k in tree.kids[i] if isinstance(k, str))
+    plain = chars[:]  # of articles: without worded elements
+    for i in range(n - 1, 0, -1):
+        if not gone[i]:
+            chars[parent[i]] += chars[i]
+            tags[parent[i]] += tags[i] + 1
+            if tree.drop[i] != "word":
+                plain[parent[i]] += plain[i]
+    marked = any(tag[i] in ("article", "main") and holder[i] < 0 and plain[i] for i in range(n))
+    for i in worded:
+        a = article[parent[i]]
+        if not marked and 2 * chars[i] > chars[0] and 10 * plain[0] < chars[i]:
+            tree.drop[i] = ""
+        elif a >= 0 and holder[i] == i and tags[i] and 2 * chars[i] / tags[i] >= plain[a] / max(tags[a] - tags[i], 1):
+            tree.drop[i] = ""
+
+
 def main_text(html: str | None) -> str:
     """The main text of one page."""
     if not html:
         return ""
     tree = _Tree(html)
     tag, parent, kids, n = tree.tag, tree.parent, tree.kids, len(tree.tag)
+    _overrule_words(tree)
     out = _settle_drops(tree)
     body = tag.index("body") if "body" in tag else 0
     inside, link = [False] * n, [False] * n
@@ -298,21 +353,22 @@ def main_text(html: str | None) -> str:
     path = [core]
     while path[-1] != body:
         path.append(parent[path[-1]])
-    articles = [i for i in path if tag[i] == "article"]
-    if articles:
-        keep[articles[-1]] = True
-    else:
-        threshold, stack = min(density[i] for i in path), [body]
-        while stack:
-            i = stack.pop()
-            if density[i] >= threshold:
-                keep[best[i]] = True
-                if best[i] != i:
-                    stack.extend(k for k in kids[i] if isinstance(k, int) and inside[k])
-        for i in path:
-            for k in kids[i]:
-                if isinstance(k, int) and inside[k] and tag[k] in HEADINGS:
-                    keep[k] = True
+    threshold, stack = min(density[i] for i in path), [body]
+    while stack:
+        i = stack.pop()
+        if density[i] * (2 if tag[i] == "article" else 1) < threshold:
+            continue
+        if tag[i] == "article":
+            keep[i] = True
+            continue
+        if not _leads_to_article(tree, inside, density, threshold, i, best[i]):
+            keep[best[i]] = True
+        if best[i] != i or tag[best[i]] != "article":
+            stack.extend(k for k in kids[i] if isinstance(k, int) and inside[k])
+    for i in path:
+        for k in kids[i]:
+            if isinstance(k, int) and inside[k] and tag[k] in HEADINGS:
+                keep[k] = True
     return _text_of(tree, out, keep)
 
 

@@ -182,6 +182,23 @@ def test_main_text(html, text):
     assert main_text(html) == text
 
 
+PARAGRAPH = "<p>" + "The river carried the boats past the old town while people watched. " * 3 + "</p>"
+NOISE = "<div class='cookie-notice'>We use cookies to improve the service on this site.</div><nav><a href=x>Home</a></nav>"
+
+
+@pytest.mark.parametrize("body,kept", [
+    (f"<article><h1>A</h1>{PARAGRAPH * 3}</article><article><h2>B</h2>{PARAGRAPH * 2}</article>", 15),
+    (f"<div class='share-price-report'><h1>T</h1>{PARAGRAPH * 4}</div>", 12),
+    (f"<article>{PARAGRAPH * 3}<section class='related-work'><h2>Related</h2>{PARAGRAPH * 2}</section></article>", 15),
+    (f"<article>{PARAGRAPH * 3}<div id='feedback-loops'>{PARAGRAPH * 2}</div><div class='ad'>Buy now</div></article><div class='comments'>{PARAGRAPH}</div>", 15),
+    (f"<div id=text>{PARAGRAPH * 3}</div><div class='sidebar'>{PARAGRAPH}</div>", 9),
+])
+def test_text_overrules_class_words(body, kept):
+    """Pages without, with one and with several articles, and worded elements of text."""
+    text = main_text(f"<html><body>{NOISE}{body}</body></html>")
+    assert text.count("river") == kept and not any(w in text for w in ("cookies", "Home", "Buy"))
+
+
 def test_common_prefix_of_any_conversations(spark):
     t = "array<struct<role:string,text:string>>"
     rows = [([("u", "a"), ("assistant", "b")], [("u", "a"), ("assistant", "c"), ("u", "d")]), ([("u", "a")], [("u", "a")]), ([("u", "a")], [("u", "z")]),
