@@ -8,10 +8,11 @@ what the assistant says and the mark that ends its turn.
 Turns render as ``<|im_start|>role\\ntext<|im_end|>\\n``.
 
 The table of conversations holds no judgements, so the query makes its pairs:
-chosen is a conversation up to its last assistant turn; rejected is the same
-with that reply replaced by the last reply of the next conversation with one,
-in blocks of ``BLOCK`` consecutive ids (the last takes the first's). A block
-has at most ``BLOCK`` distinct ids, so no window grows with the input.
+chosen is a whole conversation; it forks at one of its replies, the one numbered
+conv_id modulo their count, and rejected ends there, with that reply replaced by the
+one at which the next conversation forks, in blocks of ``BLOCK`` consecutive ids
+(the last takes the first's). A block has at most ``BLOCK`` distinct ids, so no
+window grows with the input. Prompt and chosen completion hold every turn.
 
 Defined cases: a null role reads as "unknown", a null text as empty; turns sort
 by turn, role, text, repeated rows stay as turns; rows with a null conv_id form
@@ -93,16 +94,18 @@ def format_preferences(pairs: DataFrame, chosen: str = "chosen", rejected: str =
 
 
 def replaced_reply_pairs(convs: DataFrame, block: int = BLOCK) -> DataFrame:
-    """conv_id, chosen, rejected (null without a partner or a reply)."""
-    replies = F.transform("turns", lambda t, i: F.when(t["role"] == TRAINED_ROLE, i + 1))
-    at = convs.withColumn("k", F.array_max(replies)).withColumn("chosen", F.when(F.col("k").isNull(), F.col("turns")).otherwise(F.slice("turns", 1, F.col("k"))))
-    reply = F.when(F.col("k").isNotNull(), F.element_at("chosen", -1)["text"])
+    """conv_id (a number), chosen, rejected (null without a partner or a reply)."""
+    replies = F.filter(F.transform("turns", lambda t, i: F.when(t["role"] == TRAINED_ROLE, i + 1)), lambda i: i.isNotNull())
+    at = convs.withColumn("replies", replies).withColumn(
+        "k", F.when(F.size("replies") > 0, F.element_at("replies", (F.pmod(F.coalesce("conv_id", F.lit(0)), F.greatest(F.size("replies"), F.lit(1))) + 1).cast("int"))))
+    reply = F.when(F.col("k").isNotNull(), F.element_at("turns", F.col("k"))["text"])
     w = Window.partitionBy(F.floor(F.col("conv_id") / block), F.col("k").isNull()).orderBy("conv_id")
     whole = w.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     partner = F.when(F.count("*").over(whole) > 1, F.coalesce(F.lead("reply").over(w), F.first("reply").over(whole)))
-    return at.withColumn("reply", reply).withColumn("partner", partner).select(
-        "conv_id", "chosen",
-        F.when(F.col("partner").isNotNull(), F.concat(F.slice("chosen", 1, F.col("k") - 1), F.array(F.struct(F.lit(TRAINED_ROLE).alias("role"), F.col("partner").alias("text"))))).alias("rejected"))
+    other = F.struct(F.lit(TRAINED_ROLE).alias("role"), F.col("partner").alias("text"))
+    return at.withColumn("reply", reply).withColumn("partner", F.when(F.col("k").isNotNull(), partner)).select(
+        "conv_id", F.col("turns").alias("chosen"),
+        F.when(F.col("partner").isNotNull(), F.concat(F.slice("turns", 1, F.col("k") - 1), F.array(other))).alias("rejected"))
 
 
 def _written(mask: str) -> Column:
@@ -121,29 +124,37 @@ WITH t AS (
   SELECT conv_id, coalesce(role, 'unknown') AS role, coalesce(text, '') AS text,
          row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, coalesce(role, 'unknown'), coalesce(text, '')) AS i
   FROM conversations
-), k AS (
-  SELECT conv_id, max(CASE WHEN role = 'assistant' THEN i END) AS k, count(*) AS n FROM t GROUP BY conv_id
+), a AS (
+  SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY i) - 1 AS nth, count(*) OVER (PARTITION BY conv_id) AS replies FROM t WHERE role = 'assistant'
+), f AS (
+  SELECT conv_id, i AS k, text AS reply FROM a WHERE nth = coalesce(conv_id, 0) % replies
 ), r AS (
-  SELECT k.conv_id, k.k, t.text AS reply,
-         coalesce(lead(t.text) OVER w, first_value(t.text) OVER w) AS partner,
-         count(*) OVER (PARTITION BY floor(k.conv_id / 64.0)) AS peers
-  FROM k JOIN t ON t.conv_id IS NOT DISTINCT FROM k.conv_id AND t.i = k.k
-  WINDOW w AS (PARTITION BY floor(k.conv_id / 64.0) ORDER BY k.conv_id)
+  SELECT conv_id, k, reply, coalesce(lead(reply) OVER w, first_value(reply) OVER w) AS partner,
+         count(*) OVER (PARTITION BY floor(conv_id / 64.0)) AS peers
+  FROM f WINDOW w AS (PARTITION BY floor(conv_id / 64.0) ORDER BY conv_id)
+), n AS (
+  SELECT conv_id, count(*) AS n, arg_max(role, i) AS last_role FROM t GROUP BY conv_id
 ), p AS (
-  SELECT k.conv_id, reply, CASE WHEN peers > 1 THEN partner END AS partner,
-         CASE WHEN k.k IS NULL THEN k.n WHEN peers > 1 AND partner = reply THEN k.k ELSE k.k - 1 END AS np
-  FROM k LEFT JOIN r ON r.conv_id IS NOT DISTINCT FROM k.conv_id
-), m AS (
-  SELECT p.*, reply IS NOT NULL AND (partner IS NULL OR partner <> reply) AS split,
-         (SELECT coalesce(string_agg('<|im_start|>' || t.role || chr(10) || t.text || '<|im_end|>' || chr(10), '' ORDER BY t.i), '')
-          FROM t WHERE t.conv_id IS NOT DISTINCT FROM p.conv_id AND t.i <= p.np) AS prompt
-  FROM p
+  SELECT n.conv_id, CASE WHEN peers > 1 THEN partner END AS partner, peers > 1 AND partner <> reply AS split,
+         CASE WHEN k IS NULL OR peers <= 1 THEN n.n - CASE WHEN last_role = 'assistant' THEN 1 ELSE 0 END
+              WHEN partner = reply THEN k ELSE k - 1 END AS np
+  FROM n LEFT JOIN r ON r.conv_id IS NOT DISTINCT FROM n.conv_id
+), x AS (
+  SELECT t.conv_id, t.i, t.role, length(t.role) AS role_chars, length(t.text) AS chars, t.i <= p.np AS in_prompt,
+         '<|im_start|>' || t.role || chr(10) || t.text || '<|im_end|>' || chr(10) AS rendered
+  FROM t JOIN p ON t.conv_id IS NOT DISTINCT FROM p.conv_id
+), y AS (
+  SELECT *, coalesce(sum(length(rendered)) OVER (PARTITION BY conv_id, in_prompt ORDER BY i ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) + 13 + role_chars AS start
+  FROM x
+), z AS (
+  SELECT conv_id, coalesce(string_agg(CASE WHEN in_prompt THEN rendered END, '' ORDER BY i), '') AS prompt,
+         coalesce(string_agg(CASE WHEN NOT in_prompt THEN rendered END, '' ORDER BY i), '') AS chosen_completion,
+         coalesce(string_agg(CASE WHEN NOT in_prompt AND role = 'assistant' THEN CAST(start AS BIGINT) || '-' || CAST(start + chars + 10 AS BIGINT) END, ',' ORDER BY i), '') AS chosen_mask
+  FROM y GROUP BY conv_id
 )
-SELECT conv_id, CAST(np AS INTEGER) AS n_prompt_turns, prompt,
-       CASE WHEN split THEN '<|im_start|>assistant' || chr(10) || reply || '<|im_end|>' || chr(10) ELSE '' END AS chosen_completion,
+SELECT p.conv_id, CAST(np AS INTEGER) AS n_prompt_turns, prompt, chosen_completion, chosen_mask,
        CASE WHEN partner IS NULL THEN NULL
             WHEN split THEN '<|im_start|>assistant' || chr(10) || partner || '<|im_end|>' || chr(10) ELSE '' END AS rejected_completion,
-       CASE WHEN split THEN '22-' || (32 + length(reply)) ELSE '' END AS chosen_mask,
        CASE WHEN partner IS NULL THEN NULL WHEN split THEN '22-' || (32 + length(partner)) ELSE '' END AS rejected_mask
-FROM m
+FROM p JOIN z ON z.conv_id IS NOT DISTINCT FROM p.conv_id
 """

@@ -137,7 +137,21 @@ def test_odd_conversations(spark):
     rows = {r["conv_id"]: r for r in format_preferences(replaced_reply_pairs(conversations(turns))).collect()}
     assert set(rows) == {1, 2, 3, None, 70}
     assert rows[1]["rejected_completion"] == "<|im_start|>assistant\nb<|im_end|>\n" and rows[1]["n_prompt_turns"] == 1
-    assert rows[2]["prompt"].startswith("<|im_start|>unknown\n<|im_end|>\n") and rows[2]["n_prompt_turns"] == 2
+    assert rows[2]["prompt"].startswith("<|im_start|>unknown\n<|im_end|>\n") and rows[2]["n_prompt_turns"] == 1
+    assert rows[2]["chosen_completion"] == "<|im_start|>assistant\nb<|im_end|>\n" * 2 and len(rows[2]["chosen_mask"]) == 2
     assert rows[3]["rejected_completion"] is None and rows[3]["chosen_completion"] == ""
     assert rows[70]["chosen_completion"] == "<|im_start|>assistant\nalone<|im_end|>\n" and rows[70]["rejected_mask"] is None
     assert format_preferences(replaced_reply_pairs(conversations(turns.limit(0)))).collect() == []
+
+
+def test_every_turn_is_rendered_once(spark):
+    """Prompt and chosen completion hold all turns; forks lie at any reply, also before later turns."""
+    from larch.llm.catalog import QUERIES
+    from tests.conftest import SF001
+
+    whole = {r["conv_id"]: r["t"] for r in spark.sql(f"""
+        SELECT conv_id, concat_ws('', transform(sort_array(collect_list(struct(turn, coalesce(role, 'unknown') AS role, coalesce(text, '') AS text))),
+            t -> concat('<|im_start|>', t.role, '\n', t.text, '<|im_end|>\n'))) AS t FROM parquet.`{SF001}/conversations.parquet` GROUP BY conv_id""").collect()}
+    rows = QUERIES["op7_preference_formatting"](spark, SF001).collect()
+    assert {r["conv_id"]: r["prompt"] + r["chosen_completion"] for r in rows} == whole
+    assert sum((r["chosen_completion"] or "").count("<|im_start|>") > 1 and r["rejected_completion"] is not None for r in rows) > 0
