@@ -2,7 +2,7 @@
 
 Only ``doc_id, n_chars, lang, source`` are read from ``documents`` (the
 text column is pruned at the scan). Labels join their documents on
-``doc_id``; the label table is broadcast only under the checked bound.
+``doc_id``; how the join moves them is left to Spark.
 """
 
 from __future__ import annotations

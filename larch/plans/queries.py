@@ -348,14 +348,13 @@ def search_candidates(spark, sf):
 
 
 def logistic_one_flag(spark, sf):
-    """M7 with a closed form: unpenalized logistic regression of the tip on the
-    stored-trip flag; the coefficients are log odds (4 decimals)."""
-    from pyspark.ml.classification import LogisticRegression
+    """M7 with a closed form: logistic regression of the tip on the stored-trip flag
+    with next to no penalty (C = 1e9); the coefficients are log odds (4 decimals)."""
     from pyspark.ml.feature import VectorAssembler
     raw = tr.raw_task_frame(spark, sf, "classification").filter(~F.col("is_test") & F.col("store_and_fwd_flag").isNotNull())
     flag = raw.select("tipped", (F.col("store_and_fwd_flag") == "Y").cast("double").alias("flag"))
     d = VectorAssembler(inputCols=["flag"], outputCol="features").transform(flag)
-    m = LogisticRegression(featuresCol="features", labelCol="tipped", regParam=0.0, tol=1e-12, maxIter=500).fit(d)
+    m = models.logistic_regression(1e9, d.count(), "tipped", max_iter=500, tol=1e-12).fit(d)
     return spark.createDataFrame([(round(m.intercept, 4), round(float(m.coefficients[0]), 4))], "intercept double, coefficient double")
 
 
