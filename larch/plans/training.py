@@ -133,7 +133,7 @@ def scores(td: TaskData, model) -> DataFrame:
     if td.task == "classification":
         if "probability" in pred.columns:
             pred = pred.withColumn("p1", models.p_one("probability"))
-        else:
+        elif "p1" not in pred.columns:  # boosted trees give it themselves
             pred = pred.withColumn("p1", models.margin("rawPrediction"))
     return pred
 
@@ -143,7 +143,7 @@ def evaluate_model(td: TaskData, model, threshold: float = 0.5) -> dict:
     pred = scores(td, model)
     if td.task == "regression":
         return evaluate.regression_report(pred, td.label).first().asDict()
-    if "probability" in pred.columns:
+    if "probability" in pred.columns or "rawPrediction" not in pred.columns:
         rep = evaluate.classification_report(pred, td.label, p1="p1", threshold=threshold)
     else:
         rep = evaluate.classification_report(pred, td.label, predicted="prediction", score="p1")
