@@ -89,3 +89,27 @@ def test_many_models_equal_single_fits(spark):
     nobody = many.fit_many(rows, 3, [1.0], lambda f: np.zeros((len(f), 1), dtype=bool))
     assert nobody.n[0] == 0 and not nobody.weights.any()
     rows.unpersist()
+
+
+def test_a_comparison_prepares_each_kind_of_features_once(spark, tmp_path, monkeypatch):
+    import datetime as dt
+
+    from larch.plans import training as tr
+
+    start = dt.datetime(2022, 1, 1)
+    kinds = ["view", "click", "purchase", "error"]
+    rows = [(i, start + dt.timedelta(minutes=37 * i), (i * i) % 3, kinds[i % 4], float(i * 7919 % 97) + 0.5, "{}") for i in range(900)]
+    spark.createDataFrame(rows, "event_id long, ts timestamp_ntz, user_id long, event_type string, value double, props string").write.parquet(
+        str(tmp_path / "events.parquet"))
+    made, prepare = [], tr.prepare
+
+    def counted(*a, **k):
+        made.append(bool(k.get("enable_categorical")))
+        return prepare(*a, **k)
+
+    monkeypatch.setattr(tr, "prepare", counted)
+    runs, group = ex.classification_comparison(spark, str(tmp_path))
+    assert sorted(made) == [False, True]
+    assert {r["model_type"]: r["n"] for r in runs.groupBy("model_type").agg(F.count("*").alias("n")).collect()} == {
+        "baseline": 1, "logistic_regression": 5, "decision_tree": 1, "random_forest": 5, "gradient_boosting": 5, "linear_svm": 1}
+    assert runs.where("run_group != '" + group + "'").count() == 0
