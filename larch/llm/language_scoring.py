@@ -37,11 +37,14 @@ read; no text is cut.
 from __future__ import annotations
 
 import math
+from collections import defaultdict
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import count
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -74,8 +77,8 @@ END = b" "
 ENDINGS = 128
 
 
-def tokens_of(text: str | None) -> list[bytes]:
-    words = (text or "").encode("utf-8", "surrogatepass").lower().split()  # of bytes: ASCII only
+def tokens_of(text: bytes | None) -> list[bytes]:
+    words = (text or b"").lower().split()  # of bytes: ASCII only
     words.append(END)
     return words
 
@@ -83,6 +86,8 @@ def tokens_of(text: str | None) -> list[bytes]:
 # ---- blocks --------------------------------------------------------------------
 
 _BLOCKS = "kind string, block long, doc_id string, held_out boolean, ids binary, n_tokens long, word binary, at long, n long"
+_BLOCK_ROWS = pa.schema([("kind", pa.string()), ("block", pa.int64()), ("doc_id", pa.string()), ("held_out", pa.bool_()), ("ids", pa.binary()),
+                         ("n_tokens", pa.int64()), ("word", pa.binary()), ("at", pa.int64()), ("n", pa.int64())])
 
 
 class _Block:
@@ -90,39 +95,44 @@ class _Block:
 
     def __init__(self, block: int) -> None:
         self.block, self.n_tokens = block, 0
-        self.number: dict[bytes, int] = {}
+        self.number: dict[bytes, int] = defaultdict(count().__next__)  # in order of appearance
         self.rows: list[tuple] = []
 
-    def add(self, doc_id: str | None, held_out: bool, text: str | None) -> None:
-        add = self.number.setdefault
-        ids = np.array([add(w, len(self.number)) for w in tokens_of(text)], dtype="<i4")
+    def add(self, doc_id: str | None, held_out: bool, text: bytes | None) -> None:
+        ids = np.array(list(map(self.number.__getitem__, tokens_of(text))), dtype="<i4")
         self.rows.append((doc_id, held_out, ids))
         self.n_tokens += len(ids)
 
-    def frames(self) -> Iterator[pd.DataFrame]:
+    def frames(self) -> Iterator[pa.RecordBatch]:
         n = np.zeros(len(self.number), dtype=np.int64)
         for _, held_out, x in self.rows:
             if not held_out:
                 np.add.at(n, x, 1) if len(x) < 1000 else np.add(n, np.bincount(x, minlength=len(n)), out=n)
         for i in range(0, len(self.rows), FRAME_ROWS):
             part = self.rows[i:i + FRAME_ROWS]
-            yield pd.DataFrame({"kind": "doc", "block": self.block, "doc_id": [r[0] for r in part], "held_out": [r[1] for r in part],
-                                "ids": [r[2].tobytes() for r in part], "n_tokens": [len(r[2]) for r in part], "word": None, "at": None, "n": None})
+            yield self._batch("doc", len(part), doc_id=[r[0] for r in part], held_out=[r[1] for r in part],
+                              ids=[r[2].tobytes() for r in part], n_tokens=[len(r[2]) for r in part])
         words = list(self.number)
         for i in range(0, len(words), FRAME_ROWS):
             part = words[i:i + FRAME_ROWS]
-            yield pd.DataFrame({"kind": "word", "block": self.block, "doc_id": None, "held_out": None, "ids": None, "n_tokens": None,
-                                "word": part, "at": np.arange(i, i + len(part)), "n": n[i:i + len(part)]})
+            yield self._batch("word", len(part), word=part, at=np.arange(i, i + len(part)), n=n[i:i + len(part)])
+
+    def _batch(self, kind: str, size: int, **values) -> pa.RecordBatch:
+        """Rows of ``_BLOCKS``; columns that are not given are null."""
+        same = {"kind": pa.scalar(kind, pa.string()), "block": pa.scalar(self.block, pa.int64())}
+        return pa.RecordBatch.from_arrays([
+            pa.repeat(same[f.name], size) if f.name in same else pa.array(values[f.name], f.type) if f.name in values else pa.nulls(size, f.type)
+            for f in _BLOCK_ROWS], schema=_BLOCK_ROWS)
 
 
 def _blocks(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """Rows of kind doc (numbers of its tokens) and word (counts of training tokens)."""
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         task, done = TaskContext.get().partitionId(), 0
         block = _Block(task << 32)
         for b in batches:
-            for doc_id, held_out, text in zip(b["doc_id"], b["held_out"].tolist(), b["text"], strict=True):
+            for doc_id, held_out, text in zip(*(c.to_pylist() for c in b.columns), strict=True):
                 block.add(doc_id, held_out, text)
                 if block.n_tokens >= BLOCK_TOKENS:
                     yield from block.frames()
@@ -133,7 +143,7 @@ def _blocks(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
 
     doc_id = F.col(f"`{id_col}`").cast("string")
     held_out = F.crc32(F.coalesce(doc_id, F.lit("")).cast("binary")) % 7 == HELD_OUT
-    return docs.select(doc_id.alias("doc_id"), held_out.alias("held_out"), F.col(f"`{text_col}`").cast("string").alias("text")).mapInPandas(run, _BLOCKS)
+    return docs.select(doc_id.alias("doc_id"), held_out.alias("held_out"), F.col(f"`{text_col}`").cast("string").cast("binary").alias("text")).mapInArrow(run, _BLOCKS)
 
 
 # ---- vocabulary ------------------------------------------------------------------

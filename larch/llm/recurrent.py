@@ -100,14 +100,30 @@ def _sigmoid(x: np.ndarray) -> np.ndarray:
     return np.reciprocal(x, out=x)
 
 
-def _weights(h: np.ndarray, w: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """exp(h w' + b). Logits begin as log probabilities; the bound keeps sums finite."""
+def _weights(h: np.ndarray, w: np.ndarray, b: np.ndarray, bounded: bool) -> np.ndarray:
+    """exp(h w' + b). Logits begin as log probabilities; the bound keeps sums finite.
+    ``bounded``: none of them can reach it."""
     out = h @ w.T
     out += b
-    np.minimum(out, MOST, out=out)
+    if not bounded:
+        np.minimum(out, MOST, out=out)
     return np.exp(out, out=out)
 
 
+def _row_sums(x: np.ndarray) -> np.ndarray:
+    """As a product: many short rows take a sum along them ten times as long."""
+    return x @ np.ones(x.shape[1], dtype=x.dtype)
+
+
+def _errors(weight: np.ndarray, target: tuple, n: int) -> tuple[np.ndarray, float]:
+    """(probabilities less 1 at the targets, over n; the loss) of weights, in place."""
+    weight /= weight.sum(axis=1, keepdims=True)
+    loss = -float(np.log(np.maximum(weight[target], TINY)).sum())
+    weight[target] -= 1
+    weight /= n
+    return weight, loss
+
+
 class Recurrent:
     def __init__(self, shape: Shape, flat: np.ndarray) -> None:
         self.shape, self.flat = shape, flat
@@ -149,15 +165,22 @@ class Recurrent:
 
     def log_probability(self, h: np.ndarray, y: np.ndarray) -> np.ndarray:
         """Natural logarithms of the probabilities of symbols ``y`` at states ``h``."""
-        p = self.p
+        p, bounded = self.p, self._bounded(h)
         cls = self.class_of[y]
-        weight = _weights(h, p["class_w"], p["class_b"])
-        out = np.log(np.maximum(weight[np.arange(len(y)), cls], TINY) / weight.sum(axis=1))
+        weight = _weights(h, p["class_w"], p["class_b"], bounded)
+        out = np.log(np.maximum(weight[np.arange(len(y)), cls], TINY) / _row_sums(weight))
         for at, i, j, own, k in self._by_class(h, y, cls):
-            weight = _weights(own, p["word_w"][i:j], p["word_b"][i:j])
-            out[at] += np.log(np.maximum(weight[k], TINY) / weight.sum(axis=1))
+            weight = _weights(own, p["word_w"][i:j], p["word_b"][i:j], bounded)
+            out[at] += np.log(np.maximum(weight[k], TINY) / _row_sums(weight))
         return out
 
+    def _bounded(self, h: np.ndarray) -> bool:
+        """Whether no logit at these states reaches ``MOST``."""
+        if not h.size:
+            return True
+        p, most = self.p, max(float(h.max()), -float(h.min()))
+        return all(float((most * _row_sums(np.abs(p[w])) + p[b]).max(initial=0)) < MOST - 1 for w, b in (("class_w", "class_b"), ("word_w", "word_b")))
+
     def _by_class(self, h: np.ndarray, y: np.ndarray, cls: np.ndarray) -> Iterator[tuple]:
         """(rows, first symbol, end, states, index of each row's symbol) of each class
         of several symbols."""
@@ -181,22 +204,15 @@ class Recurrent:
         at_live = np.flatnonzero(live.ravel())
         n = max(len(at_live), 1)
         h, target = hs.reshape(-1, hid)[at_live], y.ravel()[at_live]
-        cls = self.class_of[target]
-        prob = _weights(h, p["class_w"], p["class_b"])
+        cls, bounded = self.class_of[target], self._bounded(h)
         rows = np.arange(len(target))
-        prob /= prob.sum(axis=1, keepdims=True)
-        loss = -float(np.log(np.maximum(prob[rows, cls], TINY)).sum())
-        prob[rows, cls] -= 1
-        prob /= n
+        prob, loss = _errors(_weights(h, p["class_w"], p["class_b"], bounded), (rows, cls), n)
         g["class_w"][...] = prob.T @ h
         g["class_b"][...] = prob.sum(axis=0)
         dh = prob @ p["class_w"]
         for at, i, j, own, k in self._by_class(h, target, cls):
-            q = _weights(own, p["word_w"][i:j], p["word_b"][i:j])
-            q /= q.sum(axis=1, keepdims=True)
-            loss -= float(np.log(np.maximum(q[k], TINY)).sum())
-            q[k] -= 1
-            q /= n
+            q, more = _errors(_weights(own, p["word_w"][i:j], p["word_b"][i:j], bounded), k, n)
+            loss += more
             g["word_w"][i:j] = q.T @ own
             g["word_b"][i:j] = q.sum(axis=0)
             dh[at] += q @ p["word_w"][i:j]

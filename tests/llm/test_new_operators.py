@@ -285,3 +285,26 @@ def test_averages_are_weighted(spark):
     df = spark.createDataFrame([(a, b, bytearray(c)) for a, b, c in rows], "block long, n long, flat binary").repartition(7)
     got = language_scoring._averaged(df, 70)
     assert got == pytest.approx(np.full(3, sum(k * (k + 1) for k in range(70)) / sum(k + 1 for k in range(70))), rel=1e-5)
+
+
+def test_a_block_numbers_its_words_and_counts_training_tokens():
+    block = language_scoring._Block(7)
+    for doc_id, held, text in [("1", False, b"B a  b"), ("2", True, b"c a"), (None, False, None)]:
+        block.add(doc_id, held, text)
+    docs, words = (b.to_pylist() for b in block.frames())
+    assert [(r["kind"], r["block"], r["doc_id"], r["held_out"], r["n_tokens"], r["word"]) for r in docs] == [
+        ("doc", 7, "1", False, 4, None), ("doc", 7, "2", True, 3, None), ("doc", 7, None, False, 1, None)]
+    assert [np.frombuffer(r["ids"], "<i4").tolist() for r in docs] == [[0, 1, 0, 2], [3, 1, 2], [2]]
+    assert [(r["kind"], r["block"], r["word"], r["at"], r["n"], r["ids"]) for r in words] == [
+        ("word", 7, b"b", 0, 2, None), ("word", 7, b"a", 1, 1, None), ("word", 7, b" ", 2, 2, None), ("word", 7, b"c", 3, 0, None)]
+
+
+def test_logits_are_held_back_only_where_they_may_be_too_large():
+    shape, flat = _model()
+    model = recurrent.Recurrent(shape, flat)
+    h = np.tanh(np.random.default_rng(2).standard_normal((20, 5)))
+    assert model._bounded(h) and not model._bounded(1000 * h)
+    model.p["word_w"][...] *= 10_000
+    assert not model._bounded(h)
+    p = np.exp(model.log_probability(np.repeat(h[:1], 30, axis=0), np.arange(30)))
+    assert np.isfinite(p).all() and abs(p.sum() - 1) < 1e-9
