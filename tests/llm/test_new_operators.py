@@ -299,12 +299,15 @@ def test_a_block_numbers_its_words_and_counts_training_tokens():
         ("word", 7, b"b", 0, 2, None), ("word", 7, b"a", 1, 1, None), ("word", 7, b" ", 2, 2, None), ("word", 7, b"c", 3, 0, None)]
 
 
-def test_logits_are_held_back_only_where_they_may_be_too_large():
+def test_logits_are_held_back_only_where_they_may_be_too_large(monkeypatch):
     shape, flat = _model()
     model = recurrent.Recurrent(shape, flat)
-    h = np.tanh(np.random.default_rng(2).standard_normal((20, 5)))
-    assert model._bounded(h) and not model._bounded(1000 * h)
-    model.p["word_w"][...] *= 10_000
+    h, y = np.tanh(np.random.default_rng(2).standard_normal((30, 5))), np.arange(30)
+    assert model._bounded(h) and not model._bounded(10_000 * h)
+    free = model.log_probability(h, y)
+    model.p["word_b"][...] += 2 * recurrent.MOST  # of all words of a class: no probability changes
     assert not model._bounded(h)
-    p = np.exp(model.log_probability(np.repeat(h[:1], 30, axis=0), np.arange(30)))
-    assert np.isfinite(p).all() and abs(p.sum() - 1) < 1e-9
+    assert np.isfinite(model.log_probability(h, y)).all()
+    model.p["word_b"][...] -= 2 * recurrent.MOST
+    monkeypatch.setattr(recurrent.Recurrent, "_bounded", lambda self, h: False)
+    assert np.abs(model.log_probability(h, y) - free).max() < 1e-12
