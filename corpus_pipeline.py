@@ -19,27 +19,32 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from larch.llm import exact_dedup, language_id, mixing, near_dedup, packing
-from larch.llm.common import materialize, read_table
+from larch.llm.common import materialize, read_table, small_batches
 from larch.llm.tokens import tokenizer_path
 
 
 def identify(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    small_batches(spark)
     return language_id.keep_identified(docs)
 
 
 def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    small_batches(spark)
     return exact_dedup.keep_one_of_each(docs)
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    small_batches(spark)
     return near_dedup.keep_one_of_each(docs)
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    small_batches(spark)
     return mixing.sample_documents(docs)
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    small_batches(spark)
     return packing.pack(materialize(packing.pieces_of(docs, tokenizer_path()), "pieces"))
 
 

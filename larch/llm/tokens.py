@@ -3,24 +3,29 @@
 Byte-level pre-tokenisation never joins a space to the characters before it, so
 a text may be cut before every space that follows a non-space character, each
 part encoded by itself by the tokenizers library, and the ids strung together.
-A worker keeps the ids of parts it has met: a dictionary of at most
-``CACHE_PARTS`` entries, emptied when full, whatever the input. A Latin word
+A worker keeps the ids of parts it has met, in two dictionaries of at most
+``CACHE_PARTS`` entries each, whatever the input: when the newer is full it takes the
+older's place, so words that go on occurring stay. A Latin word
 is one pre-token and goes to the library's BPE model directly, which skips the
-alignment work of a full encoding.
+alignment work of a full encoding; signs behind it are another, and so is a line
+break between two words. Only the words are kept.
 """
 
 from __future__ import annotations
 
 import os
 import re
+import struct
 
 import numpy as np
 
 from larch.llm.common import claim_memory
 
-CACHE_PARTS = 1_000_000
+CACHE_PARTS = 250_000
 #: Longer parts are encoded each time.
 CACHED_CHARS = 48
+#: Signs that are one pre-token behind a word, however many; runs of up to ``SIGN_RUN`` are remembered.
+SIGNS, SIGN_RUN = ".,;:!?#*$%&", 3
 #: First code point after the Latin letter blocks.
 LATIN_END = "\u0250"
 _SPACED = re.compile(r"(?<!\s) ")
@@ -54,6 +59,7 @@ class _Parts(dict):
 
     def __init__(self, path: str) -> None:
         super().__init__()
+        self.older: dict[str, bytes] = {}
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
@@ -62,25 +68,56 @@ class _Parts(dict):
         self.model = self.tokenizer.model
         self.letters = _byte_letters()
         self.space = self.letters[32]
-        self.marks = {c: self.whole(c) for c in ".,"}
+        self.marks: dict[str, bytes] = {}
+        self.newline = self.whole("\n")
 
     def whole(self, text: str) -> bytes:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes()
 
     def __missing__(self, part: str) -> bytes:
-        if part and part[-1] in self.marks and (stem := part[:-1]).isalpha() and max(stem) < LATIN_END:
-            ids = self[stem] + self.marks[part[-1]]
-        elif part.isalpha() and max(part) < LATIN_END:
-            letters = self.space + part.encode().decode("latin-1").translate(self.letters)
-            ids = np.array([t.id for t in self.model.tokenize(letters)], dtype="<u4").tobytes()
-        else:
-            ids = self.whole(" " + part)
+        ids = self.older.get(part)
+        if ids is None:
+            joined = self.joined(part)
+            if joined is not None:
+                return joined
+            ids = self.letters_ids(self.space, part) if _latin(part) else self.whole(" " + part)
         if len(part) <= CACHED_CHARS:
             if len(self) >= CACHE_PARTS:
+                self.older = dict(self)
                 self.clear()
             self[part] = ids
         return ids
 
+    def joined(self, part: str) -> bytes | None:
+        """The ids of a word and the signs behind it, or of what a line ends and the next
+        begins with, from those of its pre-tokens; None for other parts."""
+        end, newline, begin = part.partition("\n")
+        if newline:
+            if not end or end[-1].isspace() or (stem := begin.rstrip(SIGNS)) and not _latin(stem) or not begin:
+                return None
+            return self[end] + self.newline + (self.letters_ids("", stem) if stem else b"") + self.signs(begin[len(stem):])
+        stem = part.rstrip(SIGNS)
+        return self[stem] + self.signs(part[len(stem):]) if len(stem) < len(part) and _latin(stem) else None
+
+    def signs(self, run: str) -> bytes:
+        if not run:
+            return b""
+        ids = self.marks.get(run)
+        if ids is None:
+            ids = self.whole(run)
+            if len(run) <= SIGN_RUN:
+                self.marks[run] = ids
+        return ids
+
+    def letters_ids(self, before: str, word: str) -> bytes:
+        letters = word if word.isascii() else word.encode().decode("latin-1").translate(self.letters)
+        ids = [t.id for t in self.model.tokenize(before + letters)]
+        return struct.pack(f"<{len(ids)}I", *ids)
+
+
+def _latin(part: str) -> bool:
+    return part.isalpha() and (part.isascii() or max(part) < LATIN_END)
+
 
 _ENCODERS: dict[str, _Parts] = {}
 

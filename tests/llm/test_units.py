@@ -15,6 +15,7 @@ from larch.llm.anchors import cells
 from larch.llm.bwt import bounded_lcp, repeated_windows, suffix_order
 from larch.llm.html_extract import main_text
 from larch.llm.shingles import multiset_overlap, shingles
+from larch.llm import tokens
 from larch.llm.tokens import encode_bytes, tokenizer_path
 
 
@@ -88,6 +89,25 @@ def test_ids_equal_the_tokenizers():
         assert np.frombuffer(encode_bytes(text, tokenizer_path()), "<u4").tolist() == t.encode(text, add_special_tokens=False).ids, repr(text)
 
 
+def test_encoder_keeps_a_bounded_number_of_words(monkeypatch):
+    from tokenizers import Tokenizer
+
+    monkeypatch.setattr(tokens, "CACHE_PARTS", 20)
+    t = Tokenizer.from_file(tokenizer_path())
+    t.encode_special_tokens = True
+    parts = tokens._Parts(tokenizer_path())
+    monkeypatch.setitem(tokens._ENCODERS, tokenizer_path(), parts)
+    rng = random.Random(3)
+    letters = "abcdeñé"
+    for i in range(300):
+        words = ["the", "".join(rng.choice(letters) for _ in range(6)) + rng.choice(["", ".", "!!", "$$$", ",\n" + rng.choice("ab") * 3 + ".", "\n...", "\n\nx", "\t\nb"])]
+        text = " ".join(["", *words, *words[:1]])
+        assert np.frombuffer(encode_bytes(text, tokenizer_path()), "<u4").tolist() == t.encode(text, add_special_tokens=False).ids, repr(text)
+        assert len(parts) <= 20 and len(parts.older) <= 20
+    assert "the" in parts  # goes on occurring
+    assert not any("\n" in x and x[0] != "\n" and x.strip(letters) == "\n" or "$" in x for x in {**parts, **parts.older})
+
+
 def test_forward_sums_all_segmentations():
     pieces = sorted(["▁", "▁a", "▁ab", "a", "ab", "abc", "b", "bc", "c"])
     index = language_id.prefix_index(pieces)
@@ -224,3 +244,21 @@ def test_components_of_a_long_chain_and_stars(spark):
     labels = near_dedup._joined(near_dedup._roots(links), spark.createDataFrame([(bytes([33]), bytes([5])), (bytes([50]), bytes([40]))], "a binary, b binary"))
     got = {bytes(r["node"]): bytes(r["label"]) for r in labels.collect()}
     assert all(got[bytes([i])] == bytes([0]) for i in (1, 21, 31, 33)) and got[bytes([50])] == got[bytes([40])] == bytes([40])
+
+
+def test_pipeline_stages_send_few_texts_at_a_time(spark):
+    import corpus_pipeline
+    from larch.llm.common import _BATCH_ROWS, TEXT_ROWS
+
+    before = spark.conf.get(_BATCH_ROWS)
+    docs = spark.createDataFrame([(1, "some words", "en", "web", 10)], "doc_id long, text string, lang string, source string, n_chars long")
+    try:
+        for name, stage in corpus_pipeline.STAGES[1:2] + corpus_pipeline.STAGES[-1:]:
+            spark.conf.set(_BATCH_ROWS, "10000")
+            assert stage(spark, docs, "").count() == 1, name
+            assert int(spark.conf.get(_BATCH_ROWS)) == TEXT_ROWS, name
+        spark.conf.set(_BATCH_ROWS, "100")  # a session's own smaller batches stay
+        stage(spark, docs, "")
+        assert spark.conf.get(_BATCH_ROWS) == "100"
+    finally:
+        spark.conf.set(_BATCH_ROWS, before)
