@@ -110,11 +110,6 @@ def _weights(h: np.ndarray, w: np.ndarray, b: np.ndarray, bounded: bool) -> np.n
     return np.exp(out, out=out)
 
 
-def _row_sums(x: np.ndarray) -> np.ndarray:
-    """As a product: many short rows take a sum along them ten times as long."""
-    return x @ np.ones(x.shape[1], dtype=x.dtype)
-
-
 def _errors(weight: np.ndarray, target: tuple, n: int) -> tuple[np.ndarray, float]:
     """(probabilities less 1 at the targets, over n; the loss) of weights, in place."""
     weight /= weight.sum(axis=1, keepdims=True)
@@ -168,10 +163,10 @@ class Recurrent:
         p, bounded = self.p, self._bounded(h)
         cls = self.class_of[y]
         weight = _weights(h, p["class_w"], p["class_b"], bounded)
-        out = np.log(np.maximum(weight[np.arange(len(y)), cls], TINY) / _row_sums(weight))
+        out = np.log(np.maximum(weight[np.arange(len(y)), cls], TINY) / weight.sum(axis=1))
         for at, i, j, own, k in self._by_class(h, y, cls):
             weight = _weights(own, p["word_w"][i:j], p["word_b"][i:j], bounded)
-            out[at] += np.log(np.maximum(weight[k], TINY) / _row_sums(weight))
+            out[at] += np.log(np.maximum(weight[k], TINY) / weight.sum(axis=1))
         return out
 
     def _bounded(self, h: np.ndarray) -> bool:
@@ -179,7 +174,7 @@ class Recurrent:
         if not h.size:
             return True
         p, most = self.p, max(float(h.max()), -float(h.min()))
-        return all(float((most * _row_sums(np.abs(p[w])) + p[b]).max(initial=0)) < MOST - 1 for w, b in (("class_w", "class_b"), ("word_w", "word_b")))
+        return all(float((most * np.abs(p[w]).sum(axis=1) + p[b]).max(initial=0)) < MOST - 1 for w, b in (("class_w", "class_b"), ("word_w", "word_b")))
 
     def _by_class(self, h: np.ndarray, y: np.ndarray, cls: np.ndarray) -> Iterator[tuple]:
         """(rows, first symbol, end, states, index of each row's symbol) of each class
