@@ -45,7 +45,7 @@ def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     small_batches(spark)
-    return packing.pack(materialize(packing.pieces_of(docs, tokenizer_path()), "pieces"))
+    return packing.pack(materialize(packing.pieces_of(docs, tokenizer_path(), lean=True), "pieces"))
 
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]

@@ -54,7 +54,7 @@ def cut(n: int, length: int) -> list[tuple[int, int]]:
 
 
 def pieces_of(docs: DataFrame, tokenizer: str, length: int = SEQUENCE_LENGTH, end_id: int = END_ID,
-              id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+              id_col: str = "doc_id", text_col: str = "text", lean: bool = False) -> DataFrame:
     """doc_id, piece, start, length, ids_crc32 of every piece."""
     kind = dict(docs.dtypes)[id_col]
     end = np.array([end_id], dtype="<u4").tobytes()
@@ -63,7 +63,7 @@ def pieces_of(docs: DataFrame, tokenizer: str, length: int = SEQUENCE_LENGTH, en
         for b in batches:
             row, rows = [], []
             for i, text in enumerate(b["text"]):
-                ids = encode_bytes(text, tokenizer) + end
+                ids = encode_bytes(text, tokenizer, lean) + end
                 for k, (s, n) in enumerate(cut(len(ids) // 4, length)):
                     row.append(i)
                     rows.append((k, s, n, zlib.crc32(ids[4 * s:4 * (s + n)])))

@@ -3,12 +3,10 @@
 Byte-level pre-tokenisation never joins a space to the characters before it, so
 a text may be cut before every space that follows a non-space character, each
 part encoded by itself by the tokenizers library, and the ids strung together.
-A worker keeps the ids of parts it has met, in two dictionaries of at most
-``CACHE_PARTS`` entries each, whatever the input: when the newer is full it takes the
-older's place, so words that go on occurring stay. A Latin word
+A worker keeps the ids of parts it has met: a dictionary of at most
+``CACHE_PARTS`` entries, emptied when full, whatever the input. A Latin word
 is one pre-token and goes to the library's BPE model directly, which skips the
-alignment work of a full encoding; signs behind it are another, and so is a line
-break between two words. Only the words are kept.
+alignment work of a full encoding.
 """
 
 from __future__ import annotations
@@ -21,10 +19,11 @@ import numpy as np
 
 from larch.llm.common import claim_memory
 
-CACHE_PARTS = 250_000
+CACHE_PARTS = 1_000_000
 #: Longer parts are encoded each time.
 CACHED_CHARS = 48
-#: Signs that are one pre-token behind a word, however many; runs of up to ``SIGN_RUN`` are remembered.
+#: The same where memory is short (the pipeline), and signs behind a word.
+WORDS = 250_000
 SIGNS, SIGN_RUN = ".,;:!?#*$%&", 3
 #: First code point after the Latin letter blocks.
 LATIN_END = "\u0250"
@@ -59,7 +58,6 @@ class _Parts(dict):
 
     def __init__(self, path: str) -> None:
         super().__init__()
-        self.older: dict[str, bytes] = {}
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
@@ -68,12 +66,36 @@ class _Parts(dict):
         self.model = self.tokenizer.model
         self.letters = _byte_letters()
         self.space = self.letters[32]
-        self.marks: dict[str, bytes] = {}
-        self.newline = self.whole("\n")
+        self.marks = {c: self.whole(c) for c in ".,"}
 
     def whole(self, text: str) -> bytes:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes()
 
+    def __missing__(self, part: str) -> bytes:
+        if part and part[-1] in self.marks and (stem := part[:-1]).isalpha() and max(stem) < LATIN_END:
+            ids = self[stem] + self.marks[part[-1]]
+        elif part.isalpha() and max(part) < LATIN_END:
+            letters = self.space + part.encode().decode("latin-1").translate(self.letters)
+            ids = np.array([t.id for t in self.model.tokenize(letters)], dtype="<u4").tobytes()
+        else:
+            ids = self.whole(" " + part)
+        if len(part) <= CACHED_CHARS:
+            if len(self) >= CACHE_PARTS:
+                self.clear()
+            self[part] = ids
+        return ids
+
+
+class _Words(_Parts):
+    """Keeps Latin words and odd parts only, in two dictionaries of ``WORDS`` at most: less
+    memory for more time. Signs and line breaks behind words are pre-tokens of their own."""
+
+    def __init__(self, path: str) -> None:
+        super().__init__(path)
+        self.older: dict[str, bytes] = {}
+        self.marks: dict[str, bytes] = {}
+        self.newline = self.whole("\n")
+
     def __missing__(self, part: str) -> bytes:
         ids = self.older.get(part)
         if ids is None:
@@ -82,7 +104,7 @@ class _Parts(dict):
                 return joined
             ids = self.letters_ids(self.space, part) if _latin(part) else self.whole(" " + part)
         if len(part) <= CACHED_CHARS:
-            if len(self) >= CACHE_PARTS:
+            if len(self) >= WORDS:
                 self.older = dict(self)
                 self.clear()
             self[part] = ids
@@ -119,17 +141,17 @@ def _latin(part: str) -> bool:
     return part.isalpha() and (part.isascii() or max(part) < LATIN_END)
 
 
-_ENCODERS: dict[str, _Parts] = {}
+_ENCODERS: dict[tuple[str, bool], _Parts] = {}
 
 
-def encode_bytes(text: str | None, path: str) -> bytes:
+def encode_bytes(text: str | None, path: str, lean: bool = False) -> bytes:
     """The ids of ``text`` (null: empty), 4 bytes each."""
     if not text:
         return b""
-    parts_of = _ENCODERS.get(path)
+    parts_of = _ENCODERS.get((path, lean))
     if parts_of is None:
         claim_memory("tokens", _ENCODERS.clear)
-        parts_of = _ENCODERS[path] = _Parts(path)
+        parts_of = _ENCODERS[path, lean] = (_Words if lean else _Parts)(path)
     spaced = any(p in text for p in _SPACE_PAIRS) or (not text.isascii() and _WIDE_SPACE.search(text))
     first, *rest = _SPACED.split(text) if spaced else text.split(" ")
     head = parts_of.whole(first) if first else b""

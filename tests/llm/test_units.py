@@ -92,17 +92,17 @@ def test_ids_equal_the_tokenizers():
 def test_encoder_keeps_a_bounded_number_of_words(monkeypatch):
     from tokenizers import Tokenizer
 
-    monkeypatch.setattr(tokens, "CACHE_PARTS", 20)
+    monkeypatch.setattr(tokens, "WORDS", 20)
     t = Tokenizer.from_file(tokenizer_path())
     t.encode_special_tokens = True
-    parts = tokens._Parts(tokenizer_path())
-    monkeypatch.setitem(tokens._ENCODERS, tokenizer_path(), parts)
+    parts = tokens._Words(tokenizer_path())
+    monkeypatch.setitem(tokens._ENCODERS, (tokenizer_path(), True), parts)
     rng = random.Random(3)
     letters = "abcdeñé"
     for i in range(300):
         words = ["the", "".join(rng.choice(letters) for _ in range(6)) + rng.choice(["", ".", "!!", "$$$", ",\n" + rng.choice("ab") * 3 + ".", "\n...", "\n\nx", "\t\nb"])]
         text = " ".join(["", *words, *words[:1]])
-        assert np.frombuffer(encode_bytes(text, tokenizer_path()), "<u4").tolist() == t.encode(text, add_special_tokens=False).ids, repr(text)
+        assert np.frombuffer(encode_bytes(text, tokenizer_path(), True), "<u4").tolist() == t.encode(text, add_special_tokens=False).ids, repr(text)
         assert len(parts) <= 20 and len(parts.older) <= 20
     assert "the" in parts  # goes on occurring
     assert not any("\n" in x and x[0] != "\n" and x.strip(letters) == "\n" or "$" in x for x in {**parts, **parts.older})
