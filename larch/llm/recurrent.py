@@ -29,6 +29,15 @@ CLIP = 1.0
 MOST = 60.0
 TINY = np.float32(1e-30)
 BETA1, BETA2, EPSILON = 0.9, 0.999, 1e-6
+#: More than the arrays of a window together.
+KEPT_BYTES = 30 << 20
+
+
+def _keep_memory() -> None:
+    """The C library gives freed memory back to the system beyond twice the largest array
+    freed so far (32 MB at the most). Every window would get its arrays anew, page by page,
+    which takes a quarter of the time; this one is never written to, so it takes no memory."""
+    np.empty(KEPT_BYTES, dtype=np.uint8)
 
 
 @dataclass
@@ -92,14 +101,6 @@ def initial(shape: Shape, counts: np.ndarray, seed: int) -> np.ndarray:
     return flat
 
 
-def _sigmoid(x: np.ndarray) -> np.ndarray:
-    """In place."""
-    np.negative(x, out=x)
-    np.exp(x, out=x)
-    x += 1
-    return np.reciprocal(x, out=x)
-
-
 def _weights(h: np.ndarray, w: np.ndarray, b: np.ndarray, bounded: bool) -> np.ndarray:
     """exp(h w' + b). Logits begin as log probabilities; the bound keeps sums finite.
     ``bounded``: none of them can reach it."""
@@ -125,37 +126,50 @@ class Recurrent:
         self.p = shape.views(flat)
         self.class_of = np.repeat(np.arange(shape.n_classes), np.diff(shape.first))
 
-    def states(self, x: np.ndarray, fresh: np.ndarray, h: np.ndarray, kept: dict | None = None) -> np.ndarray:
+    def given(self) -> np.ndarray:
+        """(3, symbols, hidden): what the symbol before gives to the update gate, the reset
+        gate (both with the other sign) and the new state."""
+        p, hid = self.p, self.shape.hidden
+        out = p["embed"] @ p["wx"] + p["b"]
+        np.negative(out[:, :2 * hid], out=out[:, :2 * hid])
+        return np.ascontiguousarray(out.reshape(-1, 3, hid).transpose(1, 0, 2))
+
+    def states(self, x: np.ndarray, fresh: np.ndarray, h: np.ndarray, kept: dict | None = None, given: np.ndarray | None = None) -> np.ndarray:
         """States before each symbol of a window: x (T, B) are the symbols before,
         ``fresh`` marks where a document begins, h is the state before the window.
-        ``kept`` gets what the gradient needs."""
-        p, hid = self.p, self.shape.hidden
+        ``kept`` gets what the gradient needs; ``given`` may be handed in."""
+        hid = self.shape.hidden
         steps, b = x.shape
-        given, any_fresh = (p["embed"] @ p["wx"] + p["b"])[x], fresh.any(axis=1).tolist()
+        given, any_fresh = self.given() if given is None else given, fresh.any(axis=1).tolist()
+        gates = np.empty((3, steps, b, hid), dtype=given.dtype)  # a gate's values lie together
+        for k in range(3):
+            np.take(given[k], x, axis=0, out=gates[k], mode="clip")
         out = np.empty((steps, b, hid), dtype=self.flat.dtype)
-        if kept is not None:
-            kept |= {"past": np.empty_like(out), "turned": np.empty_like(out)}
-        wh = p["wh"]
+        past, turned = (None, None) if kept is None else (np.empty_like(out), np.empty_like(out))
+        wh = self.p["wh"].copy()
+        np.negative(wh[:, :2 * hid], out=wh[:, :2 * hid])
+        u, reset = np.empty((b, 3 * hid), dtype=out.dtype), np.empty((b, hid), dtype=out.dtype)
+        to_gates, to_new = u[:, :2 * hid].reshape(b, 2, hid).transpose(1, 0, 2), u[:, 2 * hid:]
         for t in range(steps):
             if any_fresh[t]:
                 h = h.copy()
                 h[fresh[t]] = 0
-            u = h @ wh
-            g = given[t]
-            zr = g[:, :2 * hid]
-            zr += u[:, :2 * hid]
-            _sigmoid(zr)
-            n = g[:, 2 * hid:]
-            n += zr[:, hid:] * u[:, 2 * hid:]
+            np.matmul(h, wh, out=u)
+            zr, n, new = gates[:2, t], gates[2, t], out[t]
+            zr += to_gates
+            np.exp(zr, out=zr)
+            zr += 1
+            np.reciprocal(zr, out=zr)
+            n += np.multiply(zr[1], to_new, out=reset)
             np.tanh(n, out=n)
             if kept is not None:
-                kept["past"][t], kept["turned"][t] = h, u[:, 2 * hid:]
-            np.subtract(h, n, out=out[t])
-            out[t] *= zr[:, :hid]
-            out[t] += n
-            h = out[t]
+                past[t], turned[t] = h, to_new
+            np.subtract(h, n, out=new)
+            new *= zr[0]
+            new += n
+            h = new
         if kept is not None:
-            kept["gates"] = given
+            kept |= {"past": past, "turned": turned, "gates": gates}
         return out
 
     def log_probability(self, h: np.ndarray, y: np.ndarray) -> np.ndarray:
@@ -164,9 +178,10 @@ class Recurrent:
         cls = self.class_of[y]
         weight = _weights(h, p["class_w"], p["class_b"], bounded)
         out = np.log(np.maximum(weight[np.arange(len(y)), cls], TINY) / weight.sum(axis=1))
-        for at, i, j, own, k in self._by_class(h, y, cls):
+        order, classes = self._by_class(h, y, cls)
+        for at, i, j, own, k in classes:
             weight = _weights(own, p["word_w"][i:j], p["word_b"][i:j], bounded)
-            out[at] += np.log(np.maximum(weight[k], TINY) / weight.sum(axis=1))
+            out[order[at]] += np.log(np.maximum(weight[k], TINY) / weight.sum(axis=1))
         return out
 
     def _bounded(self, h: np.ndarray) -> bool:
@@ -176,16 +191,18 @@ class Recurrent:
         p, most = self.p, max(float(h.max()), -float(h.min()))
         return all(float((most * np.abs(p[w]).sum(axis=1) + p[b]).max(initial=0)) < MOST - 1 for w, b in (("class_w", "class_b"), ("word_w", "word_b")))
 
-    def _by_class(self, h: np.ndarray, y: np.ndarray, cls: np.ndarray) -> Iterator[tuple]:
-        """(rows, first symbol, end, states, index of each row's symbol) of each class
-        of several symbols."""
+    def _by_class(self, h: np.ndarray, y: np.ndarray, cls: np.ndarray) -> tuple[np.ndarray, list[tuple]]:
+        """The rows' order by class, and (slice of the order, first symbol, end, states,
+        index of each row's symbol) of each class of several symbols."""
         order = np.argsort(cls.astype(np.uint16), kind="stable")
         bound = np.concatenate([[0], np.cumsum(np.bincount(cls, minlength=self.shape.n_classes))]).tolist()
         first, h, y, row = self.shape.first.tolist(), h[order], y[order].astype(np.int64), np.arange(len(y))
+        found = []
         for c in range(self.shape.n_classes):
             a, b, i, j = bound[c], bound[c + 1], first[c], first[c + 1]
             if b > a and j - i > 1:
-                yield order[a:b], i, j, h[a:b], (row[:b - a], y[a:b] - i)
+                found.append((slice(a, b), i, j, h[a:b], (row[:b - a], y[a:b] - i)))
+        return order, found
 
     def step(self, x: np.ndarray, y: np.ndarray, fresh: np.ndarray, live: np.ndarray, h0: np.ndarray) -> tuple[np.ndarray, float, np.ndarray]:
         """Gradient of the mean negative log probability over the window's live
@@ -198,49 +215,59 @@ class Recurrent:
         g = self.shape.views(grad)
         at_live = np.flatnonzero(live.ravel())
         n = max(len(at_live), 1)
-        h, target = hs.reshape(-1, hid)[at_live], y.ravel()[at_live]
+        h, target = hs.reshape(-1, hid), y.ravel()
+        if len(at_live) < len(h):
+            h, target = h[at_live], target[at_live]
         cls, bounded = self.class_of[target], self._bounded(h)
         rows = np.arange(len(target))
         prob, loss = _errors(_weights(h, p["class_w"], p["class_b"], bounded), (rows, cls), n)
         g["class_w"][...] = prob.T @ h
         g["class_b"][...] = prob.sum(axis=0)
-        dh = prob @ p["class_w"]
-        for at, i, j, own, k in self._by_class(h, target, cls):
+        order, classes = self._by_class(h, target, cls)
+        dh = (prob @ p["class_w"])[order]
+        for at, i, j, own, k in classes:
             q, more = _errors(_weights(own, p["word_w"][i:j], p["word_b"][i:j], bounded), k, n)
             loss += more
             g["word_w"][i:j] = q.T @ own
             g["word_b"][i:j] = q.sum(axis=0)
             dh[at] += q @ p["word_w"][i:j]
         out = np.zeros((steps * b, hid), dtype=np.float32)
-        out[at_live] = dh
+        out[at_live[order]] = dh
         out = out.reshape(steps, b, hid)
         back = np.zeros((b, hid), dtype=np.float32)
-        given = np.empty((steps, b, 3 * hid), dtype=np.float32)
         d_turned = np.empty((steps, b, 3 * hid), dtype=np.float32)
-        wh_t, any_fresh = np.ascontiguousarray(p["wh"].T), fresh.any(axis=1)
+        d_new, by_state = np.empty((steps, b, hid), dtype=np.float32), np.empty((b, hid), dtype=np.float32)
+        wh_t, any_fresh = np.ascontiguousarray(p["wh"].T), fresh.any(axis=1).tolist()
         # what each step multiplies the state's gradient with, for the whole window at once
-        z, r, m = (kept["gates"][:, :, i * hid:(i + 1) * hid] for i in range(3))
-        to_m = (1 - z) * (1 - m * m)
-        to_z = (kept["past"] - m) * z * (1 - z)
-        to_r = kept["turned"] * r * (1 - r)
+        z, r, m = kept["gates"]
+        rest = 1 - z
+        to_m = m * m
+        np.subtract(1, to_m, out=to_m)
+        to_m *= rest
+        to_z = kept["past"] - m
+        to_z *= z
+        to_z *= rest
+        to_r = kept["turned"]
+        to_r *= r
+        to_r *= np.subtract(1, r, out=rest)
         for t in range(steps - 1, -1, -1):
-            d = out[t] + back
-            dn = d * to_m[t]
-            g_t = d_turned[t]
+            d, dn, g_t = out[t], d_new[t], d_turned[t]
+            d += back
+            np.multiply(d, to_m[t], out=dn)
             np.multiply(d, to_z[t], out=g_t[:, :hid])
             np.multiply(dn, to_r[t], out=g_t[:, hid:2 * hid])
             np.multiply(dn, r[t], out=g_t[:, 2 * hid:])
-            given[t, :, 2 * hid:] = dn
-            back = d * z[t]
-            back += g_t @ wh_t
+            np.multiply(d, z[t], out=back)
+            back += np.matmul(g_t, wh_t, out=by_state) if wh_t.dtype == by_state.dtype else g_t @ wh_t
             if any_fresh[t]:
                 back[fresh[t]] = 0
-        given[:, :, :2 * hid] = d_turned[:, :, :2 * hid]
         g["wh"][...] = kept["past"].reshape(-1, hid).T @ d_turned.reshape(-1, 3 * hid)
         symbol = x.ravel()
         order = np.argsort(symbol, kind="stable")  # 16 bits: by radix
         new = np.flatnonzero(np.concatenate([[True], symbol[order][1:] != symbol[order][:-1]]))
-        seen, sums = symbol[order][new], np.add.reduceat(given.reshape(-1, 3 * hid)[order], new, axis=0)
+        d_turned[:, :, 2 * hid:] = d_new
+        d_given = d_turned.reshape(-1, 3 * hid).take(order, axis=0)
+        seen, sums = symbol[order][new], np.add.reduceat(d_given, new, axis=0)
         g["b"][...] = sums.sum(axis=0)
         g["wx"][...] = p["embed"][seen].T @ sums
         g["embed"][seen] = sums @ p["wx"].T
@@ -298,6 +325,7 @@ def train(model: Recurrent, docs: list[np.ndarray], streams: int, steps: int, ra
     """One pass over all symbols of the documents; (sum of losses, symbols). The
     state is carried along a stretch. A window that has fewer symbols than others,
     as the streams end, moves the parameters by as much less."""
+    _keep_memory()
     parts = stretches(docs, stretch)
     streams = max(1, min(streams, len(parts)))
     h = np.zeros((streams, model.shape.hidden), dtype=np.float32)
@@ -323,10 +351,11 @@ def train(model: Recurrent, docs: list[np.ndarray], streams: int, steps: int, ra
 
 def score(model: Recurrent, docs: list[np.ndarray], streams: int, steps: int) -> np.ndarray:
     """Natural log probability of each document's symbols."""
+    _keep_memory()
     h = np.zeros((streams, model.shape.hidden), dtype=np.float32)
-    out = np.zeros(len(docs))
+    out, given = np.zeros(len(docs)), model.given()
     for x, y, fresh, owner in Streams(docs, streams).windows(steps):
-        hs = model.states(x, fresh, h[:x.shape[1]])
+        hs = model.states(x, fresh, h[:x.shape[1]], given=given)
         h = hs[-1]
         at = np.flatnonzero(owner.ravel() >= 0)
         log = model.log_probability(hs.reshape(-1, model.shape.hidden)[at], y.ravel()[at])

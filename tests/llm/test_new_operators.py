@@ -3,6 +3,9 @@ and their edge cases."""
 
 import hashlib
 import math
+import os
+import subprocess
+import sys
 import zlib
 from collections import Counter, defaultdict
 
@@ -280,6 +283,31 @@ def test_state_is_carried_over_windows():
     assert whole[2] == 0
 
 
+def test_windows_reuse_memory():
+    """Windows take no new pages from the system: those took a quarter of the time."""
+    code = """
+import resource
+import numpy as np
+from larch.llm import recurrent
+counts = np.arange(1500, 0, -1.0)
+shape = recurrent.Shape(16, recurrent.class_bounds(counts, 32))
+model = recurrent.Recurrent(shape, recurrent.initial(shape, counts, 1))
+rng = np.random.default_rng(2)
+faults = lambda: resource.getrusage(resource.RUSAGE_SELF).ru_minflt
+for run in (lambda d: recurrent.train(model, d, 256, 32, 0.01, 512), lambda d: recurrent.score(model, d, 256, 32)):
+    seen = []
+    for length in (64, 64, 512):
+        docs, before = [rng.integers(0, 1500, length).astype("<u2") for _ in range(256)], faults()
+        run(docs)
+        seen.append(faults() - before)
+    print(seen[2] - seen[1])
+"""
+    root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+    out = subprocess.run([sys.executable, "-c", code], check=True, capture_output=True, text=True, cwd=root, env=os.environ | {"OMP_NUM_THREADS": "1"})
+    for more in out.stdout.split():
+        assert int(more) < 14 * 300  # of 14 windows; they have over 2,000 pages each
+
+
 def test_averages_are_weighted(spark):
     rows = [(k, k + 1, np.full(3, float(k), dtype="<f4").tobytes()) for k in range(70)]
     df = spark.createDataFrame([(a, b, bytearray(c)) for a, b, c in rows], "block long, n long, flat binary").repartition(7)
