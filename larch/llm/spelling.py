@@ -23,8 +23,9 @@ twice its own (ties: the smallest in code-point order); counts at least double
 from form to form, so roots follow by doubling the steps in a few joins.
 
 Sizes: 24 signature rows of a word each, whatever its count; nothing is
-broadcast or brought to the driver. A worker counts at most ``FLUSH_WORDS`` words at
-a time; AQE splits the join of a large group.
+broadcast or brought to the driver. Joins are told to merge: Spark would size the
+signatures by the file of words they come from, and broadcast them. A worker counts at
+most ``FLUSH_WORDS`` words at a time; AQE splits the join of a large group.
 
 Defined cases: null or empty texts have no words; a null id is hashed as "";
 repeated rows count as often as they occur; an empty table gives an empty
@@ -167,7 +168,7 @@ def near_words(words: DataFrame) -> DataFrame:
     right = signed.select("key", F.col("role").alias("role_b"), F.col("word").alias("b"), F.col("n").alias("n_b"))
     met = ((F.col("role_a") == EQUAL) & (F.col("role_b") == EQUAL) & (F.col("a") < F.col("b"))) | (
         (F.col("role_a") == SHORTER) & (F.col("role_b") == LONGER))
-    pairs = left.join(right, "key").where(met & (F.levenshtein("a", "b", 1) == 1))
+    pairs = left.join(right.hint("merge"), "key").where(met & (F.levenshtein("a", "b", 1) == 1))
     return pairs.groupBy("a", "b").agg(F.first("n_a").alias("n_a"), F.first("n_b").alias("n_b"))
 
 
@@ -176,7 +177,7 @@ def _rooted(forms: DataFrame) -> DataFrame:
     steps = materialize(forms.select("word", F.col("form").alias("root")), "roots")
     while True:
         jump = steps.select(F.col("word").alias("root"), F.col("root").alias("far"))
-        new = materialize(steps.join(jump, "root", "left").select("word", F.coalesce("far", "root").alias("root"), "far"), "roots")
+        new = materialize(steps.join(jump.hint("merge"), "root", "left").select("word", F.coalesce("far", "root").alias("root"), "far"), "roots")
         if new.where("far IS NOT NULL").isEmpty():
             return new.select("word", "root")
         steps = new.select("word", "root")
@@ -189,11 +190,11 @@ def spelling_variants(words: DataFrame) -> DataFrame:
         pairs.select(F.col("b").alias("word"), F.col("n_b").alias("n"), F.col("a").alias("near"), F.col("n_a").alias("near_n")))
     best = both.groupBy("word").agg(F.count("*").alias("n_near"), F.min(F.struct((-F.col("near_n")).alias("less"), "near")).alias("best"))
     is_form = -F.col("best.less") >= FORM_RATIO * F.col("n")
-    formed = words.join(best, "word", "left").select(
+    formed = words.join(best.hint("merge"), "word", "left").select(
         "word", "n", F.coalesce("n_near", F.lit(0)).cast("long").alias("n_near"),
         F.when(is_form, F.col("best.near")).alias("form"), F.when(is_form, -F.col("best.less")).alias("form_n"))
     formed = materialize(formed, "forms")
-    return formed.join(_rooted(formed.where("form IS NOT NULL")), "word", "left").withColumn("root", F.coalesce("root", "word"))
+    return formed.join(_rooted(formed.where("form IS NOT NULL")).hint("merge"), "word", "left").withColumn("root", F.coalesce("root", "word"))
 
 
 def op11_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
